@@ -30,7 +30,8 @@ def build(flat: Mapping[str, DataFrame], ranges: DataFrame | None = None, tz: st
         "dim_patients": patients,
         "dim_loinc_reference": ranges,
         "dim_diagnoses": warehouse.build_diagnoses(flat["dim_diagnoses"]),
-        "dim_clinical_observations": warehouse.flag_abnormal(obs, ranges),
+        "dim_clinical_observations": warehouse.flag_abnormal(obs, ranges).select(
+            *TABLES["dim_clinical_observations"].fieldNames()),
         "dim_episodes": warehouse.build_episodes(flat["dim_episodes"]),
         "fact_patient_encounters": warehouse.build_encounters(
             flat["fact_encounters"], patients, tz),

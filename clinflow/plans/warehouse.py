@@ -100,8 +100,8 @@ def flag_abnormal(
             match = match & obs[k].eqNullSafe(right[f"_range_{k}"])
         joined = obs.join(right, match, "left")
     flag = out_of_range(F.col("result_value"), F.col("normal_low"), F.col("normal_high"))
-    return joined.withColumn("is_abnormal", flag).select(
-        *TABLES["dim_clinical_observations"].fieldNames())
+    kept = [c for c in obs.columns if c != "is_abnormal"]
+    return joined.select(*[obs[c] for c in kept], flag.alias("is_abnormal"))
 
 
 def build_encounters(flat: DataFrame, patients: DataFrame, tz: str = "UTC") -> DataFrame:

@@ -43,9 +43,9 @@ def _rounded(df: DataFrame, *columns: str, digits: int = 4) -> DataFrame:
 # Star-schema inputs
 
 def _fact_events(spark, d):
-    flat = roles.encounters_from_events(spark, d)
-    users = flat.select("patient_id").distinct()
-    return warehouse.build_encounters(flat, users)
+    known = roles.table(spark, d, "customer").select(
+        F.col("c_custkey").cast("string").alias("patient_id"))
+    return warehouse.build_encounters(roles.encounters_from_events(spark, d), known)
 
 
 def _fact_orders(spark, d):
@@ -67,15 +67,26 @@ def _stg_orders(spark, d):
     return models.stg_encounters(_fact_orders(spark, d))
 
 
-def _readmissions(spark, d):
-    return models.readmissions(_stg_orders(spark, d))
+def _readmissions(spark, d, **options):
+    """Staged rows are stored first: the search for large histories and the model both read them."""
+    stg = materialize(_stg_orders(spark, d).select(*models.READMISSION_INPUT), "stg_encounters")
+    return models.readmissions(stg, **options)
 
 
-def _flagged(spark, d):
-    """The range table is stored first, as in the load, so the join sees its real size."""
+def _results(spark, d):
+    """Results are stored first, as after the ingest: the range and lab plans read them often."""
     obs = roles.observations_from_lineitems(spark, d)
-    ranges = materialize(warehouse.reference_ranges(obs), "dim_loinc_reference")
-    return warehouse.flag_abnormal(obs, ranges)
+    return materialize(obs.select(*models.LAB_KEYS, "patient_id", "result_value"), "results")
+
+
+def _ranges(results):
+    """Stored as well, so the planner of the join to it knows its size."""
+    return materialize(warehouse.reference_ranges(results), "dim_loinc_reference")
+
+
+def _flagged_results(spark, d):
+    results = _results(spark, d)
+    return warehouse.flag_abnormal(results, _ranges(results))
 
 
 def _throughput(spark, d):
@@ -139,7 +150,7 @@ def episode_los(spark, d):
 
 @query
 def reference_ranges(spark, d):
-    return warehouse.reference_ranges(roles.observations_from_lineitems(spark, d))
+    return warehouse.reference_ranges(_results(spark, d))
 
 
 @query
@@ -150,14 +161,13 @@ def reference_ranges_by_unit(spark, d):
 
 @query
 def flag_abnormal(spark, d):
-    return _flagged(spark, d)
+    ranges = _ranges(_results(spark, d))
+    return warehouse.flag_abnormal(roles.observations_from_lineitems(spark, d), ranges)
 
 
 @query
 def fill_readmissions(spark, d):
-    fact = _fact_orders(spark, d)
-    found = models.readmissions(models.stg_encounters(fact))
-    return warehouse.fill_readmissions(fact, found).select(
+    return warehouse.fill_readmissions(_fact_orders(spark, d), _readmissions(spark, d)).select(
         "encounter_id", "patient_id", "is_readmission_30d", "days_since_last_enc")
 
 
@@ -193,9 +203,8 @@ def readmissions_events(spark, d):
 
 @query
 def readmissions_all_classes(spark, d):
-    return models.readmissions(
-        _stg_orders(spark, d), classes=("IMP", "EMER", "AMB", "HH"), window_days=60,
-        buckets=(14, 60)).select(
+    return _readmissions(
+        spark, d, classes=("IMP", "EMER", "AMB", "HH"), window_days=60, buckets=(14, 60)).select(
             "encounter_id", "prev_encounter_id", "is_60d_readmission", "readmission_type")
 
 
@@ -206,19 +215,19 @@ def episode_throughput(spark, d):
 
 @query
 def lab_kpis(spark, d):
-    return models.lab_kpis(_flagged(spark, d))
+    return models.lab_kpis(_flagged_results(spark, d))
 
 
 @query
 def lab_kpis_approx(spark, d):
-    return models.lab_kpis(_flagged(spark, d), approx=True)
+    return models.lab_kpis(_flagged_results(spark, d), approx=True)
 
 
 @query
 def lab_kpis_with_ranges(spark, d):
-    obs = roles.observations_from_lineitems(spark, d)
-    ranges = materialize(warehouse.reference_ranges(obs), "dim_loinc_reference")
-    return models.lab_kpis(warehouse.flag_abnormal(obs, ranges), ranges).select(
+    results = _results(spark, d)
+    ranges = _ranges(results)
+    return models.lab_kpis(warehouse.flag_abnormal(results, ranges), ranges).select(
         *models.LAB_KEYS, "total_observations", "abnormal_count", "normal_low", "normal_high")
 
 
@@ -352,7 +361,7 @@ def weekend_night_share(spark, d):
 @query
 def abnormal_rate(spark, d):
     return _rounded(
-        measures.abnormal_rate(_flagged(spark, d), ["obs_category"]), "abnormal_rate_pct")
+        measures.abnormal_rate(_flagged_results(spark, d), ["obs_category"]), "abnormal_rate_pct")
 
 
 @query
@@ -419,12 +428,12 @@ def gantt_feed(spark, d):
 
 @query
 def top_codes(spark, d):
-    return reports.top_codes(models.lab_kpis(_flagged(spark, d)), 15)
+    return reports.top_codes(models.lab_kpis(_flagged_results(spark, d)), 15)
 
 
 @query
 def lab_page_tables(spark, d):
-    kpis = models.lab_kpis(_flagged(spark, d))
+    kpis = materialize(models.lab_kpis(_flagged_results(spark, d)), "analytics_lab_kpis")
     return reports.lab_stats(kpis).join(
         reports.mean_vs_p97_5(kpis).groupBy("loinc_code").agg(F.max("p97_5").alias("code_p97_5")),
         "loinc_code")
@@ -442,7 +451,7 @@ def page_cards(spark, d):
         [], reports.los_cards(fact), reports.readmission_cards(models.readmissions(stg)),
         reports.throughput_cards(fact),
         reports.provider_cards(fact).withColumnRenamed("encounters", "provider_encounters"),
-        reports.lab_cards(_flagged(spark, d), "Brand#7"))
+        reports.lab_cards(_flagged_results(spark, d), "Brand#7"))
     doubles = [f.name for f in cards.schema.fields if f.dataType.typeName() == "double"]
     return _rounded(cards, *doubles)
 
@@ -478,6 +487,10 @@ def table_roundtrip(spark, d):
     view = database + "_resolved"
     writers.publish(
         spark.table(f"{database}.dim_diagnoses").filter("is_resolved"), view, "view")
-    return spark.table(view).groupBy("coding_system", "clinical_status").agg(
+    counts = spark.table(view).groupBy("coding_system", "clinical_status").agg(
         F.count(F.lit(1)).alias("conditions"),
         F.count("abatement_date").alias("with_date"))
+    result = materialize(counts, "resolved_conditions")
+    spark.catalog.dropTempView(view)
+    spark.sql(f"DROP DATABASE {database} CASCADE")
+    return result
