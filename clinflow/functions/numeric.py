@@ -8,12 +8,12 @@ def round_bin(x: Column, digits: int = 0) -> Column:
     """Round half away from zero on the binary value, as SQL warehouses do.
 
     ``F.round`` rounds the shortest decimal text instead and differs on ties such as 1.005.
-    Beyond 1e12 (and for NaN) the value is returned as it is: doubles hold too few decimals there.
+    From 2**52 on a double has no fraction left to round.
     """
-    x = x.cast("double")
     scale = float(10**digits)
-    rounded = F.signum(x) * F.floor(F.abs(x) * scale + 0.5).cast("double") / scale
-    return F.when(x.isNull() | (F.abs(x) < 1e12), rounded).otherwise(x)
+    scaled = F.abs(x.cast("double")) * scale
+    whole = F.when(scaled < 2.0**52, F.floor(scaled + 0.5).cast("double")).otherwise(scaled)
+    return F.signum(x) * whole / scale
 
 
 def safe_div(a: Column, b: Column, alternate: float = 0.0) -> Column:
