@@ -41,7 +41,7 @@ def build(flat: Mapping[str, DataFrame], ranges: DataFrame | None = None, tz: st
 def load(spark: SparkSession, parquet: str, out: str, tz: str = "UTC") -> dict[str, int]:
     """Flat tables -> star schema under ``out``. The ranges are stored first, so the flag joins a
     table of known size."""
-    flat = read_parquet_tables(spark, parquet, FLAT)
+    flat = read_parquet_tables(spark, parquet, FLAT, FLAT)
     name = "dim_loinc_reference"
     counts = {name: write_parquet(
         warehouse.reference_ranges(flat["dim_observations"]), f"{out}/{name}")}

@@ -8,10 +8,10 @@ from pyspark.sql.types import StructType
 
 from clinflow.schemas import TABLES
 
+# An empty text is written as "" and a missing one as nothing: the defaults.
 CSV_OPTIONS = {
     "header": "true",
     "escape": '"',  # quotes inside a field are doubled
-    "emptyValue": '""',  # an empty text stays apart from a missing one
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
     "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
 }
@@ -39,7 +39,10 @@ def write_csv(df: DataFrame, path: str, single_file: bool = False) -> int:
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    return spark.read.schema(schema).options(**CSV_OPTIONS, multiLine="true").csv(path)
+    """Read such a folder back. Quoted line breaks are part of a field; the null marker is a text
+    that cannot occur, so that an empty text does not count as missing."""
+    return spark.read.schema(schema).options(
+        **CSV_OPTIONS, multiLine="true", nullValue="\u0000").csv(path)
 
 
 def create_tables(

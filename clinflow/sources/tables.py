@@ -1,20 +1,22 @@
 """Scan of stored tables."""
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
-from clinflow.schemas import FLAT, TABLES
+from clinflow.schemas import TABLES
 
 
 def read_parquet_tables(
-    spark: SparkSession, root: str, names: Iterable[str], schemas: dict | None = None
+    spark: SparkSession, root: str, names: Iterable[str],
+    schemas: Mapping[str, StructType] = TABLES,
 ) -> dict[str, DataFrame]:
-    """``{name: scan of root/name}`` with the declared schemas (no footer inference job)."""
-    known = {**TABLES, **FLAT, **(schemas or {})}
+    """``{name: scan of root/name}``, with the declared schema where there is one (no job reads
+    the footers then)."""
     out = {}
     for name in names:
-        reader = spark.read.schema(known[name]) if name in known else spark.read
+        reader = spark.read.schema(schemas[name]) if name in schemas else spark.read
         out[name] = reader.parquet(f"{root}/{name}")
     return out
 

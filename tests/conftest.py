@@ -15,6 +15,7 @@ def spark(tmp_path_factory):
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.maxMetadataStringLength", "100000")
         .config("spark.checkpoint.dir", str(scratch))
         .config("spark.sql.warehouse.dir", str(scratch / "warehouse"))
         .getOrCreate()
