@@ -10,9 +10,8 @@ import json
 import os
 import time
 
-from pyspark.sql import SparkSession
-
 from clinflow.registry import QUERIES
+from clinflow.session import session
 
 HEADLINE = [
     "readmissions", "readmissions_events", "los_kpis", "lab_kpis", "reference_ranges",
@@ -33,14 +32,9 @@ def main():
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
     names = os.environ.get("BENCH_QUERIES", "").split(",") if os.environ.get("BENCH_QUERIES") else HEADLINE
-    spark = (
-        SparkSession.builder.master(f"local[{cpus}]").appName("bench")
-        .config("spark.ui.enabled", "false")
-        .config("spark.driver.memory", "16g")
-        .config("spark.sql.shuffle.partitions", cpus)
-        .config("spark.sql.session.timeZone", "UTC")
-        .getOrCreate()
-    )
+    spark = session(
+        "bench", f"local[{cpus}]", spark__ui__enabled="false", spark__driver__memory="16g",
+        spark__sql__shuffle__partitions=cpus)
     spark.sparkContext.setLogLevel("ERROR")
     runs = int(os.environ.get("BENCH_RUNS", "3"))
     times = {

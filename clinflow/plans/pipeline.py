@@ -1,23 +1,35 @@
 """The four stages: ingest, load, models, export. Tables pass between stages as Parquet."""
 
+import logging
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from clinflow.plans import models, quality, warehouse
 from clinflow.plans.flatten import FLATTENERS
-from clinflow.schemas import EXPORTS, FLAT, TABLES
+from clinflow.schemas import CORRUPT, EXPORTS, FLAT, TABLES
 from clinflow.sinks.writers import write_csv, write_parquet
 from clinflow.sources.ndjson import read_ndjson
 from clinflow.sources.tables import read_parquet_tables
 
+log = logging.getLogger(__name__)
+
 
 def ingest(spark: SparkSession, src: str, out: str) -> dict[str, int]:
-    """NDJSON folder -> five flat tables under ``out``; returns row counts."""
-    return {
-        table: write_parquet(flatten(read_ndjson(spark, src, resource)), f"{out}/{table}")
-        for table, (resource, flatten) in FLATTENERS.items()
-    }
+    """NDJSON folder -> five flat tables under ``out``; returns row counts.
+
+    Lines that did not parse are counted during the same scan and logged.
+    """
+    counts = {}
+    for table, (resource, flatten) in FLATTENERS.items():
+        seen = Observation()
+        raw = read_ndjson(spark, src, resource).observe(seen, F.count(CORRUPT).alias("corrupt"))
+        counts[table] = write_parquet(flatten(raw), f"{out}/{table}")
+        log.info("%s: %d rows", table, counts[table])
+        if seen.get["corrupt"]:
+            log.warning("%s: %d lines did not parse", resource, seen.get["corrupt"])
+    return counts
 
 
 def build(flat: Mapping[str, DataFrame], ranges: DataFrame | None = None, tz: str = "UTC") -> dict[str, DataFrame]:
@@ -38,9 +50,12 @@ def build(flat: Mapping[str, DataFrame], ranges: DataFrame | None = None, tz: st
     }
 
 
-def load(spark: SparkSession, parquet: str, out: str, tz: str = "UTC") -> dict[str, int]:
+def load(
+    spark: SparkSession, parquet: str, out: str, tz: str = "UTC", fact_by_year: bool = False
+) -> dict[str, int]:
     """Flat tables -> star schema under ``out``. The ranges are stored first, so the flag joins a
-    table of known size."""
+    table of known size. ``fact_by_year`` partitions the fact by admission year: the year slicer
+    then reads only the years it needs."""
     flat = read_parquet_tables(spark, parquet, FLAT, FLAT)
     name = "dim_loinc_reference"
     counts = {name: write_parquet(
@@ -48,7 +63,9 @@ def load(spark: SparkSession, parquet: str, out: str, tz: str = "UTC") -> dict[s
     ranges = read_parquet_tables(spark, out, [name])[name]
     for table, df in build(flat, ranges, tz).items():
         if table != name:
-            counts[table] = write_parquet(df, f"{out}/{table}")
+            by_year = fact_by_year and table == "fact_patient_encounters"
+            counts[table] = write_parquet(
+                df, f"{out}/{table}", ["admit_year"] if by_year else [])
     return counts
 
 
@@ -67,9 +84,10 @@ def run_models(spark: SparkSession, root: str) -> dict[str, int]:
 
 def export(
     spark: SparkSession, root: str, out: str, names: Iterable[str] = EXPORTS,
-    single_file: Iterable[str] = ("mart_los_kpis", "analytics_lab_kpis", "dim_loinc_reference"),
+    single_file: Iterable[str] = ("mart_los_kpis",),
 ) -> dict[str, int]:
-    """Stored tables -> CSV folders for the dashboard; returns row counts."""
+    """Stored tables -> CSV folders for the dashboard; returns row counts. Tables named in
+    ``single_file`` go through one task: the LOS mart has one row per encounter class."""
     tables = read_parquet_tables(spark, root, names)
     return {
         name: write_csv(df, f"{out}/{name}.csv", name in set(single_file))

@@ -6,6 +6,7 @@ encounters, line items as laboratory results, parts as conditions, customers as
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from clinflow.functions import los_hours
 from clinflow.operators.storage import scratch_path
@@ -17,8 +18,15 @@ ORDER_CLASS = {
 }
 
 
+_schemas: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """Scan of a table; its footers are read for the schema only the first time."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def _mapped(col: Column, mapping: dict[str, str]) -> Column:

@@ -134,11 +134,6 @@ LINKS = [
     ("analytics_throughput", "fact_patient_encounters", "encounter_id"),
 ]
 
-MODELS = [
-    "stg_encounters", "mart_los_kpis", "analytics_readmissions",
-    "analytics_throughput", "analytics_lab_kpis",
-]
-
 # Tables handed to the dashboard as CSV. dim_episodes is added to the nine usual ones because
 # the episode page needs it.
 EXPORTS = [

@@ -23,7 +23,13 @@ def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> int:
-    """Write and return the row count, taken during the write (no second scan)."""
+    """Write and return the row count, taken during the write (no second scan).
+
+    With ``partition_by`` the rows are first gathered per partition value, so that there are few
+    files; adaptive execution cuts a large value into several tasks.
+    """
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     counted, seen = _counted(df)
     counted.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
     return seen.get["rows"]

@@ -12,12 +12,16 @@ def read_parquet_tables(
     spark: SparkSession, root: str, names: Iterable[str],
     schemas: Mapping[str, StructType] = TABLES,
 ) -> dict[str, DataFrame]:
-    """``{name: scan of root/name}``, with the declared schema where there is one (no job reads
-    the footers then)."""
+    """``{name: scan of root/name}``, with the declared schema where there is one: no job reads
+    the footers, and a partition column stands at its declared place."""
     out = {}
     for name in names:
-        reader = spark.read.schema(schemas[name]) if name in schemas else spark.read
-        out[name] = reader.parquet(f"{root}/{name}")
+        path = f"{root}/{name}"
+        if name in schemas:
+            schema = schemas[name]
+            out[name] = spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
+        else:
+            out[name] = spark.read.parquet(path)
     return out
 
 

@@ -250,3 +250,41 @@ def test_empty_input_gives_empty_models(spark):
     for df, width in [(stg, 23), (models.los_kpis(stg), 20), (models.readmissions(stg), 31),
                       (models.throughput(_episodes(spark, []), stg), 17), (models.lab_kpis(obs), 15)]:
         assert len(df.columns) == width and df.count() == 0
+
+
+# The column contract of the models, in order.
+COLUMNS = {
+    "los_kpis": """encounter_class encounter_class_label encounter_count avg_los_hours
+        median_los_hours min_los_hours max_los_hours stddev_los_hours p25_los_hours p75_los_hours
+        p90_los_hours long_stay_outlier_count avg_los_weekend avg_los_weekday tier_lt_4h tier_4_24h
+        tier_1_3d tier_3_7d tier_1_4w tier_gt_1m""",
+    "readmissions": """encounter_id patient_id encounter_class encounter_class_label
+        admit_timestamp discharge_timestamp los_hours los_days service_provider location_display
+        reason_for_visit is_inpatient is_emergency admit_year admit_month prev_encounter_id
+        prev_encounter_class prev_admit_timestamp prev_discharge_timestamp prev_service_provider
+        next_encounter_id next_encounter_class next_admit_timestamp next_service_provider
+        encounter_seq_num total_patient_encounters days_since_prev_discharge
+        days_until_next_admit is_30d_readmission index_discharge_with_readmission
+        readmission_type""",
+    "throughput": """episode_id patient_id episode_type episode_start episode_end
+        episode_los_hours encounter_id encounter_class encounter_class_label admit_timestamp
+        discharge_timestamp los_hours location_display service_provider encounter_seq_in_episode
+        total_encounters_in_episode hours_since_prev_encounter""",
+    "lab_kpis": """loinc_code observation_name obs_category result_unit total_observations
+        patient_count mean_value median_value stddev_value min_value max_value p2_5 p97_5
+        abnormal_count abnormal_rate_pct""",
+    "ranges": "loinc_code observation_name obs_category result_unit normal_low normal_high",
+}
+
+
+def test_column_contract(spark):
+    stg = models.stg_encounters(_fact(spark, []))
+    obs = _obs(spark, [])
+    ranges = warehouse.reference_ranges(obs)
+    built = {
+        "los_kpis": models.los_kpis(stg), "readmissions": models.readmissions(stg),
+        "throughput": models.throughput(_episodes(spark, []), stg),
+        "lab_kpis": models.lab_kpis(warehouse.flag_abnormal(obs, ranges)), "ranges": ranges,
+    }
+    for name, df in built.items():
+        assert df.columns == COLUMNS[name].split(), name

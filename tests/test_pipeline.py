@@ -64,6 +64,26 @@ def test_counts_of_all_stages(done):
     assert set(counts["export"]) == set(EXPORTS)
 
 
+def test_bad_lines_are_logged(spark, tmp_path, caplog):
+    _source(tmp_path / "raw")
+    write_lines(tmp_path / "raw", "Observation", [
+        "{broken", {"id": "x", "valueQuantity": {"value": "high"}}], shard=5)
+    with caplog.at_level("WARNING"):
+        counts = pipeline.ingest(spark, str(tmp_path / "raw"), str(tmp_path / "out"))
+    assert counts["dim_observations"] == 40  # lines without a LOINC coding add no row
+    assert "Observation: 2 lines did not parse" in caplog.text
+
+
+def test_fact_by_year(spark, done, tmp_path):
+    root, counts = done
+    loaded = pipeline.load(spark, f"{root}/work/parquet", str(tmp_path / "w"), fact_by_year=True)
+    assert loaded == counts["load"]
+    assert (tmp_path / "w/fact_patient_encounters/admit_year=2024").exists()
+    fact = read_parquet_tables(spark, str(tmp_path / "w"), ["fact_patient_encounters"])
+    stored = spark.read.parquet(f"{root}/work/warehouse/fact_patient_encounters")
+    assert rows(fact["fact_patient_encounters"]) == rows(stored)
+
+
 def test_stored_schemas(spark, done):
     root, _ = done
     for folder, schemas in (("parquet", FLAT), ("warehouse", TABLES)):
