@@ -9,7 +9,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from clinflow.operators.skew import BLOCK, HOT_ROWS, find_hot, join_blocks, split_hot
+from clinflow.operators.skew import (
+    BLOCK, HOT_ROWS, find_hot, join_blocks, only_hot, split_hot,
+)
 
 
 def value_counts(df: DataFrame, keys: list[str], value: str, **extra: Column) -> DataFrame:
@@ -31,27 +33,33 @@ def _ranked(counts, keys, value):
     })
 
 
+def _find_wide(rows, keys, value, limit):
+    """Groups with more than ``limit`` distinct values. Rows are counted first, which is cheap and
+    settles most cases; a HyperLogLog sketch then looks only at the groups with enough rows."""
+    large = find_hot(rows, keys, F.count(value), limit)
+    if large is None:
+        return None
+    return find_hot(only_hot(rows, large), keys, F.approx_count_distinct(value), limit)
+
+
 def with_ranks(
     counts: DataFrame,
     keys: list[str],
     value: str,
-    rows: DataFrame | None = None,
+    rows: DataFrame,
     limit: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Add ``_below`` (rows with a smaller value), ``_total`` and ``_mean`` of the group.
 
     ``rows`` are the rows behind ``counts``; they are searched for groups with more than ``limit``
-    distinct values (HyperLogLog, combined map-side). Pass ``limit=None`` where the number of
-    distinct values is bounded anyway.
+    distinct values. Pass ``limit=None`` where the number of distinct values is bounded anyway.
     """
     if not keys:
-        return with_ranks(counts.withColumn("_all", F.lit(0)), ["_all"], value,
-                          None if rows is None else rows.withColumn("_all", F.lit(0)),
-                          limit).drop("_all")
-    hot = None
-    if limit is not None:
-        distinct = F.approx_count_distinct(value) if rows is not None else F.count(F.lit(1))
-        hot = find_hot(counts if rows is None else rows, keys, distinct, limit)
+        one_group = {"_all": F.lit(0)}
+        return with_ranks(
+            counts.withColumns(one_group), ["_all"], value, rows.withColumns(one_group), limit,
+        ).drop("_all")
+    hot = None if limit is None else _find_wide(rows, keys, value, limit)
     if hot is None:
         ranked = _ranked(counts, keys, value)
     else:

@@ -18,8 +18,10 @@ from clinflow.operators.storage import materialize
 # A group up to this size is left to one task.
 HOT_ROWS = 5_000_000
 
-# At most this many groups are ever called hot; see find_hot.
+# At most this many groups are ever called hot (see find_hot), and at most this many blocks are
+# cut (see split_hot). Both bound what is broadcast, at any number of rows.
 MAX_HOT = 10_000
+MAX_BLOCKS = 10_000
 
 BLOCK = "_block"
 
@@ -55,26 +57,30 @@ def same_keys(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
     return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
 
 
+def only_hot(df: DataFrame, hot: HotGroups, how: str = "left_semi") -> DataFrame:
+    """Rows of the hot groups (``left_anti``: of all others), by a broadcast of the few keys."""
+    keys = F.broadcast(hot.frame.drop("_size"))
+    return df.join(keys, same_keys(df, keys, hot.keys), how)
+
+
 def split_hot(
     df: DataFrame, hot: HotGroups, order: list[str], limit: int
 ) -> tuple[DataFrame, DataFrame, int]:
     """(rows of other groups, rows of hot groups with a ``_block`` column, number of blocks).
 
     Blocks come from range partitioning on keys + order: Spark samples the bounds, so ties and
-    clusters in the order column are cut as well. Partition ids grow along the order.
+    clusters in the order column are cut as well. Partition ids grow along the order. A block has
+    about ``limit`` rows, or 1 / MAX_BLOCKS of the hot rows where that is more.
     """
-    keys = F.broadcast(hot.frame.drop("_size"))
-    cold = df.join(keys, same_keys(df, keys, hot.keys), "left_anti")
-    rows = df.join(keys, same_keys(df, keys, hot.keys), "left_semi")
-    blocks = max(2, -(-hot.rows // limit))
-    ranged = rows.repartitionByRange(blocks, *hot.keys, *order)
+    blocks = min(MAX_BLOCKS, max(2, -(-hot.rows // limit)))
+    ranged = only_hot(df, hot).repartitionByRange(blocks, *hot.keys, *order)
     blocked = materialize(ranged.withColumn(BLOCK, F.spark_partition_id()), "hot_blocks")
-    return cold, blocked, blocks
+    return only_hot(df, hot, "left_anti"), blocked, blocks
 
 
 def join_blocks(blocked: DataFrame, edges: DataFrame, keys: list[str]) -> DataFrame:
-    """Attach the block summary. It has at most (number of blocks + MAX_HOT) rows: a block
-    boundary is shared by at most two groups."""
+    """Attach the block summary. It has at most MAX_BLOCKS + MAX_HOT rows: one per group, and one
+    more for every block boundary inside a group."""
     joined = [*keys, BLOCK]
     renamed = F.broadcast(edges.withColumnsRenamed({k: f"_edge_key_{k}" for k in joined}))
     match = [blocked[k].eqNullSafe(renamed[f"_edge_key_{k}"]) for k in joined]

@@ -76,7 +76,7 @@ def los_kpis(stg: DataFrame, approx: bool = False) -> DataFrame:
         stg, [*keys, "los_tier"], "los_hours",
         n_weekend=F.count_if(weekend), n_weekday=F.count_if(~weekend),
     )
-    ranked = with_ranks(counts, ["encounter_class"], "los_hours", limit=None)
+    ranked = with_ranks(counts, ["encounter_class"], "los_hours", stg, limit=None)
     rank = F.try_divide(F.col("_below").cast("double"), F.col("_total") - 1)
     x = F.col("los_hours")
     n = F.col("n")
