@@ -16,7 +16,7 @@ from clinflow.session import session
 HEADLINE = [
     "readmissions", "readmissions_events", "los_kpis", "lab_kpis", "reference_ranges",
     "flag_abnormal", "episode_throughput", "fact_encounters", "stg_encounters",
-    "ndjson_flatten_encounter", "explode_filter_observations", "dedup_observations",
+    "ndjson_flatten_encounter", "explode_filter_observations", "dedup_first",
     "core_kpis", "provider_comparison", "page_cards", "patient_sequence", "linked_observations",
     "key_violations",
 ]

@@ -55,13 +55,26 @@ def median_los_hours(fact: DataFrame, by: By = (), limit: int | None = HOT_ROWS)
     return _los_percentile(fact, by, 0.5, "median_los_hours", limit)
 
 
+def per_patient_totals(df: DataFrame, by: By, columns: Sequence[str]) -> DataFrame:
+    """Rows, distinct patients and column means per group, from one scan: rows are first summed
+    per (group, patient), so that no task holds all patients of a frequent group."""
+    sums = {f"_sum_{c}": F.sum(c) for c in columns}
+    filled = {f"_n_{c}": F.count(c) for c in columns}
+    keys = list(dict.fromkeys([*by, "patient_id"]))
+    patients = _one(df, keys, _rows=_rows(), **sums, **filled)
+    mean = lambda c: F.try_divide(F.sum(f"_sum_{c}"), F.sum(f"_n_{c}"))
+    # A grand total over no rows still gives one row with counts of zero.
+    return _one(
+        patients, by, rows=F.coalesce(F.sum("_rows"), F.lit(0)), patients=F.count("patient_id"),
+        **{f"avg_{c}": mean(c) for c in columns})
+
+
 def core_kpis(fact: DataFrame, by: By = (), limit: int | None = HOT_ROWS) -> DataFrame:
-    """Encounters, patients, mean LOS in hours and days, median LOS. The distinct count and the
-    median are aggregated apart from the rest and merged per group."""
-    sums = _one(
-        fact, by, total_encounters=_rows(),
-        avg_los_hours=F.avg("los_hours"), avg_los_days=F.avg("los_days"))
-    return merge_groups(by, sums, total_patients(fact, by), median_los_hours(fact, by, limit)).select(
+    """Encounters, patients, mean LOS in hours and days, median LOS. The median comes from the
+    distinct values and is merged to the totals per group."""
+    totals = per_patient_totals(fact, by, ["los_hours", "los_days"]).withColumnsRenamed(
+        {"rows": "total_encounters", "patients": "total_patients"})
+    return merge_groups(by, totals, median_los_hours(fact, by, limit)).select(
         *by, "total_encounters", "total_patients", "avg_los_hours", "avg_los_days",
         "median_los_hours")
 

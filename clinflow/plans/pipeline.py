@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from clinflow.plans import models, quality, warehouse
 from clinflow.plans.flatten import FLATTENERS
-from clinflow.schemas import CORRUPT, EXPORTS, FLAT, TABLES
+from clinflow.schemas import CORRUPT, EXPORTS, FLAT, KEYS, LINKS, TABLES
 from clinflow.sinks.writers import write_csv, write_parquet
 from clinflow.sources.ndjson import read_ndjson
 from clinflow.sources.tables import read_parquet_tables
@@ -51,11 +51,13 @@ def build(flat: Mapping[str, DataFrame], ranges: DataFrame | None = None, tz: st
 
 
 def load(
-    spark: SparkSession, parquet: str, out: str, tz: str = "UTC", fact_by_year: bool = False
+    spark: SparkSession, parquet: str, out: str, tz: str = "UTC", fact_by_year: bool = False,
+    on_violation: str = "report",
 ) -> dict[str, int]:
     """Flat tables -> star schema under ``out``. The ranges are stored first, so the flag joins a
     table of known size. ``fact_by_year`` partitions the fact by admission year: the year slicer
-    then reads only the years it needs."""
+    then reads only the years it needs. ``on_violation`` is applied to the keys of each table, see
+    ``quality.enforce_key``."""
     flat = read_parquet_tables(spark, parquet, FLAT, FLAT)
     name = "dim_loinc_reference"
     counts = {name: write_parquet(
@@ -63,6 +65,7 @@ def load(
     ranges = read_parquet_tables(spark, out, [name])[name]
     for table, df in build(flat, ranges, tz).items():
         if table != name:
+            df = quality.enforce_key(df, KEYS[table], table, on_violation)
             by_year = fact_by_year and table == "fact_patient_encounters"
             counts[table] = write_parquet(
                 df, f"{out}/{table}", ["admit_year"] if by_year else [])
@@ -95,11 +98,14 @@ def export(
     }
 
 
-def validate(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    """Checks over the stored star schema: links, coverage, keys, row counts."""
+def validate(spark: SparkSession, root: str, with_models: bool = False) -> dict[str, DataFrame]:
+    """Checks over the stored tables: links, coverage, keys, row counts. ``with_models`` includes
+    the links of the analytics tables, which must have been built."""
     t = read_parquet_tables(spark, root, TABLES)
+    children = {child for child, _, _ in LINKS} - set(t) if with_models else set()
+    linked = {**t, **read_parquet_tables(spark, root, children)}
     return {
-        "links": quality.foreign_key_checks(t),
+        "links": quality.foreign_key_checks(linked),
         "coverage": quality.link_coverage(
             t["dim_clinical_observations"], t["fact_patient_encounters"]),
         "keys": quality.key_checks(t),

@@ -157,16 +157,10 @@ def lab_cards(obs: DataFrame, code: str = M.PAIN_SCORE) -> DataFrame:
 def provider_comparison(
     fact: DataFrame, classes: Classes = None, years: Years = None
 ) -> DataFrame:
-    """Encounters, distinct patients and mean LOS per provider. The distinct count is a separate
-    aggregation on (provider, patient)."""
+    """Encounters, distinct patients and mean LOS per provider."""
     rows = slice_rows(fact, classes, years)
-    by = ["service_provider"]
-    sums = rows.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("encounters"), F.avg("los_hours").alias("avg_los_hours"))
-    patients = rows.select(*by, "patient_id").distinct().groupBy(*by).agg(
-        F.count("patient_id").alias("unique_patients"))
-    return merge_groups(by, sums, patients).select(
-        *by, "encounters", "unique_patients", "avg_los_hours")
+    totals = M.per_patient_totals(rows, ["service_provider"], ["los_hours"])
+    return totals.withColumnsRenamed({"rows": "encounters", "patients": "unique_patients"})
 
 
 def provider_cards(fact: DataFrame, classes: Classes = None, years: Years = None) -> DataFrame:

@@ -8,7 +8,10 @@ from pyspark.sql.types import TimestampType
 
 from clinflow import roles
 from clinflow.functions import round_bin
-from clinflow.operators import dedup_first, materialize, scratch_path, star_join
+from clinflow.operators import (
+    add_history, dedup_first, materialize, percentile_at, scratch_path, star_join, value_counts,
+    with_ranks,
+)
 from clinflow.plans import flatten, measures, models, quality, reports, warehouse
 from clinflow.schemas import TABLES
 from clinflow.sinks import writers
@@ -32,7 +35,7 @@ def query(run: Query) -> Query:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
         return _tidy(run(spark, sf_dir))
 
-    QUERIES[run.__name__] = wrapped
+    QUERIES[run.__name__.removesuffix("_query")] = wrapped
     return run
 
 
@@ -131,7 +134,7 @@ def ndjson_line_counts(spark, d):
 
 
 @query
-def dedup_observations(spark, d):
+def dedup_first_query(spark, d):
     return dedup_first(
         roles.observations_from_lineitems(spark, d), ["observation_id", "loinc_code"])
 
@@ -231,6 +234,33 @@ def lab_kpis_with_ranges(spark, d):
         *models.LAB_KEYS, "total_observations", "abnormal_count", "normal_low", "normal_high")
 
 
+# Large groups: the limit is set low enough to cut every group into blocks
+
+@query
+def history_in_blocks(spark, d):
+    stays = roles.encounters_from_events(spark, d).select(
+        "service_provider", "admit_timestamp", "discharge_timestamp", "encounter_id")
+    return add_history(
+        materialize(stays, "stays"), ["service_provider"], ["admit_timestamp", "encounter_id"],
+        prev={"prev_encounter_id": "encounter_id", "prev_discharge": "discharge_timestamp"},
+        following={"next_encounter_id": "encounter_id"},
+        seq="seq", total="total", limit=500)
+
+
+@query
+def percentiles_in_blocks(spark, d):
+    items = roles.table(spark, d, "lineitem").select("l_returnflag", "l_extendedprice")
+    counts = value_counts(items, ["l_returnflag"], "l_extendedprice")
+    ranked = with_ranks(counts, ["l_returnflag"], "l_extendedprice", items, limit=5000)
+    return _rounded(
+        ranked.groupBy("l_returnflag").agg(
+            F.sum("n").alias("n"),
+            percentile_at("l_extendedprice", 0.025).alias("p2_5"),
+            percentile_at("l_extendedprice", 0.5).alias("p50"),
+            percentile_at("l_extendedprice", 0.975).alias("p97_5")),
+        "p2_5", "p50", "p97_5")
+
+
 # Quality
 
 @query
@@ -281,7 +311,7 @@ def table_counts(spark, d):
 
 
 @query
-def star_join_patients(spark, d):
+def star_join_query(spark, d):
     joined = star_join(
         roles.encounters_from_orders(spark, d),
         roles.patients_from_customers(spark, d, known_only=True),

@@ -27,6 +27,8 @@ def test_core(fact):
     row = M.core_kpis(fact).first()
     assert (row["total_encounters"], row["total_patients"], row["avg_los_hours"]) == (6, 3, 13.0)
     assert row["median_los_hours"] == 7.5 and row["avg_los_days"] == pytest.approx(13 / 24)
+    empty = M.core_kpis(fact.filter("false")).first()
+    assert tuple(empty) == (0, 0, None, None, None)
     grouped = {r["encounter_class"]: r["median_los_hours"] for r in M.core_kpis(fact, ["encounter_class"]).collect()}
     assert grouped == {"IMP": 20.0, "EMER": 2.0, "HH": 5.0, None: 1.0, "AMB": 30.0}
     assert M.total_encounters(fact).first()[0] == 6 and M.total_patients(fact).first()[0] == 3

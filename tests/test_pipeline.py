@@ -114,6 +114,18 @@ def test_validation(spark, done):
     assert keys.pop("dim_diagnoses") == (0, 1)  # a condition without coding has no system
     assert set(keys) == set(KEYS) - {"dim_diagnoses"} and set(keys.values()) == {(0, 0)}
     assert checks["counts"].count() == 6
+    links = pipeline.validate(spark, f"{root}/work/warehouse", with_models=True)["links"]
+    assert links.count() == 5
+    assert links.filter("check like 'analytics%' and violations = 0").count() == 2
+
+
+def test_key_violations_at_load(spark, done, tmp_path):
+    root, counts = done
+    flat = f"{root}/work/parquet"
+    kept = pipeline.load(spark, flat, str(tmp_path / "w"), on_violation="quarantine")
+    assert kept == {**counts["load"], "dim_diagnoses": 2}  # the row without a coding system
+    with pytest.raises(ValueError, match="dim_diagnoses"):
+        pipeline.load(spark, flat, str(tmp_path / "v"), on_violation="fail")
 
 
 def test_csv_is_plain_csv(done):
