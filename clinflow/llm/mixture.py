@@ -209,3 +209,22 @@ def mix(
         "doc_id", "size", F.element_at(sizes_of, F.col("number") + 1).alias("source_size"),
         F.element_at(aims, F.col("number") + 1).alias("target"),
         F.coalesce("taken", F.lit(0)).cast("bigint").alias("taken"), "source")
+
+
+def repeat(docs: DataFrame, **settings) -> DataFrame:
+    """``docs`` with each document as often as the mix takes it, with the columns it came with.
+
+    Whole documents stand for their words: taken / size times, rounded down, and once more with the
+    probability of the rest (decided by a hash of the id, so reruns agree). Documents that the mix
+    does not take go, and so do those without words, ids included: there is nothing to mix. Rows with one id
+    count as one document and share its number; rows without an id stay as they are.
+    """
+    taken = mix(docs.where("doc_id is not null"), **settings).where("size > 0").groupBy(
+        "doc_id").agg((F.sum("taken") / F.sum("size")).alias("times"))
+    whole = F.floor("times")
+    more = F.when(unit_hash("doc_id", seed=31) < F.col("times") - whole, 1).otherwise(0)
+    copies = materialize(taken.select(
+        F.col("doc_id").alias("_id"), (whole + more).cast("int").alias("_copies")), "copies")
+    named = docs.join(copies.where("_copies > 0"), F.col("doc_id") == F.col("_id"))
+    named = named.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
+    return named.select(*[docs[c] for c in docs.columns]).union(docs.where("doc_id is null"))

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import bisect
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,6 +35,3 @@ def range_of(splitters: list[int], column: str = "doc_id") -> Column:
     low = F.size(F.filter(F.element_at(cells, top + 1), lambda s: s <= F.col(column)))
     return F.when(F.col(column).isNull(), F.lit(len(splitters))).otherwise(top * step + low)
 
-
-def range_of_value(splitters: list[int], value: int | None) -> int:
-    return len(splitters) if value is None else bisect.bisect_right(splitters, value)

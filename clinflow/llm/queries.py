@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clinflow.llm import credentials, language, licences, mixture, shards, tokens, vptree
+from clinflow.llm import (
+    credentials, decontaminate, language, licences,
+    minhash, mixture, privacy, shards, tokens, vptree)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,11 +32,24 @@ def sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"))
 
 
+def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.matches(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture.mix(table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken")
 
 
+def fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.compare_with_next(table(spark, sf_dir, "documents"))
+
+
+def private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return privacy.digest(privacy.scan(table(spark, sf_dir, "documents")))
+
+
 def secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return credentials.digest(credentials.scan(table(spark, sf_dir, "documents")))
 
@@ -60,8 +75,11 @@ def simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_token_files": token_files,
     "op2_sharding": sharding,
+    "op3_fingerprints": fingerprints,
+    "op4_decontamination": decontamination,
     "op5_source_mix": source_mix,
     "op6_secret_scan": secret_scan,
+    "op7_private_data": private_data,
     "op8_language_id": language_id,
     "op9_licence_scan": licence_scan,
     "op10_simhash_near_dedup": simhash_near_dedup,

@@ -4,17 +4,43 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clinflow.llm import vptree
+from clinflow.llm import decontaminate, language, mixture, tokens, vptree
+from clinflow.llm.queries import vocabulary
 from clinflow.operators.storage import materialize
 
 
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier rejects go."""
+    model = language.train(docs.where(~language.held_out()))
+    return language.classify(docs, model).where("accepted").select(*docs.columns)
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates stays."""
     return vptree.keep_first(docs)
 
 
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    return decontaminate.remove(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A document comes as often as the mix takes its words."""
+    return mixture.repeat(docs)
+
+
+def token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token files are written; the result is their index."""
+    return tokens.read_index(spark, tokens.write_tokens(docs, vocabulary()))
+
+
 STAGES = [
-    ("simhash near-dedup", near_dedup),
+    ("language ID", language_id),
+    ("SimHash near-dedup", near_dedup),
+    ("benchmark decontamination", decontamination),
+    ("mixing sources", source_mix),
+    ("token output", token_files),
 ]
 
 #: Fingerprints, trained models and token files have no SQL form; tests compare with brute force.
