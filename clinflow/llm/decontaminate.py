@@ -10,7 +10,7 @@ its content terms with the item's is long enough and the item's rarest terms, it
 
 from __future__ import annotations
 
-import re
+import string
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -27,30 +27,12 @@ from clinflow.operators.storage import materialize
 MAX_ITEMS = 50_000
 STEP = 16
 RANK = 96
-CORE = re.compile(r"[^\W_]+(?:[^\s]*[^\W_]+)?")
-
-
-def core(word: str) -> str:
-    """A word without the marks around it."""
-    found = CORE.search(word)
-    return found.group() if found else ""
-
-
-class Terms(dict):
-    """From a word as written to its term's number, -1 for others. Words met before are
-    remembered, up to a bound; forgetting them changes no result."""
-
-    def __init__(self, numbers: dict[str, int]):
-        super().__init__()
-        self.numbers = numbers
-
-    def __missing__(self, word: str) -> int:
-        if len(self) > 400_000:
-            self.clear()
-        found = self.numbers.get(core(word), -1)
-        if len(word) < 100:
-            self[word] = found
-        return found
+def split_words(text: str) -> list[str]:
+    """Lower-cased words; ASCII marks separate them like white space."""
+    text = text.lower()
+    for mark in string.punctuation:
+        text = text.replace(mark, " ")
+    return text.split()
 
 
 @dataclass
@@ -61,8 +43,8 @@ class Items:
     numbers: dict[str, int]
 
 
-def read_items(benchmark: DataFrame, common: float = 0.1) -> Items:
-    """Items with their content terms: words that not more than ``common`` of the items hold.
+def read_items(benchmark: DataFrame, common: float = 0.02) -> Items:
+    """Items with their content terms: words that at most ``common`` of the items hold, or two.
 
     Items without an id or without content terms are no questions and never match.
     """
@@ -71,7 +53,7 @@ def read_items(benchmark: DataFrame, common: float = 0.1) -> Items:
     if len(rows) > MAX_ITEMS:
         raise ValueError(f"more than {MAX_ITEMS} benchmark items")
     rows = sorted({(r[0], r[1]) for r in rows})
-    words = [[w for w in map(core, t.lower().split()) if w] for _, t in rows]
+    words = [split_words(t) for _, t in rows]
     df = Counter(w for ws in words for w in set(ws))
     most = max(2.0, common * len(rows))
     numbers = {w: i for i, w in enumerate(sorted(w for w in df if df[w] <= most))}
@@ -84,13 +66,14 @@ def term_places(docs: DataFrame, numbers: dict[str, int]) -> DataFrame:
     """(doc_id, n_words, pos, term): the content terms of every whole text, as packed int32."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = Terms(numbers).__getitem__
+        number = numbers.get
         for batch in batches:
             for part in slices(batch, 1):
                 sizes, pos, term = [], [], []
                 for text in part.column(1):
-                    words = (text.as_py() or "").lower().split()
-                    found = np.fromiter(map(number, words), dtype=np.int32, count=len(words))
+                    words = split_words(text.as_py() or "")
+                    found = np.fromiter(
+                        [number(w, -1) for w in words], dtype=np.int32, count=len(words))
                     at = np.flatnonzero(found >= 0).astype(np.int32)
                     sizes.append(len(words))
                     pos.append(at.tobytes())
@@ -212,6 +195,12 @@ class Index:
     terms: np.ndarray  # terms x rank, weighted by idf
     vectors: np.ndarray  # items x rank, of unit length
     answers: list[set[int]]
+    pairs: np.ndarray  # item * terms + term, sorted
+
+    def holds(self, item: np.ndarray, term: np.ndarray) -> np.ndarray:
+        key = item.astype(np.int64) * self.idf.size + term
+        at = np.searchsorted(self.pairs, key)
+        return self.pairs[np.minimum(at, self.pairs.size - 1)] == key
 
     def search(self, part: pa.RecordBatch, cosine: float, common: float, answer: float,
                seen: list[int]) -> list[tuple]:
@@ -228,35 +217,38 @@ class Index:
         window[follows] += near[follows + 1]
         window /= np.maximum(np.linalg.norm(window, axis=1, keepdims=True), 1e-9)
         best: dict[tuple[int, int], tuple] = {}
-        ends = np.append(starts[1:], term.size)
+        lengths, sizes = np.array(self.items.lengths), np.array([len(t) for t in self.items.terms])
+        far = int(pos.max()) + 2 * int(lengths.max()) + 8 * STEP
+        place = row.astype(np.int64) * far + pos
+        middle = at_row * far + pos[starts] // STEP * STEP + STEP
         for lo in range(0, len(window), 8192):
             like = window[lo:lo + 8192] @ self.vectors.T
-            for w, i in zip(*np.nonzero(like >= cosine)):
-                seen[0] += 1
-                k, score = lo + int(w), float(like[w, i])
-                r, i = int(at_row[k]), int(i)
-                # The item may begin before and end after the window, by its own length.
-                middle = int(pos[starts[k]]) // STEP * STEP + STEP
-                reach = self.items.lengths[i] + STEP
-                a = b = int(starts[k])
-                while a > 0 and row[a - 1] == r and pos[a - 1] >= middle - reach:
-                    a -= 1
-                b = int(ends[k])
-                while b < term.size and row[b] == r and pos[b] < middle + reach:
-                    b += 1
-                found = term[a:b].tolist()
-                own = self.items.terms[i]
-                if len(found) < common * len(own):
-                    continue
-                masks: dict[int, int] = {}
-                for j, t in enumerate(own):
-                    masks[t] = masks.get(t, 0) | 1 << j
-                share = common_length(masks, found) / len(own)
-                told = len(self.answers[i] & set(found)) / len(self.answers[i])
-                if share >= common and told >= answer:
-                    hit = (share, told, score)
-                    if hit > best.get((r, i), (0,)):
-                        best[r, i] = hit
+            w, i = np.nonzero(like >= cosine)
+            seen[0] += w.size
+            score, w = like[w, i], w + lo
+            # The item may begin before and end after the window, by its own length.
+            reach = lengths[i] + STEP
+            first = np.searchsorted(place, np.maximum(middle[w] - reach, at_row[w] * far))
+            last = np.searchsorted(place, middle[w] + reach)
+            # No common subsequence is longer than the number of the item's terms in the place.
+            for at in range(0, w.size, 16_384):
+                cut = slice(at, at + 16_384)
+                n = last[cut] - first[cut]
+                where = np.repeat(first[cut] - np.cumsum(n) + n, n) + np.arange(n.sum())
+                own = self.holds(np.repeat(i[cut], n), term[where])
+                total = np.add.reduceat(own, np.cumsum(n) - n, dtype=np.int64)
+                for k in np.flatnonzero(total >= common * sizes[i[cut]]) + at:
+                    r, item = int(at_row[w[k]]), int(i[k])
+                    found = term[first[k]:last[k]].tolist()
+                    masks: dict[int, int] = {}
+                    for j, t in enumerate(self.items.terms[item]):
+                        masks[t] = masks.get(t, 0) | 1 << j
+                    share = common_length(masks, found) / sizes[item]
+                    told = len(self.answers[item] & set(found)) / len(self.answers[item])
+                    if share >= common and told >= answer:
+                        hit = (float(share), told, float(score[k]))
+                        if hit > best.get((r, item), (0,)):
+                            best[r, item] = hit
         return [(r, self.items.ids[i], h[2], h[0], h[1]) for (r, i), h in sorted(best.items())]
 
 
@@ -268,14 +260,15 @@ def build(places: DataFrame, items: Items, rank: int = RANK, answer_terms: int =
     vectors = np.stack([v[ts].sum(axis=0) for ts in items.terms])
     vectors /= np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-9)
     answers = [set(sorted(set(ts), key=lambda t: (-idf[t], t))[:answer_terms]) for ts in items.terms]
-    return Index(items, idf, v, vectors, answers)
+    pairs = np.unique([i * n + t for i, ts in enumerate(items.terms) for t in ts])
+    return Index(items, idf, v, vectors, answers, pairs)
 
 
 MATCH = "doc_id bigint, item_id bigint, cosine double, common double, answer double"
 
 
 def matches(
-    docs: DataFrame, benchmark: DataFrame, cosine: float = 0.4, common: float = 0.6,
+    docs: DataFrame, benchmark: DataFrame, cosine: float = 0.5, common: float = 0.6,
     answer: float = 0.6, rank: int = RANK,
 ) -> DataFrame:
     """(doc_id, item_id, cosine, common, answer): documents that hold an item or a paraphrase of it.
