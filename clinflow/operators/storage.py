@@ -13,7 +13,7 @@ def scratch_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
-    if not spark.conf.get("spark.master", "local").startswith("local"):
+    if not spark.conf.get("spark.master", "unknown").startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if not _local_root:
         _local_root.append(tempfile.mkdtemp(prefix="clinflow-"))
