@@ -3,6 +3,10 @@
 A shingle's 32-bit hash x goes through universal hash permutations, (a * x + b) in 64 bits with the
 high half kept; the least value of each makes the signature. The share of equal components
 estimates the Jaccard similarity of two texts.
+
+Near-duplicates share a band, a run of components. In each bucket, the texts of an equal band, all are
+compared with one of them; only where that leaves some apart do all of the bucket meet. What
+is compared are the whole sets of shingle hashes; texts with equal sets are one point from the start.
 """
 
 from __future__ import annotations
@@ -13,11 +17,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clinflow.llm.common import parallel, pick, slices
+from clinflow.llm.common import parallel, pick, runs, slices
 from clinflow.llm.components import connected_components
 from clinflow.llm.order import id_splitters, range_of
 from clinflow.operators.storage import materialize
@@ -66,10 +71,201 @@ def signature(hashes: np.ndarray) -> np.ndarray:
     return out
 
 
+def set_key(hashes: np.ndarray) -> int:
+    """A 64-bit number of a set of shingle hashes, signed; texts with equal sets are one point."""
+    return int(np.array(xxhash.xxh64_intdigest(hashes.tobytes()), dtype=np.uint64).view(np.int64))
+
+
+def bands(sig: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the bands of a signature, the number of the band in each."""
+    return np.array([xxhash.xxh64_intdigest(part.tobytes(), i) for i, part in enumerate(
+        sig.reshape(BANDS, -1))], dtype=np.uint64).view(np.int64)
+
+
 def likeness(a: np.ndarray, b: np.ndarray) -> float:
     return float((a == b).mean())
 
 
+def jaccard(a: np.ndarray, b: np.ndarray) -> float:
+    """Of two sorted arrays without repeats; two empty ones are equal."""
+    both = np.intersect1d(a, b, assume_unique=True).size
+    return both / (a.size + b.size - both) if a.size + b.size else 1.0
+
+
+def shingle_sets(docs: DataFrame) -> DataFrame:
+    """(doc_id, key, hashes) of each row with words; the hashes as packed uint32, ascending."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, 1):
+                sets = [shingle_hashes(t.as_py()) for t in part.column(1)]
+                yield pa.RecordBatch.from_arrays([
+                    part.column(0), pa.array([set_key(s) for s in sets], pa.int64()),
+                    pa.array([s.tobytes() for s in sets], pa.binary())], ["doc_id", "key", "hashes"])
+
+    return pick(docs, doc_id="doc_id:bigint", text="text:string").mapInArrow(
+        run, "doc_id bigint, key bigint, hashes binary")
+
+
+def band_marks(docs: DataFrame) -> DataFrame:
+    """(doc_id, key, bands) of each row; a text without words has no bands."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, 1):
+                sets = [shingle_hashes(t.as_py()) for t in part.column(1)]
+                yield pa.RecordBatch.from_arrays([
+                    part.column(0), pa.array([set_key(s) for s in sets], pa.int64()),
+                    pa.array([bands(signature(s)) if s.size else [] for s in sets],
+                             pa.list_(pa.int64()))], ["doc_id", "key", "bands"])
+
+    return pick(docs, doc_id="doc_id:bigint", text="text:string").mapInArrow(
+        run, "doc_id bigint, key bigint, bands array<bigint>")
+
+
+def star_links(pairs: DataFrame, sets: DataFrame, least: float, tile_rows: int) -> DataFrame:
+    """Those of the pairs (key, hub) whose sets are at least ``least`` alike.
+
+    A hub's pairs are dealt to tasks in tiles of about ``tile_rows``, its set with each tile; a task holds
+    one hub's set and one batch of others at a time.
+    """
+    tiles = materialize(pairs.groupBy("hub").agg(
+        F.ceil(F.count("*") / tile_rows).cast("bigint").alias("tiles")), "hubs")
+    spokes = pairs.join(tiles, "hub").join(sets, "key").select(
+        "hub", F.pmod(F.xxhash64("key"), "tiles").alias("t"), F.lit(1).alias("spoke"), "key", "hashes")
+    hubs = tiles.join(sets, F.col("hub") == F.col("key")).select(
+        "hub", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("tiles") - 1)).alias("t"),
+        F.lit(0).alias("spoke"), "key", "hashes")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = None
+        for batch in batches:
+            found = []
+            for hub, spoke, key, packed in zip(*[batch.column(i).to_pylist() for i in (0, 2, 3, 4)]):
+                values = np.frombuffer(packed, np.uint32)
+                if not spoke:
+                    own = values
+                elif jaccard(own, values) >= least:
+                    found.append((key, hub))
+            if found:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([f[i] for f in found], pa.int64()) for i in (0, 1)], ["a", "b"])
+
+    return hubs.union(spokes).repartition(parallel(pairs), "hub", "t").sortWithinPartitions(
+        "hub", "t", "spoke").mapInArrow(run, "a bigint, b bigint")
+
+
+def forest(sets: list[np.ndarray], label: np.ndarray, least: float) -> list[tuple[int, int]]:
+    """Index pairs of sets at least ``least`` alike that join what has different labels: one fewer
+    than the labels they bring together."""
+    label, found = label.copy(), []
+    sizes = np.array([s.size for s in sets])
+    for i, own in enumerate(sets):
+        if (label == label[0]).all():
+            break
+        other = np.flatnonzero(
+            (label != label[i]) & (sizes >= least * own.size) & (own.size >= least * sizes))
+        if not other.size or not own.size:
+            continue
+        flat = np.concatenate([sets[j] for j in other])
+        at = np.minimum(np.searchsorted(own, flat), own.size - 1)
+        starts = np.cumsum(sizes[other]) - sizes[other]
+        both = np.add.reduceat((own[at] == flat).astype(np.int64), starts)
+        for j in other[both >= least * (own.size + sizes[other] - both)]:
+            if label[j] != label[i]:
+                found.append((i, int(j)))
+                label[label == label[j]] = label[i]
+    return found
+
+
+def bucket_links(members: DataFrame, sets: DataFrame, least: float, tile_rows: int) -> DataFrame:
+    """Links within buckets of (h, key, label), beside those that equal labels stand for.
+
+    A bucket with more than ``tile_rows`` members is cut into tiles and every two tiles meet in a task
+    of their own: no pair is lost, and no task holds more than two tiles.
+    """
+    tiles = materialize(members.groupBy("h").agg(
+        F.ceil(F.count("*") / tile_rows).cast("bigint").alias("tiles")), "buckets")
+    dealt = members.join(tiles, "h").withColumn("t", F.pmod(F.xxhash64("key"), "tiles"))
+    others = F.filter(F.sequence(F.lit(0).cast("bigint"), F.col("tiles") - 1), lambda o: o != F.col("t"))
+    dealt = dealt.withColumn("o", F.explode(F.when(
+        F.col("tiles") > 1, others).otherwise(F.array(F.col("t")))))
+    keys = ["h", "p", "q"]
+    dealt = dealt.join(sets, "key").select(
+        "h", F.least("t", "o").alias("p"), F.greatest("t", "o").alias("q"), "key", "label", "hashes")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for shard in runs(batches, keys):
+            values = [np.frombuffer(x.as_py(), np.uint32) for x in shard.column("hashes")]
+            key = np.asarray(shard.column("key"))
+            found = np.array(forest(values, np.asarray(shard.column("label")), least))
+            if found.size:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(key[found[:, i]]) for i in (0, 1)], ["a", "b"])
+
+    return dealt.repartition(parallel(members), *keys).sortWithinPartitions(*keys).mapInArrow(
+        run, "a bigint, b bigint")
+
+
+def near_classes(docs: DataFrame, least: float = 0.8, tile_rows: int = 512) -> DataFrame:
+    """(key, component_id) of every set of shingles that more than one row has or is linked to.
+
+    ``component_id`` is the smallest doc_id reachable over texts whose sets of five-word shingles have a
+    Jaccard similarity of ``least`` or more and that share a band; two texts at 0.8 do so with a
+    probability of 0.9998. Texts without words are one class. Rows without an id link like others but
+    name no class; a class of such rows alone has the id NULL. An empty table gives no rows.
+    """
+    marks = materialize(band_marks(docs), "marks")
+    places = marks.select("key", F.explode("bands").alias("h"))
+    buckets = materialize(
+        places.groupBy("h").agg(F.min("key").alias("hub"), F.max("key").alias("last"))
+        .where("hub != last").select("h", "hub"), "shared_bands")
+    members = materialize(
+        places.join(buckets, "h").select("h", "hub", "key").distinct(), "members")
+    pairs = materialize(members.where("key != hub").select("key", "hub").distinct(), "pairs")
+    needed = pairs.select("key").union(pairs.select("hub")).distinct()
+    # One row stands for each set: of those with the smallest doc_id any one.
+    chosen = materialize(marks.select("key", "doc_id").join(needed, "key").groupBy("key").agg(
+        F.min("doc_id").alias("first")), "chosen")
+    rows = shingle_sets(docs)
+    sets = materialize(rows.join(chosen, (rows["key"] == chosen["key"]) & rows["doc_id"].eqNullSafe(
+        chosen["first"]), "left_semi").dropDuplicates(["key"]), "sets").select("key", "hashes")
+    links = materialize(star_links(pairs, sets, least, tile_rows), "star_links")
+    # Where a member is not linked to its hub, all of the bucket meet; buckets with the same members
+    # meet once. Two members need no second look.
+    linked = links.select(F.col("a").alias("key"), F.col("b").alias("hub"), F.lit(True).alias("linked"))
+    seen = members.join(linked, ["key", "hub"], "left").select(
+        "h", "hub", "key", (F.col("linked").isNotNull() | (F.col("key") == F.col("hub"))).alias("same"))
+    left = materialize(seen.groupBy("h").agg(
+        F.count("*").alias("n"), F.bool_and("same").alias("closed"),
+        F.sum(F.xxhash64("key").cast("decimal(38,0)")).alias("who"))
+        .where("not closed and n > 2").groupBy("n", "who").agg(F.min("h").alias("h")), "open_buckets")
+    apart = materialize(seen.join(left.select("h"), "h").select(
+        "h", "key", F.when(F.col("same"), F.col("hub")).otherwise(F.col("key")).alias("label")),
+        "open_members")
+    links = links.union(bucket_links(apart, sets, least, tile_rows))
+    nodes = materialize(connected_components(links), "components")
+    points = marks.groupBy("key").agg(F.min("doc_id").alias("first"), F.count("*").alias("n"))
+    rooted = materialize(points.join(nodes.withColumnRenamed("node", "key"), "key", "left")
+                         .where("n > 1 or root is not null")
+                         .select("key", "first", F.coalesce("root", "key").alias("root")), "rooted")
+    least_id = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
+    return rooted.join(least_id, "root").select("key", "component_id")
+
+
+def with_classes(rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """``rows`` (doc_id, key, ...) with ``component_id``; a row in no class is one of its own."""
+    named = materialize(classes, "classes").withColumn("classed", F.lit(True))
+    return rows.join(named, "key", "left").withColumn("component_id", F.when(
+        F.col("classed"), F.col("component_id")).otherwise(F.col("doc_id"))).drop("classed", "key")
+
+
+def near_duplicates(docs: DataFrame, least: float = 0.8, tile_rows: int = 512) -> DataFrame:
+    """(doc_id, component_id) for every row, as ``near_classes`` finds them."""
+    rows = band_marks(docs).select("doc_id", "key")
+    return with_classes(rows, near_classes(docs, least, tile_rows))
+
+
 def edited(text: str, following: str) -> str:
     """The last half (rounded down) replaced by as many first code points of the following text."""
     half = len(text) // 2
@@ -77,7 +273,8 @@ def edited(text: str, following: str) -> str:
 
 
 def compare_with_next(docs: DataFrame) -> DataFrame:
-    """For each row its signature, the edited text's, and the likenesses, next in descending id.
+    """For each row its signature, the edited text's, and the likenesses, next in descending id;
+    ``key`` is the number of its set of shingles.
 
     One shuffle of compressed texts: rows go to ranges of doc_id (bounds from a size-weighted
     sample), and the first row of a range goes along to the range whose last row it follows, as does the
@@ -111,15 +308,17 @@ def compare_with_next(docs: DataFrame) -> DataFrame:
         for batch in batches:
             for part in slices(batch, 1):
                 texts = [t.as_py() for t in part.column(1)]
+                sets = [shingle_hashes(t) for t in texts]
                 yield pa.RecordBatch.from_arrays([
                     part.column(0),
                     pa.array([squeeze(t.encode("utf-8", "surrogatepass")) for t in texts]),
                     *part.columns[2:],
-                    pa.array([signature(shingle_hashes(t)).tobytes() for t in texts], pa.binary())],
-                    ["doc_id", "body", "r", "tie", "sig"])
+                    pa.array([signature(s).tobytes() for s in sets], pa.binary()),
+                    pa.array([set_key(s) for s in sets], pa.int64())],
+                    ["doc_id", "body", "r", "tie", "sig", "key"])
 
     small = rows.select("doc_id", "text", number.cast("int").alias("r"), tie.alias("tie")).mapInArrow(
-        shrink, "doc_id bigint, body binary, r int, tie bigint, sig binary")
+        shrink, "doc_id bigint, body binary, r int, tie bigint, sig binary, key bigint")
     # A row that comes to a range as its follower only is a ghost; it sorts behind all others.
     dealt = small.withColumn("ghost", F.explode(F.when(
         is_head, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))))
@@ -135,13 +334,13 @@ def compare_with_next(docs: DataFrame) -> DataFrame:
             doc_id, text, sig = now[1:4]
             changed = edited(text, after[2])
             other = signature(shingle_hashes(changed))
-            out.append((doc_id, len(text), changed, sig, other, after[3]))
+            out.append((doc_id, len(text), changed, sig, other, after[3], now[4]))
 
         for batch in batches:
-            for r, ghost, doc_id, body, sig in zip(*[
-                    batch.column(i).to_pylist() for i in (2, 5, 0, 1, 4)]):
+            for r, ghost, doc_id, body, sig, key in zip(*[
+                    batch.column(i).to_pylist() for i in (2, 6, 0, 1, 4, 5)]):
                 row = (r, doc_id, grow(body).decode("utf-8", "surrogatepass"),
-                       np.frombuffer(sig, np.uint32))
+                       np.frombuffer(sig, np.uint32), key)
                 if held is not None and held[0] == r:
                     emit(held, row)
                 # Of several equal heads one ghost is enough, and it has no follower here.
@@ -150,11 +349,11 @@ def compare_with_next(docs: DataFrame) -> DataFrame:
                 yield _rows(out)
                 out.clear()
 
-    return dealt.select("doc_id", "body", "r", "tie", "sig", "ghost").mapInArrow(walk, SCHEMA)
+    return dealt.select("doc_id", "body", "r", "tie", "sig", "key", "ghost").mapInArrow(walk, SCHEMA)
 
 
 SCHEMA = ("doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, "
-          "edited_fingerprint string, near_edited double, near_next double")
+          "edited_fingerprint string, near_edited double, near_next double, key bigint")
 
 
 def _empty(docs: DataFrame) -> DataFrame:
@@ -170,4 +369,5 @@ def _rows(out: list[tuple]) -> pa.RecordBatch:
         pa.array([hashlib.sha256(o[2].encode("utf-8", "surrogatepass")).hexdigest() for o in out]),
         pa.array([hexed(o[3]) for o in out]), pa.array([hexed(o[4]) for o in out]),
         pa.array([likeness(o[3], o[4]) for o in out]),
-        pa.array([likeness(o[3], o[5]) for o in out])], [c.split()[0] for c in SCHEMA.split(", ")])
+        pa.array([likeness(o[3], o[5]) for o in out]),
+        pa.array([o[6] for o in out], pa.int64())], [c.split()[0] for c in SCHEMA.split(", ")])

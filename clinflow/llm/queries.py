@@ -43,7 +43,8 @@ def source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash.compare_with_next(table(spark, sf_dir, "documents"))
+    docs = table(spark, sf_dir, "documents")
+    return minhash.with_classes(minhash.compare_with_next(docs), minhash.near_classes(docs))
 
 
 def private_data(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -247,6 +247,49 @@ def test_fingerprints_and_edited_texts(docs, rows):
     assert by_id[100]["fingerprint"] == by_id[101]["fingerprint"] == by_id[3]["fingerprint"]
 
 
+@pytest.mark.parametrize("tile", [512, 3])
+def test_classes_equal_those_of_all_pairs(spark, tile):
+    rng = np.random.default_rng(5)
+    words = np.array(["w%d" % i for i in range(2000)])
+    texts = [" ".join(rng.choice(words, 200)) for _ in range(40)]
+    for base in range(3):  # chains that drift away from their start, and stars of near copies
+        own = texts[base].split()
+        for k in range(12):
+            own[(k * 13) % 200] = "chain%d" % k
+            texts.append(" ".join(own))
+        own = texts[base + 10].split()
+        texts += [" ".join([*own[:199 - k % 9], "end%d" % k]) for k in range(12)]
+    shared = rng.choice(words, 120).tolist()  # half of the text is shared: alike, but not enough
+    texts += [" ".join(shared + rng.choice(words, 60).tolist()) for _ in range(20)]
+    texts += [texts[3], texts[3].upper(), "", None, " \t", "one two", "one  two", texts[45]]
+    rows = [(i + 1, t, "a", "s") for i, t in enumerate(texts)]
+    rows += [(None, texts[3], "a", "s"), (None, "alone", "a", "s"), (2, texts[2], "a", "s")]
+    sets = []
+    for _, t, _, _ in rows:
+        own = (t or "").lower().split()
+        sets.append({tuple(own[i:i + 5]) for i in range(max(1, len(own) - 4))} if own else set())
+    root = list(range(len(rows)))
+    for i, a in enumerate(sets):
+        for j in range(i):
+            b = sets[j]
+            if (len(a & b) >= 0.8 * len(a | b)) and root[i] != root[j]:
+                root = [root[j] if r == root[i] else r for r in root]
+    ids = defaultdict(list)
+    for r, row in zip(root, rows):
+        ids[r] += [row[0]] if row[0] is not None else []
+    expected = Counter((row[0], min(ids[r], default=None)) for r, row in zip(root, rows))
+    found = minhash.near_duplicates(make(spark, rows).repartition(3), tile_rows=tile)
+    assert Counter(tuple(r) for r in found.collect()) == expected
+
+
+def test_open_buckets_join_what_their_hub_does_not():
+    rng = np.random.default_rng(1)
+    bases = [np.unique(rng.integers(0, 1 << 32, 100, dtype=np.uint32)) for _ in range(3)]
+    sets = [np.unique(np.append(b[k:], np.uint32(k))) for b in bases for k in range(5)]
+    found = minhash.forest(sets, np.arange(15), 0.8)
+    assert len(found) == 12 and all(i // 5 == j // 5 for i, j in found)
+
+
 def test_likeness_estimates_jaccard():
     words = ["a%d" % i for i in range(400)]
     one, two = " ".join(words), " ".join(words[:380] + ["b%d" % i for i in range(20)])
@@ -371,7 +414,7 @@ def test_decontamination_finds_verbatim_and_paraphrased_items(spark):
     lambda d: vptree.near_duplicates(d), lambda d: vptree.keep_first(d),
     lambda d: tokens.read_index(d.sparkSession, tokens.write_tokens(d, vocabulary())),
     lambda d: shards.assign(d), lambda d: mixture.mix(d), lambda d: mixture.repeat(d),
-    lambda d: minhash.compare_with_next(d), lambda d: credentials.scan(d),
+    lambda d: minhash.compare_with_next(d), lambda d: minhash.near_duplicates(d), lambda d: credentials.scan(d),
     lambda d: privacy.scan(d), lambda d: language.classify(d, language.train(d)),
     lambda d: licences.scan(d)])
 def test_empty_tables(spark, apply):
