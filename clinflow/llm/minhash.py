@@ -92,35 +92,60 @@ def jaccard(a: np.ndarray, b: np.ndarray) -> float:
     return both / (a.size + b.size - both) if a.size + b.size else 1.0
 
 
-def shingle_sets(docs: DataFrame) -> DataFrame:
-    """(doc_id, key, hashes) of each row with words; the hashes as packed uint32, ascending."""
+def texts_of(docs: DataFrame) -> DataFrame:
+    """(doc_id, text, tie): NULL texts as empty ones, ``tie`` tells rows with one id apart."""
+    rows = pick(docs, doc_id="doc_id:bigint", text="text:string").select(
+        "doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    return rows.withColumn("tie", F.xxhash64("text"))
+
+
+def band_marks(docs: DataFrame) -> DataFrame:
+    """(doc_id, tie, key, bands) of each row; a text without words has no bands."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, 1):
                 sets = [shingle_hashes(t.as_py()) for t in part.column(1)]
                 yield pa.RecordBatch.from_arrays([
-                    part.column(0), pa.array([set_key(s) for s in sets], pa.int64()),
-                    pa.array([s.tobytes() for s in sets], pa.binary())], ["doc_id", "key", "hashes"])
+                    part.column(0), part.column(2), pa.array([set_key(s) for s in sets], pa.int64()),
+                    pa.array([bands(signature(s)) if s.size else [] for s in sets],
+                             pa.list_(pa.int64()))], ["doc_id", "tie", "key", "bands"])
 
-    return pick(docs, doc_id="doc_id:bigint", text="text:string").mapInArrow(
-        run, "doc_id bigint, key bigint, hashes binary")
+    return texts_of(docs).mapInArrow(run, "doc_id bigint, tie bigint, key bigint, bands array<bigint>")
 
 
-def band_marks(docs: DataFrame) -> DataFrame:
-    """(doc_id, key, bands) of each row; a text without words has no bands."""
+def spots(chosen: DataFrame, bits: int = 26) -> np.ndarray:
+    """A map of ``2 ** bits`` bits (8 MB) with those of the rows (key, first) set, however many they are."""
+    at = F.col("key").bitwiseXOR(F.coalesce("first", F.lit(0))).bitwiseAND((1 << bits) - 1)
+    words = chosen.select(at.alias("at")).select(
+        F.shiftright("at", 6).alias("word"),
+        F.expr("shiftleft(1L, cast(at & 63 as int))").alias("bit")).groupBy("word").agg(
+        F.bit_or("bit").alias("bit")).toArrow()
+    out = np.zeros(1 << (bits - 6), dtype=np.int64)
+    out[np.asarray(words.column("word"))] = np.asarray(words.column("bit"))
+    return out
+
+
+def shingle_sets(docs: DataFrame, wanted: np.ndarray) -> DataFrame:
+    """(key, hashes) of the rows whose spot is set: every wanted row, and others that share a spot.
+    The hashes are packed uint32, ascending."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, 1):
-                sets = [shingle_hashes(t.as_py()) for t in part.column(1)]
-                yield pa.RecordBatch.from_arrays([
-                    part.column(0), pa.array([set_key(s) for s in sets], pa.int64()),
-                    pa.array([bands(signature(s)) if s.size else [] for s in sets],
-                             pa.list_(pa.int64()))], ["doc_id", "key", "bands"])
+                keys, sets = [], []
+                for doc_id, text in zip(part.column(0).to_pylist(), part.column(1)):
+                    hashes = shingle_hashes(text.as_py())
+                    key = set_key(hashes)
+                    at = (key ^ (doc_id or 0)) & (wanted.size * 64 - 1)
+                    if int(wanted[at >> 6]) >> (at & 63) & 1:
+                        keys.append(key)
+                        sets.append(hashes.tobytes())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(keys, pa.int64()), pa.array(sets, pa.binary())], ["key", "hashes"])
 
     return pick(docs, doc_id="doc_id:bigint", text="text:string").mapInArrow(
-        run, "doc_id bigint, key bigint, bands array<bigint>")
+        run, "key bigint, hashes binary")
 
 
 def star_links(pairs: DataFrame, sets: DataFrame, least: float, tile_rows: int) -> DataFrame:
@@ -207,13 +232,14 @@ def bucket_links(members: DataFrame, sets: DataFrame, least: float, tile_rows: i
         run, "a bigint, b bigint")
 
 
-def near_classes(docs: DataFrame, least: float = 0.8, tile_rows: int = 512) -> DataFrame:
-    """(key, component_id) of every set of shingles that more than one row has or is linked to.
+def near_duplicates(docs: DataFrame, least: float = 0.8, tile_rows: int = 512) -> DataFrame:
+    """(doc_id, tie, component_id, classed) for every row; ``tie`` is a hash of its text.
 
     ``component_id`` is the smallest doc_id reachable over texts whose sets of five-word shingles have a
     Jaccard similarity of ``least`` or more and that share a band; two texts at 0.8 do so with a
-    probability of 0.9998. Texts without words are one class. Rows without an id link like others but
-    name no class; a class of such rows alone has the id NULL. An empty table gives no rows.
+    probability of 0.9998. ``classed`` is true for rows in a class of two or more. Texts without words
+    are one class. Rows without an id link like others but name no class; a class of such rows
+    alone has the id NULL. An empty table gives no rows.
     """
     marks = materialize(band_marks(docs), "marks")
     places = marks.select("key", F.explode("bands").alias("h"))
@@ -227,9 +253,9 @@ def near_classes(docs: DataFrame, least: float = 0.8, tile_rows: int = 512) -> D
     # One row stands for each set: of those with the smallest doc_id any one.
     chosen = materialize(marks.select("key", "doc_id").join(needed, "key").groupBy("key").agg(
         F.min("doc_id").alias("first")), "chosen")
-    rows = shingle_sets(docs)
-    sets = materialize(rows.join(chosen, (rows["key"] == chosen["key"]) & rows["doc_id"].eqNullSafe(
-        chosen["first"]), "left_semi").dropDuplicates(["key"]), "sets").select("key", "hashes")
+    # Sets of other rows that share a spot do no harm: the joins by key leave them out.
+    sets = materialize(
+        shingle_sets(docs, spots(chosen)).dropDuplicates(["key"]), "sets").select("key", "hashes")
     links = materialize(star_links(pairs, sets, least, tile_rows), "star_links")
     # Where a member is not linked to its hub, all of the bucket meet; buckets with the same members
     # meet once. Two members need no second look.
@@ -250,20 +276,10 @@ def near_classes(docs: DataFrame, least: float = 0.8, tile_rows: int = 512) -> D
                          .where("n > 1 or root is not null")
                          .select("key", "first", F.coalesce("root", "key").alias("root")), "rooted")
     least_id = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    return rooted.join(least_id, "root").select("key", "component_id")
-
-
-def with_classes(rows: DataFrame, classes: DataFrame) -> DataFrame:
-    """``rows`` (doc_id, key, ...) with ``component_id``; a row in no class is one of its own."""
-    named = materialize(classes, "classes").withColumn("classed", F.lit(True))
-    return rows.join(named, "key", "left").withColumn("component_id", F.when(
-        F.col("classed"), F.col("component_id")).otherwise(F.col("doc_id"))).drop("classed", "key")
-
-
-def near_duplicates(docs: DataFrame, least: float = 0.8, tile_rows: int = 512) -> DataFrame:
-    """(doc_id, component_id) for every row, as ``near_classes`` finds them."""
-    rows = band_marks(docs).select("doc_id", "key")
-    return with_classes(rows, near_classes(docs, least, tile_rows))
+    named = rooted.join(least_id, "root").select("key", "component_id", F.lit(True).alias("classed"))
+    return marks.select("doc_id", "tie", "key").join(named, "key", "left").select(
+        "doc_id", "tie", F.when(F.col("classed"), F.col("component_id")).otherwise(F.col("doc_id"))
+        .alias("component_id"), F.coalesce("classed", F.lit(False)).alias("classed"))
 
 
 def edited(text: str, following: str) -> str:
@@ -272,17 +288,18 @@ def edited(text: str, following: str) -> str:
     return text[:len(text) - half] + following[:half]
 
 
-def compare_with_next(docs: DataFrame) -> DataFrame:
-    """For each row its signature, the edited text's, and the likenesses, next in descending id;
-    ``key`` is the number of its set of shingles.
+def compare_with_next(docs: DataFrame, classes: DataFrame | None = None) -> DataFrame:
+    """For each row its signature, the edited text's, and the likenesses, next in descending id.
+
+    With ``classes``, as ``near_duplicates`` returns them, each row gets its ``component_id`` too: they come
+    along in the same shuffle, ahead of their rows. Otherwise every row is a class of its own.
 
     One shuffle of compressed texts: rows go to ranges of doc_id (bounds from a size-weighted
     sample), and the first row of a range goes along to the range whose last row it follows, as does the
     very first one to the end. Rows without an id come last; repeated ids are ordered by text, descending.
     NULL texts count as empty; a single row follows itself. An empty table gives no rows.
     """
-    rows = pick(docs, doc_id="doc_id:bigint", text="text:string").select(
-        "doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    rows = texts_of(docs)
     parts = parallel(docs)
     splitters = id_splitters(
         rows.select("doc_id", F.octet_length("text").alias("size")), parts)
@@ -290,8 +307,7 @@ def compare_with_next(docs: DataFrame) -> DataFrame:
     # Ranges in descending order of id: number 0 has the largest ids, the last one those without.
     number = F.when(F.col("doc_id").isNull(), F.lit(top + 1)).otherwise(top - range_of(splitters))
     # The greatest row of each range: an id and, among rows with that id, a hash of the text.
-    tie = F.xxhash64("text")
-    heads = rows.select(number.alias("r"), "doc_id", tie.alias("tie")).groupBy("r").agg(
+    heads = rows.select(number.alias("r"), "doc_id", "tie").groupBy("r").agg(
         F.max(F.struct("doc_id", "tie")).alias("h")).select("r", "h.*").sort("r").collect()
     if not heads:
         return _empty(docs)
@@ -308,27 +324,32 @@ def compare_with_next(docs: DataFrame) -> DataFrame:
         for batch in batches:
             for part in slices(batch, 1):
                 texts = [t.as_py() for t in part.column(1)]
-                sets = [shingle_hashes(t) for t in texts]
                 yield pa.RecordBatch.from_arrays([
                     part.column(0),
                     pa.array([squeeze(t.encode("utf-8", "surrogatepass")) for t in texts]),
                     *part.columns[2:],
-                    pa.array([signature(s).tobytes() for s in sets], pa.binary()),
-                    pa.array([set_key(s) for s in sets], pa.int64())],
-                    ["doc_id", "body", "r", "tie", "sig", "key"])
+                    pa.array([signature(shingle_hashes(t)).tobytes() for t in texts], pa.binary())],
+                    ["doc_id", "body", "r", "tie", "sig"])
 
-    small = rows.select("doc_id", "text", number.cast("int").alias("r"), tie.alias("tie")).mapInArrow(
-        shrink, "doc_id bigint, body binary, r int, tie bigint, sig binary, key bigint")
+    small = rows.select("doc_id", "text", number.cast("int").alias("r"), "tie").mapInArrow(
+        shrink, "doc_id bigint, body binary, r int, tie bigint, sig binary")
     # A row that comes to a range as its follower only is a ghost; it sorts behind all others.
     dealt = small.withColumn("ghost", F.explode(F.when(
         is_head, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))))
     dealt = dealt.withColumn("r", F.when(F.col("ghost"), to).otherwise(F.col("r")))
+    dealt = dealt.select(
+        "r", "ghost", "doc_id", "tie", F.lit(None).cast("bigint").alias("component_id"), "body", "sig")
+    if classes is not None:  # rows without a body
+        dealt = dealt.union(classes.where("classed").select(
+            number.cast("int"), F.lit(False), "doc_id", "tie", "component_id",
+            F.lit(None).cast("binary"), F.lit(None).cast("binary")).distinct())
     dealt = dealt.repartition(parts, "r").sortWithinPartitions(
-        "r", "ghost", F.col("doc_id").desc_nulls_last(), F.col("tie").desc())
+        "r", "ghost", F.col("doc_id").desc_nulls_last(), F.col("tie").desc(),
+        F.col("body").isNotNull())
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grow = zstandard.ZstdDecompressor().decompress
-        held, out = None, []
+        held, named, out = None, None, []
 
         def emit(now: tuple, after: tuple) -> None:
             doc_id, text, sig = now[1:4]
@@ -337,10 +358,15 @@ def compare_with_next(docs: DataFrame) -> DataFrame:
             out.append((doc_id, len(text), changed, sig, other, after[3], now[4]))
 
         for batch in batches:
-            for r, ghost, doc_id, body, sig, key in zip(*[
-                    batch.column(i).to_pylist() for i in (2, 6, 0, 1, 4, 5)]):
+            for r, ghost, doc_id, tie, component, body, sig in zip(
+                    *[c.to_pylist() for c in batch.columns]):
+                if body is None:
+                    named = (doc_id, tie, component)
+                    continue
+                if named is None or named[:2] != (doc_id, tie):
+                    named = (doc_id, tie, doc_id)
                 row = (r, doc_id, grow(body).decode("utf-8", "surrogatepass"),
-                       np.frombuffer(sig, np.uint32), key)
+                       np.frombuffer(sig, np.uint32), named[2])
                 if held is not None and held[0] == r:
                     emit(held, row)
                 # Of several equal heads one ghost is enough, and it has no follower here.
@@ -349,11 +375,11 @@ def compare_with_next(docs: DataFrame) -> DataFrame:
                 yield _rows(out)
                 out.clear()
 
-    return dealt.select("doc_id", "body", "r", "tie", "sig", "key", "ghost").mapInArrow(walk, SCHEMA)
+    return dealt.mapInArrow(walk, SCHEMA)
 
 
 SCHEMA = ("doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, "
-          "edited_fingerprint string, near_edited double, near_next double, key bigint")
+          "edited_fingerprint string, near_edited double, near_next double, component_id bigint")
 
 
 def _empty(docs: DataFrame) -> DataFrame:

@@ -44,7 +44,7 @@ def source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return minhash.with_classes(minhash.compare_with_next(docs), minhash.near_classes(docs))
+    return minhash.compare_with_next(docs, minhash.near_duplicates(docs))
 
 
 def private_data(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -278,7 +278,10 @@ def test_classes_equal_those_of_all_pairs(spark, tile):
     for r, row in zip(root, rows):
         ids[r] += [row[0]] if row[0] is not None else []
     expected = Counter((row[0], min(ids[r], default=None)) for r, row in zip(root, rows))
-    found = minhash.near_duplicates(make(spark, rows).repartition(3), tile_rows=tile)
+    docs = make(spark, rows).repartition(3)
+    classes = minhash.near_duplicates(docs, tile_rows=tile)
+    assert Counter((r[0], r[2]) for r in classes.collect()) == expected
+    found = minhash.compare_with_next(docs, classes).select("doc_id", "component_id")
     assert Counter(tuple(r) for r in found.collect()) == expected
 
 
