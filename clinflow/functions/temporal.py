@@ -37,8 +37,11 @@ def episode_hours(start: Column, end: Column) -> Column:
 
 
 def wall_clock(ts: Column, tz: str) -> Column:
-    """Local date and time of an instant in ``tz``, whatever the session time zone is."""
-    return F.convert_timezone(None, F.lit(tz), ts.cast("timestamp_ntz"))
+    """Local date and time of an instant in ``tz``, whatever the session time zone is: counted from
+    1970 in UTC, since a cast would merge the two hours of the session zone's autumn change."""
+    start = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    utc = F.timestamp_add("MICROSECOND", F.unix_micros(ts.cast("timestamp")), start)
+    return F.convert_timezone(F.lit("UTC"), F.lit(tz), utc)
 
 
 def weekday_name(ts: Column) -> Column:

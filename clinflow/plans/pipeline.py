@@ -57,7 +57,7 @@ def load(
     """Flat tables -> star schema under ``out``. The ranges are stored first, so the flag joins a
     table of known size. ``fact_by_year`` partitions the fact by admission year: the year slicer
     then reads only the years it needs. ``on_violation`` is applied to the keys of each table, see
-    ``quality.enforce_key``."""
+    ``quality.enforce_key``; ``quarantine`` writes the other rows to ``<table>_quarantine``."""
     flat = read_parquet_tables(spark, parquet, FLAT, FLAT)
     name = "dim_loinc_reference"
     counts = {name: write_parquet(
@@ -65,7 +65,11 @@ def load(
     ranges = read_parquet_tables(spark, out, [name])[name]
     for table, df in build(flat, ranges, tz).items():
         if table != name:
-            df = quality.enforce_key(df, KEYS[table], table, on_violation)
+            if on_violation == "quarantine":
+                df, bad = quality.split_by_key(df, KEYS[table])
+                counts[f"{table}_quarantine"] = write_parquet(bad, f"{out}/{table}_quarantine")
+            else:
+                df = quality.enforce_key(df, KEYS[table], table, on_violation)
             by_year = fact_by_year and table == "fact_patient_encounters"
             counts[table] = write_parquet(
                 df, f"{out}/{table}", ["admit_year"] if by_year else [])
@@ -113,11 +117,14 @@ def validate(spark: SparkSession, root: str, with_models: bool = False) -> dict[
     }
 
 
-def run(spark: SparkSession, src: str, work: str) -> dict[str, dict[str, int]]:
-    """All stages under one working folder."""
-    return {
+def run(spark: SparkSession, src: str, work: str) -> dict[str, dict]:
+    """All stages under one working folder, and the checks at the end, a row per link or table."""
+    done = {
         "ingest": ingest(spark, src, f"{work}/parquet"),
         "load": load(spark, f"{work}/parquet", f"{work}/warehouse"),
         "models": run_models(spark, f"{work}/warehouse"),
         "export": export(spark, f"{work}/warehouse", f"{work}/dashboard"),
     }
+    checks = validate(spark, f"{work}/warehouse", with_models=True)
+    done["checks"] = {k: [r.asDict() for r in df.collect()] for k, df in checks.items()}
+    return done

@@ -1,5 +1,6 @@
 """Data-quality checks. Each returns a DataFrame; nothing is raised unless asked for."""
 
+import logging
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -8,6 +9,8 @@ from pyspark.sql import functions as F
 
 from clinflow.schemas import KEYS, LINKS
 
+log = logging.getLogger(__name__)
+
 
 def orphan_rows(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
     """Child rows without a parent. A NULL key never has one."""
@@ -75,15 +78,16 @@ def split_by_key(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFra
 def enforce_key(
     df: DataFrame, keys: Sequence[str], name: str, on_violation: str = "report"
 ) -> DataFrame:
-    """``report`` returns the table as it is, ``quarantine`` the rows that satisfy the key,
-    ``fail`` raises when there is any violation."""
-    if on_violation == "report":
-        return df
+    """``report`` logs violations and returns the table as it is, ``quarantine`` returns the rows that
+    satisfy the key (``split_by_key`` has the others too), ``fail`` raises when there is any violation."""
     if on_violation == "quarantine":
         return split_by_key(df, keys)[0]
     found = key_check(df, keys, name).first()
     if found["duplicate_keys"] or found["null_key_rows"]:
-        raise ValueError(f"key {list(keys)} of {name} is violated: {found.asDict()}")
+        text = f"key {list(keys)} of {name} is violated: {found.asDict()}"
+        if on_violation == "fail":
+            raise ValueError(text)
+        log.warning(text)
     return df
 
 

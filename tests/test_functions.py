@@ -87,6 +87,12 @@ def test_wall_clock_ignores_the_session_zone(spark, session_zone):
             F.hour(C.wall_clock(F.col("t"), "Asia/Tokyo")).alias("j"),
             C.month_start(F.col("t"), "America/Chicago").cast("string").alias("m")).first()
         assert tuple(row) == (5, 14, "2024-07-01")
+        twice = spark.sql(  # the repeated hour of Chicago, both times
+            "SELECT timestamp'2023-11-05T06:30:00Z' a, timestamp'2023-11-05T07:30:00.000001Z' b")
+        assert tuple(map(str, twice.select(*[C.wall_clock(F.col(c), z) for z in (
+            "UTC", "America/Chicago") for c in "ab"]).first())) == (
+            "2023-11-05 06:30:00", "2023-11-05 07:30:00.000001",
+            "2023-11-05 01:30:00", "2023-11-05 01:30:00.000001")
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 

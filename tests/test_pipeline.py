@@ -123,7 +123,12 @@ def test_key_violations_at_load(spark, done, tmp_path):
     root, counts = done
     flat = f"{root}/work/parquet"
     kept = pipeline.load(spark, flat, str(tmp_path / "w"), on_violation="quarantine")
-    assert kept == {**counts["load"], "dim_diagnoses": 2}  # the row without a coding system
+    apart = {k: n for k, n in kept.items() if k.endswith("_quarantine")}
+    assert {k: n for k, n in apart.items() if n} == {"dim_diagnoses_quarantine": 1}
+    for table, n in counts["load"].items():  # the row without a coding system is kept apart
+        assert kept[table] + apart.get(f"{table}_quarantine", 0) == n
+    bad = spark.read.parquet(str(tmp_path / "w/dim_diagnoses_quarantine"))
+    assert bad.columns == TABLES["dim_diagnoses"].fieldNames() and bad.count() == 1
     with pytest.raises(ValueError, match="dim_diagnoses"):
         pipeline.load(spark, flat, str(tmp_path / "v"), on_violation="fail")
 
