@@ -45,6 +45,11 @@ def avg_los_days(fact: DataFrame, by: By = ()) -> DataFrame:
     return _one(fact, by, avg_los_days=F.avg("los_days"))
 
 
+def _all_groups(measured: DataFrame, fact: DataFrame, by: By) -> DataFrame:
+    """Groups without any LOS come back too, with NULL measures."""
+    return merge_groups(list(by), measured, fact.select(*by).distinct()) if by else measured
+
+
 def _los_percentile(fact: DataFrame, by: By, p: float, name: str, limit) -> DataFrame:
     ranked = with_ranks(
         value_counts(fact, list(by), "los_hours"), list(by), "los_hours", fact, limit)
@@ -52,7 +57,7 @@ def _los_percentile(fact: DataFrame, by: By, p: float, name: str, limit) -> Data
 
 
 def median_los_hours(fact: DataFrame, by: By = (), limit: int | None = HOT_ROWS) -> DataFrame:
-    return _los_percentile(fact, by, 0.5, "median_los_hours", limit)
+    return _all_groups(_los_percentile(fact, by, 0.5, "median_los_hours", limit), fact, by)
 
 
 def per_patient_totals(df: DataFrame, by: By, columns: Sequence[str]) -> DataFrame:
@@ -74,7 +79,8 @@ def core_kpis(fact: DataFrame, by: By = (), limit: int | None = HOT_ROWS) -> Dat
     distinct values and is merged to the totals per group."""
     totals = per_patient_totals(fact, by, ["los_hours", "los_days"]).withColumnsRenamed(
         {"rows": "total_encounters", "patients": "total_patients"})
-    return merge_groups(by, totals, median_los_hours(fact, by, limit)).select(
+    median = _los_percentile(fact, by, 0.5, "median_los_hours", limit)
+    return merge_groups(by, totals, median).select(
         *by, "total_encounters", "total_patients", "avg_los_hours", "avg_los_days",
         "median_los_hours")
 
@@ -102,7 +108,7 @@ def los_by_class(fact: DataFrame, by: By = ()) -> DataFrame:
 
 
 def los_p90(fact: DataFrame, by: By = (), limit: int | None = HOT_ROWS) -> DataFrame:
-    return _los_percentile(fact, by, 0.9, "los_p90", limit)
+    return _all_groups(_los_percentile(fact, by, 0.9, "los_p90", limit), fact, by)
 
 
 def long_stay_outliers(fact: DataFrame, by: By = (), limit: int | None = HOT_ROWS) -> DataFrame:
@@ -113,9 +119,11 @@ def long_stay_outliers(fact: DataFrame, by: By = (), limit: int | None = HOT_ROW
         value_counts(fact, list(by), "los_hours"), list(by), "los_hours", fact, limit)
     last = F.col("_below") + F.col("n") - 1
     upper = F.ceil((F.col("_total") - 1).cast("double") * F.lit(0.9))
-    return _one(
+    found = _one(
         ranked, by, los_p90=percentile_at("los_hours", 0.9),
         long_stay_outliers=F.sum(F.when(last >= upper, F.col("n")).otherwise(0)))
+    return _all_groups(found, fact, by).withColumn(
+        "long_stay_outliers", F.coalesce("long_stay_outliers", F.lit(0)))
 
 
 def _of_classes(readm: DataFrame, index_classes: Sequence[str] | None) -> DataFrame:

@@ -125,3 +125,16 @@ def test_top_k_and_star_join(spark):
     parent = spark.createDataFrame([("a", "A", 0)], "k string, label string, other int")
     got = star_join(df, parent, "k", ["label"], "parent_")
     assert got.columns == ["k", "n", "parent_label"] and got.count() == 4
+
+
+def test_groups_without_a_stay_length_stay(spark):
+    fact = spark.createDataFrame(
+        [("a", None), ("b", 1.0), (None, 2.0)], "provider_name string, los_hours double")
+    by = ["provider_name"]
+    medians = {r[0]: r[1] for r in M.median_los_hours(fact, by).collect()}
+    assert medians == {"a": None, "b": 1.0, None: 2.0}
+    found = {r[0]: (r["los_p90"], r["long_stay_outliers"])
+             for r in M.long_stay_outliers(fact, by).collect()}
+    assert found == {"a": (None, 0), "b": (1.0, 1), None: (2.0, 1)}
+    none = M.long_stay_outliers(fact.limit(0)).first()
+    assert (none["los_p90"], none["long_stay_outliers"]) == (None, 0)
