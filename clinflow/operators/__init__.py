@@ -3,11 +3,11 @@ from clinflow.operators.dedup import dedup_first, explode_entries
 from clinflow.operators.quantiles import percentile_at, value_counts, with_ranks
 from clinflow.operators.ranking import top_k
 from clinflow.operators.sequence import add_history
-from clinflow.operators.skew import HOT_ROWS, find_hot, split_hot
+from clinflow.operators.skew import cut
 from clinflow.operators.storage import materialize, scratch_path
 
 __all__ = [
-    "HOT_ROWS", "add_history", "dedup_first", "explode_entries", "find_hot", "materialize",
-    "merge_groups", "percentile_at", "scratch_path", "slice_rows", "split_hot", "star_join",
-    "top_k", "value_counts", "with_ranks",
+    "add_history", "cut", "dedup_first", "explode_entries", "materialize", "merge_groups",
+    "percentile_at", "scratch_path", "slice_rows", "star_join", "top_k", "value_counts",
+    "with_ranks",
 ]

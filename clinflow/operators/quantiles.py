@@ -2,16 +2,14 @@
 
 Rows are first reduced to (group, value) -> count, combined map-side. Everything that follows
 works on distinct values, so a group with a third of all rows costs no more than its distinct
-values; a group with very many distinct values is ranked in blocks (see ``skew``).
+values, and these are ranked in blocks (see ``skew``).
 """
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from clinflow.operators.skew import (
-    BLOCK, HOT_ROWS, find_hot, join_blocks, only_hot, split_hot,
-)
+from clinflow.operators.skew import BLOCK, border_rows, cut, join_edges
 
 
 def value_counts(df: DataFrame, keys: list[str], value: str, **extra: Column) -> DataFrame:
@@ -23,66 +21,37 @@ def value_counts(df: DataFrame, keys: list[str], value: str, **extra: Column) ->
     )
 
 
-def _ranked(counts, keys, value):
+def with_ranks(counts: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """Add ``_below`` (rows with a smaller value), ``_total`` and ``_mean`` of the group."""
+    if not keys:
+        one_group = counts.withColumn("_all", F.lit(0))
+        return with_ranks(one_group, ["_all"], value).drop("_all")
+    blocked = cut(counts, keys, [value])
+    weighted = F.col("n") * F.col(value)
+    edges = border_rows(blocked, keys).groupBy(*keys, BLOCK).agg(
+        F.sum("n").alias("_n"), F.sum(weighted).alias("_s"))
     group = W.partitionBy(*keys)
-    along = group.orderBy(value).rowsBetween(W.unboundedPreceding, -1)
-    return counts.withColumns({
-        "_below": F.coalesce(F.sum("n").over(along), F.lit(0)),
-        "_total": F.sum("n").over(group),
-        "_sum": F.sum(F.col("n") * F.col(value)).over(group),
+    earlier = group.orderBy(BLOCK).rowsBetween(W.unboundedPreceding, -1)
+    edges = edges.select(
+        *keys, BLOCK,
+        F.sum("_n").over(earlier).alias("_offset"),
+        F.sum("_n").over(group).alias("_group_n"),
+        F.sum("_s").over(group).alias("_group_s"),
+    )
+    block = W.partitionBy(*keys, BLOCK)
+    before = block.orderBy(value).rowsBetween(W.unboundedPreceding, -1)
+    inside = blocked.withColumns({
+        "_below": F.sum("n").over(before),
+        "_block_n": F.sum("n").over(block),
+        "_block_s": F.sum(weighted).over(block),
     })
-
-
-def _find_wide(rows, keys, value, limit):
-    """Groups with more than ``limit`` distinct values. Rows are counted first, which is cheap and
-    settles most cases; a HyperLogLog sketch then looks only at the groups with enough rows."""
-    large = find_hot(rows, keys, F.count(value), limit)
-    if large is None:
-        return None
-    return find_hot(only_hot(rows, large), keys, F.approx_count_distinct(value), limit)
-
-
-def with_ranks(
-    counts: DataFrame,
-    keys: list[str],
-    value: str,
-    rows: DataFrame,
-    limit: int | None = HOT_ROWS,
-) -> DataFrame:
-    """Add ``_below`` (rows with a smaller value), ``_total`` and ``_mean`` of the group.
-
-    ``rows`` are the rows behind ``counts``; they are searched for groups with more than ``limit``
-    distinct values. Pass ``limit=None`` where the number of distinct values is bounded anyway.
-    """
-    if not keys:
-        one_group = {"_all": F.lit(0)}
-        return with_ranks(
-            counts.withColumns(one_group), ["_all"], value, rows.withColumns(one_group), limit,
-        ).drop("_all")
-    hot = None if limit is None else _find_wide(rows, keys, value, limit)
-    if hot is None:
-        ranked = _ranked(counts, keys, value)
-    else:
-        cold, blocked, _ = split_hot(counts, hot, [value], limit)
-        edges = blocked.groupBy(*keys, BLOCK).agg(
-            F.sum("n").alias("_n"), F.sum(F.col("n") * F.col(value)).alias("_s"))
-        group = W.partitionBy(*keys)
-        before = group.orderBy(BLOCK).rowsBetween(W.unboundedPreceding, -1)
-        edges = edges.select(
-            *keys, BLOCK,
-            F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"),
-            F.sum("_n").over(group).alias("_group_n"),
-            F.sum("_s").over(group).alias("_group_s"),
-        )
-        inside = _ranked(blocked, [*keys, BLOCK], value)
-        whole = join_blocks(inside, edges, keys).withColumns({
-            "_below": F.col("_below") + F.col("_offset"),
-            "_total": F.col("_group_n"),
-            "_sum": F.col("_group_s"),
-        })
-        cold = _ranked(cold, keys, value)
-        ranked = cold.unionByName(whole.select(*cold.columns))
-    return ranked.withColumn("_mean", F.col("_sum") / F.col("_total")).drop("_sum")
+    none, total = F.lit(0), F.coalesce("_group_n", "_block_n")
+    return join_edges(inside, edges, keys).select(
+        *counts.columns,
+        (F.coalesce("_below", none) + F.coalesce("_offset", none)).alias("_below"),
+        total.alias("_total"),
+        (F.coalesce("_group_s", "_block_s") / total).alias("_mean"),
+    )
 
 
 def percentile_at(value: str, p: float) -> Column:

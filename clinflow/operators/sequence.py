@@ -4,26 +4,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from clinflow.operators.skew import BLOCK, HOT_ROWS, find_hot, join_blocks, split_hot
-
-
-def _plain(df, keys, order, prev, following, seq, total):
-    group = W.partitionBy(*keys)
-    ordered = group.orderBy(*order)
-    cols = {new: F.lag(old).over(ordered) for new, old in prev.items()}
-    cols |= {new: F.lead(old).over(ordered) for new, old in following.items()}
-    if seq:
-        cols[seq] = F.row_number().over(ordered).cast("bigint")
-    if total:
-        cols[total] = F.count(F.lit(1)).over(group)
-    return df.withColumns(cols)
+from clinflow.operators.skew import BLOCK, border_rows, cut, join_edges
 
 
 def _edges(blocked, keys, order, prev, following):
-    """One row per (group, block): the neighbours just outside and the rows in earlier blocks."""
+    """One row per (border group, block): the neighbours just outside, the rows in earlier blocks."""
     position = F.struct(*order)
     carried = F.struct(*sorted({*order, *prev.values(), *following.values()}))
-    edges = blocked.groupBy(*keys, BLOCK).agg(
+    edges = border_rows(blocked, keys).groupBy(*keys, BLOCK).agg(
         F.max_by(carried, position).alias("last"),
         F.min_by(carried, position).alias("first"),
         F.count(F.lit(1)).alias("_n"),
@@ -32,11 +20,10 @@ def _edges(blocked, keys, order, prev, following):
     along = group.orderBy(BLOCK)
     before, after = F.lag("last").over(along), F.lead("first").over(along)
     return edges.select(
-        *keys, BLOCK, "_n",
+        *keys, BLOCK,
         *[before.getField(old).alias(f"_edge_{new}") for new, old in prev.items()],
         *[after.getField(old).alias(f"_edge_{new}") for new, old in following.items()],
-        F.coalesce(F.sum("_n").over(along.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-        .alias("_offset"),
+        F.sum("_n").over(along.rowsBetween(W.unboundedPreceding, -1)).alias("_offset"),
         F.sum("_n").over(group).alias("_total"),
     )
 
@@ -49,28 +36,30 @@ def add_history(
     following: dict[str, str] | None = None,
     seq: str | None = None,
     total: str | None = None,
-    limit: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Add previous-row values, next-row values, sequence number and group size.
 
     ``prev`` / ``following`` map new column -> source column. ``order`` must end in a unique id,
-    which makes the result independent of partitioning. All columns come from one exchange and
-    one sort; groups above ``limit`` rows are computed in blocks (see ``skew``).
+    which makes the result independent of partitioning. All windows of a block share one exchange and
+    one sort (see ``skew``).
     """
     prev, following = prev or {}, following or {}
-    hot = find_hot(df, keys, F.count(F.lit(1)), limit)
-    if hot is None:
-        return _plain(df, keys, order, prev, following, seq, total)
-
-    cold, blocked, _ = split_hot(df, hot, order, limit)
-    cold = _plain(cold, keys, order, prev, following, seq, total)
-    inside = _plain(blocked, [*keys, BLOCK], order, prev, following, "_seq", None)
-    rows = join_blocks(inside, _edges(blocked, keys, order, prev, following), keys)
-    is_first, is_last = F.col("_seq") == 1, F.col("_seq") == F.col("_n")
-    cols = {new: F.when(is_first, F.col(f"_edge_{new}")).otherwise(F.col(new)) for new in prev}
-    cols |= {new: F.when(is_last, F.col(f"_edge_{new}")).otherwise(F.col(new)) for new in following}
+    blocked = cut(df, keys, order)
+    block = W.partitionBy(*keys, BLOCK)
+    ordered = block.orderBy(*order)
+    cols = {new: F.lag(old).over(ordered) for new, old in prev.items()}
+    cols |= {new: F.lead(old).over(ordered) for new, old in following.items()}
+    inside = blocked.withColumns(cols | {
+        "_seq": F.row_number().over(ordered).cast("bigint"),
+        "_rows": F.count(F.lit(1)).over(block),
+    })
+    rows = join_edges(inside, _edges(blocked, keys, order, prev, following), keys)
+    is_first, is_last = F.col("_seq") == 1, F.col("_seq") == F.col("_rows")
+    out = {new: F.when(is_first, F.col(f"_edge_{new}")).otherwise(F.col(new)) for new in prev}
+    out |= {new: F.when(is_last, F.col(f"_edge_{new}")).otherwise(F.col(new)) for new in following}
     if seq:
-        cols[seq] = F.col("_seq") + F.col("_offset")
+        out[seq] = F.col("_seq") + F.coalesce("_offset", F.lit(0))
     if total:
-        cols[total] = F.col("_total")
-    return cold.unionByName(rows.withColumns(cols).select(*cold.columns))
+        out[total] = F.coalesce("_total", "_rows")
+    kept = [c for c in df.columns if c not in out]
+    return rows.select(*kept, *[c.alias(name) for name, c in out.items()])

@@ -1,13 +1,14 @@
-"""Groups too large for one task.
-
-A window needs all rows of a group in one task. Usual groups (a patient's history, the values of
-a code) are small, but one group may hold a large share of all rows. Such hot groups are found
-by counting, then cut into blocks: consecutive ranges of the group's order, written once so that
-the cut is fixed. A window then runs per (group, block), and a summary with one row per block
-carries the state from block to block. No row is dropped; nothing depends on the group's size.
+"""Windows over groups of any size.
+
+A window needs all rows of a group in one task, and one group may hold a large share of all rows.
+So windows run on blocks: rows are range-partitioned on group + order, and a block is the part of a
+group in one partition. Ties in the group are cut along its order, and the number of partitions is
+the session's shuffle setting, so a block's share of the rows shrinks as partitions are added. A
+border between two partitions runs through one group at most; what such groups need from their
+other blocks comes from a summary with at most two rows per partition. The plan is the same at every
+size: nothing is counted beforehand and no row is dropped.
 """
 
-from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -15,74 +16,45 @@ from pyspark.sql import functions as F
 
 from clinflow.operators.storage import materialize
 
-# A group up to this size is left to one task.
-HOT_ROWS = 5_000_000
-
-# At most this many groups are ever called hot (see find_hot), and at most this many blocks are
-# cut (see split_hot). Both bound what is broadcast, at any number of rows.
-MAX_HOT = 10_000
-MAX_BLOCKS = 10_000
-
 BLOCK = "_block"
 
 
-@dataclass
-class HotGroups:
-    keys: list[str]
-    frame: DataFrame  # keys + "_size", at most MAX_HOT rows
-    rows: int  # sum of sizes
-
-
-def find_hot(df: DataFrame, keys: list[str], size: Column, limit: int | None) -> HotGroups | None:
-    """Groups with size above the limit, or None. ``limit=None`` skips the search.
+def cut(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """The rows with a ``_block`` number that grows along keys + order, stored.
 
-    One job over the key columns, combined map-side; one row reaches the driver. With N as the sum
-    of all sizes the cut-off is max(limit, N / MAX_HOT), so fewer than MAX_HOT groups exceed it:
-    the result may be broadcast at any scale. A group below N / MAX_HOT is no straggler.
+    Range bounds come from a sample. Storing the cut rows fixes them: every later step, and every
+    task repeated after a lost executor, sees the same blocks.
     """
-    if limit is None:
-        return None
-    sizes = df.groupBy(*keys).agg(size.alias("_size"))
-    peak, total = sizes.agg(F.max("_size"), F.sum("_size")).first()
-    if peak is None or peak <= limit:
-        return None
-    cutoff = max(limit, total // MAX_HOT)
-    frame = materialize(sizes.filter(F.col("_size") > cutoff), "hot_groups")
-    rows = frame.agg(F.sum("_size")).first()[0]
-    return HotGroups(keys, frame, rows) if rows else None
-
-
-def same_keys(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
-    """NULL-safe key equality: a NULL key is a group like any other."""
-    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
+    ranged = df.repartitionByRange(*keys, *order)
+    return materialize(ranged.withColumn(BLOCK, F.spark_partition_id()), "blocks")
 
 
-def only_hot(df: DataFrame, hot: HotGroups, how: str = "left_semi") -> DataFrame:
-    """Rows of the hot groups (``left_anti``: of all others), by a broadcast of the few keys."""
-    keys = F.broadcast(hot.frame.drop("_size"))
-    return df.join(keys, same_keys(df, keys, hot.keys), how)
+def same_keys(left: DataFrame, right: DataFrame, keys: list[str], prefix: str = "") -> Column:
+    """NULL-safe key equality: a NULL key is a group like any other."""
+    return reduce(
+        lambda a, b: a & b, [left[k].eqNullSafe(right[prefix + k]) for k in keys])
 
 
-def split_hot(
-    df: DataFrame, hot: HotGroups, order: list[str], limit: int
-) -> tuple[DataFrame, DataFrame, int]:
-    """(rows of other groups, rows of hot groups with a ``_block`` column, number of blocks).
+def border_rows(blocked: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of the groups that lie in several blocks.
 
-    Blocks come from range partitioning on keys + order: Spark samples the bounds, so ties and
-    clusters in the order column are cut as well. Partition ids grow along the order. A block has
-    about ``limit`` rows, or 1 / MAX_BLOCKS of the hot rows where that is more.
+    In every partition such a group is the first or the last one, so the first and last group per
+    partition name them all. They are fewer than the partitions, which bounds the broadcast.
     """
-    blocks = min(MAX_BLOCKS, max(2, -(-hot.rows // limit)))
-    ranged = only_hot(df, hot).repartitionByRange(blocks, *hot.keys, *order)
-    blocked = materialize(ranged.withColumn(BLOCK, F.spark_partition_id()), "hot_blocks")
-    return only_hot(df, hot, "left_anti"), blocked, blocks
+    key = F.struct(*keys)
+    ends = blocked.groupBy(BLOCK).agg(F.array_distinct(F.array(F.min(key), F.max(key))).alias("ends"))
+    wide = ends.select(F.explode("ends").alias("_key")).groupBy("_key").count()
+    wide = wide.where("count > 1").select(
+        *[F.col("_key").getField(k).alias(f"_wide_{k}") for k in keys])
+    return blocked.join(F.broadcast(wide), same_keys(blocked, wide, keys, "_wide_"), "left_semi")
 
 
-def join_blocks(blocked: DataFrame, edges: DataFrame, keys: list[str]) -> DataFrame:
-    """Attach the block summary. It has at most MAX_BLOCKS + MAX_HOT rows: one per group, and one
-    more for every block boundary inside a group."""
+def join_edges(blocked: DataFrame, edges: DataFrame, keys: list[str]) -> DataFrame:
+    """Attach the summary of the border groups; NULL for all other groups.
+
+    The summary has at most two rows per partition, whatever the number of rows and groups.
+    """
     joined = [*keys, BLOCK]
     renamed = F.broadcast(edges.withColumnsRenamed({k: f"_edge_key_{k}" for k in joined}))
-    match = [blocked[k].eqNullSafe(renamed[f"_edge_key_{k}"]) for k in joined]
-    return blocked.join(renamed, reduce(lambda a, b: a & b, match)).drop(
+    return blocked.join(renamed, same_keys(blocked, renamed, joined, "_edge_key_"), "left").drop(
         *[f"_edge_key_{k}" for k in joined])

@@ -14,7 +14,6 @@ from clinflow.functions import is_weekend, percent
 from clinflow.operators.combine import merge_groups
 from clinflow.operators.quantiles import percentile_at, value_counts, with_ranks
 from clinflow.operators.ranking import top_k
-from clinflow.operators.skew import HOT_ROWS
 
 By = Sequence[str]
 
@@ -50,14 +49,14 @@ def _all_groups(measured: DataFrame, fact: DataFrame, by: By) -> DataFrame:
     return merge_groups(list(by), measured, fact.select(*by).distinct()) if by else measured
 
 
-def _los_percentile(fact: DataFrame, by: By, p: float, name: str, limit) -> DataFrame:
+def _los_percentile(fact: DataFrame, by: By, p: float, name: str) -> DataFrame:
     ranked = with_ranks(
-        value_counts(fact, list(by), "los_hours"), list(by), "los_hours", fact, limit)
+        value_counts(fact, list(by), "los_hours"), list(by), "los_hours")
     return _one(ranked, by, **{name: percentile_at("los_hours", p)})
 
 
-def median_los_hours(fact: DataFrame, by: By = (), limit: int | None = HOT_ROWS) -> DataFrame:
-    return _all_groups(_los_percentile(fact, by, 0.5, "median_los_hours", limit), fact, by)
+def median_los_hours(fact: DataFrame, by: By = ()) -> DataFrame:
+    return _all_groups(_los_percentile(fact, by, 0.5, "median_los_hours"), fact, by)
 
 
 def per_patient_totals(df: DataFrame, by: By, columns: Sequence[str]) -> DataFrame:
@@ -74,12 +73,12 @@ def per_patient_totals(df: DataFrame, by: By, columns: Sequence[str]) -> DataFra
         **{f"avg_{c}": mean(c) for c in columns})
 
 
-def core_kpis(fact: DataFrame, by: By = (), limit: int | None = HOT_ROWS) -> DataFrame:
+def core_kpis(fact: DataFrame, by: By = ()) -> DataFrame:
     """Encounters, patients, mean LOS in hours and days, median LOS. The median comes from the
     distinct values and is merged to the totals per group."""
     totals = per_patient_totals(fact, by, ["los_hours", "los_days"]).withColumnsRenamed(
         {"rows": "total_encounters", "patients": "total_patients"})
-    median = _los_percentile(fact, by, 0.5, "median_los_hours", limit)
+    median = _los_percentile(fact, by, 0.5, "median_los_hours")
     return merge_groups(by, totals, median).select(
         *by, "total_encounters", "total_patients", "avg_los_hours", "avg_los_days",
         "median_los_hours")
@@ -107,16 +106,16 @@ def los_by_class(fact: DataFrame, by: By = ()) -> DataFrame:
         avg_los_home_health=_avg_los_of("HH"))
 
 
-def los_p90(fact: DataFrame, by: By = (), limit: int | None = HOT_ROWS) -> DataFrame:
-    return _all_groups(_los_percentile(fact, by, 0.9, "los_p90", limit), fact, by)
+def los_p90(fact: DataFrame, by: By = ()) -> DataFrame:
+    return _all_groups(_los_percentile(fact, by, 0.9, "los_p90"), fact, by)
 
 
-def long_stay_outliers(fact: DataFrame, by: By = (), limit: int | None = HOT_ROWS) -> DataFrame:
+def long_stay_outliers(fact: DataFrame, by: By = ()) -> DataFrame:
     """P90 of the context and the stays at or above it. A distinct value is at or above the
     percentile exactly when its last rank reaches the upper neighbour of the percentile's rank,
     so the values are not joined back. Differs from the per-class count of the LOS mart."""
     ranked = with_ranks(
-        value_counts(fact, list(by), "los_hours"), list(by), "los_hours", fact, limit)
+        value_counts(fact, list(by), "los_hours"), list(by), "los_hours")
     last = F.col("_below") + F.col("n") - 1
     upper = F.ceil((F.col("_total") - 1).cast("double") * F.lit(0.9))
     found = _one(

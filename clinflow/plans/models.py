@@ -15,7 +15,6 @@ from clinflow.operators.quantiles import (
     percentile_at, value_counts, weighted_mean, weighted_stddev, with_ranks,
 )
 from clinflow.operators.sequence import add_history
-from clinflow.operators.skew import HOT_ROWS
 from clinflow.schemas import STAGED_COLUMNS
 
 # Longest stay kept (hours), and the rank above which a stay is a long one.
@@ -63,9 +62,9 @@ def stg_encounters(fact: DataFrame) -> DataFrame:
 def los_kpis(stg: DataFrame, approx: bool = False) -> DataFrame:
     """Length-of-stay statistics per encounter class.
 
-    The stays are reduced to (class, hours) -> counts in one combined aggregation. Hours have two
-    decimals and lie in [0, 8760), so there are at most 876,000 counts per class whatever the
-    number of stays; mean, deviation, percentiles and ranks are exact and computed from them.
+    The stays are reduced to (class, hours) -> counts in one combined aggregation; mean, deviation,
+    percentiles and ranks are exact and computed from them. Hours rounded to two decimals in
+    [0, 8760), as the ingest leaves them, give few counts; unrounded hours are ranked in blocks.
     ``approx`` uses a mergeable sketch for the percentiles and the outlier bound instead.
     """
     if approx:
@@ -76,7 +75,7 @@ def los_kpis(stg: DataFrame, approx: bool = False) -> DataFrame:
         stg, [*keys, "los_tier"], "los_hours",
         n_weekend=F.count_if(weekend), n_weekday=F.count_if(~weekend),
     )
-    ranked = with_ranks(counts, ["encounter_class"], "los_hours", stg, limit=None)
+    ranked = with_ranks(counts, ["encounter_class"], "los_hours")
     rank = F.try_divide(F.col("_below").cast("double"), F.col("_total") - 1)
     x = F.col("los_hours")
     n = F.col("n")
@@ -138,13 +137,11 @@ def readmissions(
     classes: Sequence[str] = READMISSION_CLASSES,
     window_days: int = 30,
     buckets: Sequence[int] = (7, 30, 90),
-    limit: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Every acute encounter with its neighbours in the patient's history and the gaps to them.
 
     The class filter comes before the history: it decides which stay is the previous one. Equal
-    admission times are ordered by encounter id. One exchange and one sort on the patient;
-    patients above ``limit`` rows are handled in blocks.
+    admission times are ordered by encounter id. A patient of any size is handled in blocks.
     """
     acute = stg.filter(F.col("encounter_class").isin(list(classes))).select(*READMISSION_INPUT)
     sequenced = add_history(
@@ -162,7 +159,7 @@ def readmissions(
             "next_admit_timestamp": "admit_timestamp",
             "next_service_provider": "service_provider",
         },
-        seq="encounter_seq_num", total="total_patient_encounters", limit=limit,
+        seq="encounter_seq_num", total="total_patient_encounters",
     )
     since = gap_seconds(F.col("admit_timestamp"), F.col("prev_discharge_timestamp"))
     until = gap_seconds(F.col("next_admit_timestamp"), F.col("discharge_timestamp"))
@@ -175,14 +172,12 @@ def readmissions(
     })
 
 
-def throughput(
-    episodes: DataFrame, stg: DataFrame, limit: int | None = HOT_ROWS
-) -> DataFrame:
+def throughput(episodes: DataFrame, stg: DataFrame) -> DataFrame:
     """Encounters of each episode, in order, with the gap to the previous one.
 
     The history is computed before the join, on the join key: an inner join on that key keeps or
-    drops whole histories, so the result is the same, the window and the join share one exchange,
-    and large episodes can be cut into blocks. ``episode_id`` is the key of ``episodes``.
+    drops whole histories, so the result is the same and large episodes are cut into blocks.
+    ``episode_id`` is the key of ``episodes``.
     """
     linked = stg.withColumn(
         "episode_id", remove_text(F.col("episode_of_care_ref"), "EpisodeOfCare/")
@@ -194,7 +189,7 @@ def throughput(
     sequenced = add_history(
         linked, ["episode_id"], ["admit_timestamp", "encounter_id"],
         prev={"_prev_discharge": "discharge_timestamp"},
-        seq="encounter_seq_in_episode", total="total_encounters_in_episode", limit=limit,
+        seq="encounter_seq_in_episode", total="total_encounters_in_episode",
     )
     gap = gap_seconds(F.col("admit_timestamp"), F.col("_prev_discharge"))
     described = episodes.select(
@@ -215,7 +210,6 @@ def lab_kpis(
     obs: DataFrame,
     ranges: DataFrame | None = None,
     approx: bool = False,
-    limit: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Statistics of the results per code, name, category and unit.
 
@@ -230,7 +224,7 @@ def lab_kpis(
     else:
         counts = value_counts(
             valid, LAB_KEYS, "result_value", n_abnormal=F.count_if(F.col("is_abnormal")))
-        ranked = with_ranks(counts, LAB_KEYS, "result_value", rows=valid, limit=limit)
+        ranked = with_ranks(counts, LAB_KEYS, "result_value")
         values = ranked.groupBy(*LAB_KEYS).agg(
             F.sum("n").alias("total_observations"),
             round_bin(weighted_mean("result_value"), 3).alias("mean_value"),

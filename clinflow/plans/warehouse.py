@@ -10,7 +10,6 @@ from clinflow.functions import (
 )
 from clinflow.operators.combine import merge_groups
 from clinflow.operators.quantiles import percentile_at, value_counts, with_ranks
-from clinflow.operators.skew import HOT_ROWS
 from clinflow.schemas import TABLES
 
 RANGE_LABELS = ("observation_name", "obs_category", "result_unit")
@@ -56,7 +55,6 @@ def reference_ranges(
     high: float = 0.975,
     by: Sequence[str] = ("loinc_code",),
     approx: bool = False,
-    limit: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Cohort ranges per code: exact interpolated percentiles of the results.
 
@@ -72,7 +70,7 @@ def reference_ranges(
             *by, F.get("_p", F.lit(0)).alias("normal_low"), F.get("_p", F.lit(1)).alias("normal_high"))
     else:
         counts = value_counts(valid, by, "result_value")
-        bounds = with_ranks(counts, by, "result_value", rows=valid, limit=limit).groupBy(*by).agg(
+        bounds = with_ranks(counts, by, "result_value").groupBy(*by).agg(
             percentile_at("result_value", low).alias("normal_low"),
             percentile_at("result_value", high).alias("normal_high"),
         )

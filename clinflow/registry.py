@@ -71,7 +71,7 @@ def _stg_orders(spark, d):
 
 
 def _readmissions(spark, d, **options):
-    """Staged rows are stored first: the search for large histories and the model both read them."""
+    """Staged rows are stored first: cutting them into blocks samples them and then reads them."""
     stg = materialize(_stg_orders(spark, d).select(*models.READMISSION_INPUT), "stg_encounters")
     return models.readmissions(stg, **options)
 
@@ -234,7 +234,7 @@ def lab_kpis_with_ranges(spark, d):
         *models.LAB_KEYS, "total_observations", "abnormal_count", "normal_low", "normal_high")
 
 
-# Large groups: the limit is set low enough to cut every group into blocks
+# Few groups, so that each of them lies in several blocks
 
 @query
 def history_in_blocks(spark, d):
@@ -244,14 +244,14 @@ def history_in_blocks(spark, d):
         materialize(stays, "stays"), ["service_provider"], ["admit_timestamp", "encounter_id"],
         prev={"prev_encounter_id": "encounter_id", "prev_discharge": "discharge_timestamp"},
         following={"next_encounter_id": "encounter_id"},
-        seq="seq", total="total", limit=500)
+        seq="seq", total="total")
 
 
 @query
 def percentiles_in_blocks(spark, d):
     items = roles.table(spark, d, "lineitem").select("l_returnflag", "l_extendedprice")
     counts = value_counts(items, ["l_returnflag"], "l_extendedprice")
-    ranked = with_ranks(counts, ["l_returnflag"], "l_extendedprice", items, limit=5000)
+    ranked = with_ranks(counts, ["l_returnflag"], "l_extendedprice")
     return _rounded(
         ranked.groupBy("l_returnflag").agg(
             F.sum("n").alias("n"),

@@ -31,3 +31,20 @@ def plan(df):
     with contextlib.redirect_stdout(out):
         df.explain()
     return out.getvalue()
+
+
+def same_in_one_block_and_many(spark, build):
+    """Whether a plan gives the same rows with one partition and with many uncoalesced ones."""
+    settings = {"spark.sql.shuffle.partitions": ("1", "13"),
+                "spark.sql.adaptive.coalescePartitions.enabled": ("true", "false")}
+    before = {k: spark.conf.get(k) for k in settings}
+    found = []
+    try:
+        for i in (0, 1):
+            for k, values in settings.items():
+                spark.conf.set(k, values[i])
+            found.append(rows(build()))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    return found[0] == found[1] and bool(found[0])

@@ -2,7 +2,7 @@ import random
 from datetime import datetime, timedelta
 
 import pytest
-from helpers import by, rows
+from helpers import by, rows, same_in_one_block_and_many
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -133,7 +133,7 @@ def test_readmissions_in_blocks(spark):
     stays = [_stay(f"e{i:04d}", rnd.randrange(5000), rnd.randrange(1, 60),
                    patient="hot" if i % 3 == 0 else f"p{i % 40}") for i in range(900)]
     stg = models.stg_encounters(_fact(spark, stays))
-    assert rows(models.readmissions(stg, limit=50)) == rows(models.readmissions(stg, limit=None))
+    assert same_in_one_block_and_many(spark, lambda: models.readmissions(stg))
 
 
 def test_neighbours_agree(spark):
@@ -166,7 +166,7 @@ def test_throughput(spark):
     assert [got[k]["hours_since_prev_encounter"] for k in "abcd"] == [None, 1.0, -0.5, None]
     assert got["a"]["total_encounters_in_episode"] == 3 and got["a"]["patient_id"] == "owner"
     assert got["a"]["episode_los_hours"] == 3601 / 3600
-    assert rows(models.throughput(_episodes(spark, ["e", "e2"]), stg, limit=2)) == rows(df)
+    assert same_in_one_block_and_many(spark, lambda: models.throughput(_episodes(spark, ["e", "e2"]), stg))
 
 
 def _obs(spark, results):
@@ -199,7 +199,7 @@ def test_reference_ranges(spark):
     split = {(r["loinc_code"], r["result_unit"]): r for r in warehouse.reference_ranges(
         obs, by=("loinc_code", "result_unit")).collect()}
     assert split["c1", "g"]["normal_low"] == 1000.05 and ("c2", None) in split
-    assert rows(warehouse.reference_ranges(obs, limit=10)) == rows(warehouse.reference_ranges(obs))
+    assert same_in_one_block_and_many(spark, lambda: warehouse.reference_ranges(obs))
     near = by(warehouse.reference_ranges(obs, approx=True), "loinc_code")
     assert near["c1"]["normal_low"] == pytest.approx(3, abs=1)
 
@@ -231,7 +231,7 @@ def test_flags_and_lab_kpis(spark):
     assert carried["normal_low"] == 7.0
     order = [r["total_observations"] for r in models.by_volume(models.lab_kpis(flagged)).collect()]
     assert order == sorted(order, reverse=True)
-    assert rows(models.lab_kpis(flagged, limit=5)) == rows(models.lab_kpis(flagged))
+    assert same_in_one_block_and_many(spark, lambda: models.lab_kpis(flagged))
     assert models.lab_kpis(flagged, approx=True).columns == models.lab_kpis(flagged).columns
 
 
@@ -288,3 +288,14 @@ def test_column_contract(spark):
     }
     for name, df in built.items():
         assert df.columns == COLUMNS[name].split(), name
+
+
+def test_los_mart_on_unrounded_hours(spark):
+    rnd = random.Random(8)
+    stays = [_stay(f"e{i:04d}", rnd.randrange(5000), 1, patient="p") for i in range(400)]
+    stg = models.stg_encounters(_fact(spark, stays)).withColumn(
+        "los_hours", F.col("admit_timestamp").cast("double") / F.lit(7e6))
+    exact = stg.groupBy("encounter_class").agg(F.round(F.percentile("los_hours", F.lit(0.9)), 2)).collect()
+    assert {tuple(r) for r in exact} == {
+        (r["encounter_class"], r["p90_los_hours"]) for r in models.los_kpis(stg).collect()}
+    assert same_in_one_block_and_many(spark, lambda: models.los_kpis(stg))

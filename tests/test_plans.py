@@ -1,9 +1,11 @@
 """Shape of the physical plans: what must not be shuffled, broadcast or left out of the scan."""
 
+import re
+
 import pytest
 from helpers import plan
 
-from clinflow.operators import add_history, materialize
+from clinflow.operators import add_history, materialize, value_counts
 from clinflow.plans import measures, models, quality, warehouse
 from clinflow.schemas import TABLES
 
@@ -32,28 +34,23 @@ def test_staging_filters_reach_the_scan(stored):
         assert pushed in text
 
 
-def test_readmissions_use_one_exchange_and_one_sort(stored):
-    stg = models.stg_encounters(stored["fact_patient_encounters"])
-    text = plan(models.readmissions(stg, limit=None))
-    assert text.count("Exchange") == 1 and text.count("+- Sort ") == 1
-    assert "In(encounter_class" in text
-
-
-def test_throughput_shares_the_exchange_of_window_and_join(stored, no_broadcast):
+def test_readmissions_sort_each_block_once(stored):
     stg = models.stg_encounters(stored["fact_patient_encounters"])
-    text = plan(models.throughput(stored["dim_episodes"], stg, limit=None))
-    assert text.count("Exchange") == 2  # one per table
-    assert "SortMergeJoin" in text
+    text = plan(models.readmissions(stg))
+    # The blocks of a patient; the other exchanges are those of the summary of border groups.
+    assert text.count("hashpartitioning(patient_id") == 3 and "rangepartitioning" not in text
+    assert text.count("SortMergeJoin") == 0 and text.count("BroadcastHashJoin") == 2
 
 
 def test_lab_plans_read_only_their_columns(stored):
-    text = plan(models.lab_kpis(stored["dim_clinical_observations"], limit=None))
+    text = plan(models.lab_kpis(stored["dim_clinical_observations"]))
     assert "result_text" not in text and "observation_id" not in text
 
 
 def test_los_mart_combines_before_its_shuffles(stored):
-    text = plan(models.los_kpis(models.stg_encounters(stored["fact_patient_encounters"])))
-    assert "partial_count" in text and text.count("Exchange") == 2
+    stg = models.stg_encounters(stored["fact_patient_encounters"])
+    assert "partial_count" in plan(value_counts(stg, ["encounter_class"], "los_hours"))
+    assert "result_text" not in plan(models.los_kpis(stg))
 
 
 def test_nothing_is_crossed_or_sent_to_python(stored, no_broadcast):
@@ -61,14 +58,14 @@ def test_nothing_is_crossed_or_sent_to_python(stored, no_broadcast):
     stg = models.stg_encounters(fact)
     ranges = stored["dim_loinc_reference"]
     plans = {
-        "readmissions": models.readmissions(stg, limit=None),
-        "throughput": models.throughput(stored["dim_episodes"], stg, limit=None),
-        "lab": models.lab_kpis(obs, ranges, limit=None),
-        "ranges": warehouse.reference_ranges(obs, limit=None),
+        "readmissions": models.readmissions(stg),
+        "throughput": models.throughput(stored["dim_episodes"], stg),
+        "lab": models.lab_kpis(obs, ranges),
+        "ranges": warehouse.reference_ranges(obs),
         "flags": warehouse.flag_abnormal(obs, ranges),
         "fact": warehouse.build_encounters(fact.drop("los_days"), stored["dim_patients"]),
         "links": quality.link_coverage(obs, fact),
-        "core": measures.core_kpis(fact, ["encounter_class"], limit=None),
+        "core": measures.core_kpis(fact, ["encounter_class"]),
     }
     for name, df in plans.items():
         text = plan(df)
@@ -78,9 +75,13 @@ def test_nothing_is_crossed_or_sent_to_python(stored, no_broadcast):
             assert "SinglePartition" not in text, name
 
 
-def test_large_groups_are_joined_by_checked_broadcasts(spark):
-    df = materialize(spark.range(1000).selectExpr(
-        "IF(id < 500, 'hot', string(id)) AS k", "id AS at"))
-    text = plan(add_history(df, ["k"], ["at"], seq="n", total="t", limit=100))
-    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
-    assert "BroadcastNestedLoopJoin" not in text
+def test_one_plan_at_every_size(spark):
+    def shape(df):
+        text = plan(add_history(materialize(df), ["k"], ["at"], seq="n", total="t"))
+        return re.findall(r"^[ +:-]*(?:\* ?\(\d+\) )?([A-Z]\w+)", text, re.M)
+
+    small = spark.range(3).selectExpr("string(id) AS k", "id AS at")
+    large = spark.range(100_000).selectExpr("IF(id < 50000, 'hot', string(id)) AS k", "id AS at")
+    found = shape(small)
+    assert found == shape(large) and "Window" in found
+    assert "SortMergeJoin" not in found and "BroadcastNestedLoopJoin" not in found
