@@ -9,9 +9,10 @@ from pyspark.sql.types import TimestampType
 from clinflow import roles
 from clinflow.functions import round_bin
 from clinflow.operators import (
-    add_history, dedup_first, materialize, percentile_at, scratch_path, star_join, value_counts,
-    with_ranks,
+    add_history, dedup_first, materialize, merge_groups, percentile_at, scratch_path, star_join,
+    value_counts, with_ranks,
 )
+from clinflow.operators.skew import same_keys
 from clinflow.plans import flatten, measures, models, quality, reports, warehouse
 from clinflow.schemas import TABLES
 from clinflow.sinks import writers
@@ -188,9 +189,31 @@ def los_kpis(spark, d):
     return models.los_kpis(_stg_events(spark, d))
 
 
+def _percentiles_in_bound(found, rows, keys, value, at, digits):
+    """Replace sketched percentiles by flags: is the rank of the value within a ten-thousandth of the
+    rows (and one row) of the wanted rank? Half a unit of the last digit allows for its rounding."""
+    half, x = F.lit(0.51 * 10 ** -digits), F.col(value)
+    sketched = found.select(*[F.col(k).alias(f"_of_{k}") for k in keys], *at)
+    met = rows.where(x.isNotNull()).join(sketched, same_keys(rows, sketched, keys, "_of_"))
+    n = F.count(F.lit(1))
+    flags = met.groupBy(*keys).agg(*[
+        ((F.count_if(x < F.col(c) - half) <= n * F.lit(p) + n / 10_000 + 1)
+         & (F.count_if(x <= F.col(c) + half) >= n * F.lit(p) - n / 10_000 - 1)).alias(f"{c}_in_bound")
+        for c, p in at.items()])
+    return merge_groups(keys, found.drop(*at), flags)
+
+
 @query
 def los_kpis_approx(spark, d):
-    return models.los_kpis(_stg_events(spark, d), approx=True)
+    stg = materialize(_stg_events(spark, d), "stg_encounters")
+    n = F.col("encounter_count")
+    found = models.los_kpis(stg, approx=True).withColumn(
+        "long_stay_outlier_count_in_bound",
+        F.col("long_stay_outlier_count") <= n * F.lit(0.1) + n / 10_000 + 1)
+    return _percentiles_in_bound(
+        found.drop("long_stay_outlier_count"), stg, ["encounter_class", "encounter_class_label"],
+        "los_hours", {"median_los_hours": 0.5, "p25_los_hours": 0.25, "p75_los_hours": 0.75,
+                      "p90_los_hours": 0.9}, 2)
 
 
 @query
@@ -223,7 +246,17 @@ def lab_kpis(spark, d):
 
 @query
 def lab_kpis_approx(spark, d):
-    return models.lab_kpis(_flagged_results(spark, d), approx=True)
+    results = materialize(_flagged_results(spark, d), "flagged_results")
+    found = models.lab_kpis(results, approx=True)
+    patients = results.where("result_value IS NOT NULL").groupBy(*models.LAB_KEYS).agg(
+        F.count_distinct("patient_id").alias("_patients"))
+    # Three times the relative deviation of the distinct count's sketch, 0.05.
+    close = F.abs(F.col("patient_count") - F.col("_patients")) <= F.col("_patients") * 0.15 + 1
+    found = merge_groups(models.LAB_KEYS, found, patients).withColumn(
+        "patient_count_in_bound", close).drop("patient_count", "_patients")
+    return _percentiles_in_bound(
+        found, results, models.LAB_KEYS, "result_value",
+        {"median_value": 0.5, "p2_5": 0.025, "p97_5": 0.975}, 3)
 
 
 @query
