@@ -3,9 +3,10 @@
 Documents are seen through the vocabulary of the benchmark: the content terms of its items. A first
 pass over the texts keeps, for each document, where which of these terms stand; all later steps
 read that table, a small part of the corpus. Passages of ``step`` words are rows of a TF-IDF matrix, whose
-leading right singular vectors come from a distributed randomised SVD. Windows of two passages and the
-items are compared by cosine in that space; a candidate counts if the longest common subsequence of
-its content terms with the item's is long enough and the item's rarest terms, its answer, are there.
+leading right singular vectors come from a distributed randomised SVD. Windows as long as the items and
+the items are compared by cosine in that space; places that hold enough of an item's rarest terms, its
+answer, are candidates too, whatever their cosine. A candidate counts if the longest common subsequence
+of its content terms with the item's is long enough and the answer is there.
 """
 
 from __future__ import annotations
@@ -27,6 +28,9 @@ from clinflow.operators.storage import materialize
 MAX_ITEMS = 50_000
 STEP = 16
 RANK = 96
+ANSWER_TERMS = 5
+
+
 def split_words(text: str) -> list[str]:
     """Lower-cased words; ASCII marks separate them like white space."""
     text = text.lower()
@@ -41,12 +45,15 @@ class Items:
     terms: list[list[int]]  # content terms of each item, in order
     lengths: list[int]  # words of each item
     numbers: dict[str, int]
+    content: int  # numbers from here on are words that only items of few content terms are told by
+    plain: list[bool]  # told by all words
 
 
-def read_items(benchmark: DataFrame, common: float = 0.02) -> Items:
+def read_items(benchmark: DataFrame, common: float = 0.1) -> Items:
     """Items with their content terms: words that at most ``common`` of the items hold, or two.
 
-    Items without an id or without content terms are no questions and never match.
+    An item with fewer content terms than an answer has is told by all its words. Items without
+    an id or without words are no questions and never match.
     """
     rows = pick(benchmark, item_id="item_id:bigint", text="text:string").where(
         "item_id is not null and text is not null").limit(MAX_ITEMS + 1).collect()
@@ -57,9 +64,14 @@ def read_items(benchmark: DataFrame, common: float = 0.02) -> Items:
     df = Counter(w for ws in words for w in set(ws))
     most = max(2.0, common * len(rows))
     numbers = {w: i for i, w in enumerate(sorted(w for w in df if df[w] <= most))}
-    kept = [(r[0], [numbers[w] for w in ws if w in numbers], len(ws)) for r, ws in zip(rows, words)]
-    kept = [k for k in kept if k[1]]
-    return Items([k[0] for k in kept], [k[1] for k in kept], [k[2] for k in kept], numbers)
+    content = len(numbers)
+    plain = [len({w for w in ws if df[w] <= most}) < ANSWER_TERMS for ws in words]
+    for w in sorted({w for ws, p in zip(words, plain) if p for w in ws} - set(numbers)):
+        numbers[w] = len(numbers)
+    kept = [(r[0], [numbers[w] for w in ws if p or df[w] <= most], len(ws), p)
+            for r, ws, p in zip(rows, words, plain) if ws]
+    ids, terms, lengths, plain = map(list, zip(*kept)) if kept else ([], [], [], [])
+    return Items(ids, terms, lengths, numbers, content, plain)
 
 
 def term_places(docs: DataFrame, numbers: dict[str, int]) -> DataFrame:
@@ -86,14 +98,16 @@ def term_places(docs: DataFrame, numbers: dict[str, int]) -> DataFrame:
         run, "doc_id bigint, n_words bigint, pos binary, term binary")
 
 
-def _passages(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _passages(part: pa.RecordBatch, n_terms: int | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Of all term places of a batch: row, passage number counted over the batch (a free number
-    after each row's last), position, term."""
+    after each row's last), position, term; only terms below ``n_terms`` if that is given."""
     sizes = np.asarray(part.column(1))
     pos = [np.frombuffer(x.as_py(), np.int32) for x in part.column(2)]
     row = np.repeat(np.arange(part.num_rows), [p.size for p in pos])
     pos = np.concatenate(pos) if pos else np.zeros(0, np.int32)
     term = np.frombuffer(b"".join(x.as_py() for x in part.column(3)), np.int32)
+    if n_terms is not None and term.size and term.max() >= n_terms:
+        row, pos, term = row[term < n_terms], pos[term < n_terms], term[term < n_terms]
     base = np.concatenate([[0], np.cumsum(sizes // STEP + 2)])
     return row, base[row] + pos // STEP, pos, term
 
@@ -149,7 +163,7 @@ def latent_terms(places: DataFrame, idf: np.ndarray, rank: int, seed: int = 4) -
         y = np.zeros((n, over), dtype=np.float32)
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
-                _, passage, _, term = _passages(batch.slice(at, 256))
+                _, passage, _, term = _passages(batch.slice(at, 256), n)
                 starts, sizes, term, weight = _tfidf(passage, term, idf)
                 if not starts.size:
                     continue
@@ -188,20 +202,84 @@ def common_length(masks: dict[int, int], sequence: list[int]) -> int:
     return row.bit_count()
 
 
+def windows(near: np.ndarray, number: np.ndarray, row: np.ndarray, length: int) -> np.ndarray:
+    """Unit sums of the passages from each on that are in the ``length`` passages of its window."""
+    ends = np.minimum(np.searchsorted(number, number + length), np.searchsorted(row, row, "right"))
+    cuts = np.column_stack([np.arange(len(near)), ends]).ravel()
+    out = np.add.reduceat(np.concatenate([near, near[:1] * 0]), cuts, axis=0)[::2]
+    return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-9)
+
+
+def window_length(words: int) -> int:
+    """Passages of the window for an item: two at least, else its own length, rounded up to one of few."""
+    length = 2
+    while length * STEP < words:
+        length = length * 3 // 2 if length & (length - 1) == 0 else length // 3 * 4
+    return length
+
+
 @dataclass
 class Index:
     items: Items
     idf: np.ndarray
     terms: np.ndarray  # terms x rank, weighted by idf
-    vectors: np.ndarray  # items x rank, of unit length
+    vectors: np.ndarray  # items x rank, of unit length, or zero
     answers: list[set[int]]
     pairs: np.ndarray  # item * terms + term, sorted
+    told: np.ndarray  # (term, item) of the answers, sorted by term
 
     def holds(self, item: np.ndarray, term: np.ndarray) -> np.ndarray:
         key = item.astype(np.int64) * self.idf.size + term
         at = np.searchsorted(self.pairs, key)
         return self.pairs[np.minimum(at, self.pairs.size - 1)] == key
 
+    def overlaps(self, row: np.ndarray, pos: np.ndarray, term: np.ndarray,
+                 answer: float) -> tuple[np.ndarray, np.ndarray]:
+        """(index into the terms, item) wherever enough answer terms of an item stand together that
+        some place of the item's reach can hold the share ``answer`` of them."""
+        first = np.searchsorted(self.told[:, 0], term)
+        n = np.searchsorted(self.told[:, 0], term, "right") - first
+        at = np.repeat(np.arange(term.size), n)
+        item = self.told[np.repeat(first - np.cumsum(n) + n, n) + np.arange(n.sum()), 1]
+        order = np.lexsort((at, item, row[at]))
+        at, item = at[order], item[order]
+        sizes = np.array([len(a) for a in self.answers])
+        need = np.maximum(1, np.ceil(answer * sizes - 1e-9).astype(np.int64))[item]
+        last = np.arange(at.size) + need - 1
+        inside = last < at.size
+        other = np.where(inside, last, 0)
+        length = np.array(self.items.lengths)[item]
+        reach = np.array([window_length(x) for x in self.items.lengths])[item] * STEP + 2 * length
+        inside &= (item[other] == item) & (row[at[other]] == row[at])
+        inside &= pos[at[other]] - pos[at] <= reach
+        # All the terms of such a group, not only the first.
+        step = np.zeros(at.size + 1, dtype=np.int64)
+        np.add.at(step, np.flatnonzero(inside), 1)
+        np.add.at(step, last[inside] + 1, -1)
+        some = np.cumsum(step[:-1]) > 0
+        return at[some], item[some]
+
+    def compare(self, item: int, pos: np.ndarray, found: np.ndarray, common: float,
+                answer: float) -> tuple[float, float] | None:
+        """The largest (common share, answer share) of the place that reaches both."""
+        own = self.items.terms[item]
+        masks: dict[int, int] = {}
+        for j, t in enumerate(own):
+            masks[t] = masks.get(t, 0) | 1 << j
+        parts = [found]
+        if self.items.plain[item]:  # common words are everywhere: only as many words as the item has
+            starts = [k for k, t in enumerate(found.tolist()) if t in masks]
+            ends = np.searchsorted(pos, pos[starts] + self.items.lengths[item])
+            parts = [found[a:b] for a, b in zip(starts, ends)]
+        best = None
+        for part in parts:
+            part = part.tolist()
+            share = common_length(masks, part) / len(own)
+            told = len(self.answers[item] & set(part)) / len(self.answers[item])
+            if share >= common and told >= answer:
+                best = max(best or (0.0, 0.0), (share, told))
+        return best
+
     def search(self, part: pa.RecordBatch, cosine: float, common: float, answer: float,
                seen: list[int]) -> list[tuple]:
         """(row of the batch, item_id, cosine, common share, answer share) of the best window for
@@ -212,70 +290,80 @@ class Index:
         starts = np.flatnonzero(np.diff(passage, prepend=-1))
         near = np.add.reduceat(self.terms[term], starts, axis=0)
         number, at_row = passage[starts], row[starts]
-        window = near.copy()
-        follows = np.flatnonzero(number[1:] == number[:-1] + 1)
-        window[follows] += near[follows + 1]
-        window /= np.maximum(np.linalg.norm(window, axis=1, keepdims=True), 1e-9)
         best: dict[tuple[int, int], tuple] = {}
         lengths, sizes = np.array(self.items.lengths), np.array([len(t) for t in self.items.terms])
-        far = int(pos.max()) + 2 * int(lengths.max()) + 8 * STEP
+        passages = np.array([window_length(n) for n in self.items.lengths])
+        far = int(pos.max()) + 2 * int(lengths.max()) + 2 * STEP * (int(passages.max()) + 2)
         place = row.astype(np.int64) * far + pos
-        middle = at_row * far + pos[starts] // STEP * STEP + STEP
-        for lo in range(0, len(window), 8192):
-            like = window[lo:lo + 8192] @ self.vectors.T
-            w, i = np.nonzero(like >= cosine)
-            seen[0] += w.size
-            score, w = like[w, i], w + lo
-            # The item may begin before and end after the window, by its own length.
-            reach = lengths[i] + STEP
-            first = np.searchsorted(place, np.maximum(middle[w] - reach, at_row[w] * far))
-            last = np.searchsorted(place, middle[w] + reach)
-            # No common subsequence is longer than the number of the item's terms in the place.
-            for at in range(0, w.size, 16_384):
-                cut = slice(at, at + 16_384)
-                n = last[cut] - first[cut]
-                where = np.repeat(first[cut] - np.cumsum(n) + n, n) + np.arange(n.sum())
-                own = self.holds(np.repeat(i[cut], n), term[where])
-                total = np.add.reduceat(own, np.cumsum(n) - n, dtype=np.int64)
-                for k in np.flatnonzero(total >= common * sizes[i[cut]]) + at:
-                    r, item = int(at_row[w[k]]), int(i[k])
-                    found = term[first[k]:last[k]].tolist()
-                    masks: dict[int, int] = {}
-                    for j, t in enumerate(self.items.terms[item]):
-                        masks[t] = masks.get(t, 0) | 1 << j
-                    share = common_length(masks, found) / sizes[item]
-                    told = len(self.answers[item] & set(found)) / len(self.answers[item])
-                    if share >= common and told >= answer:
-                        hit = (float(share), told, float(score[k]))
-                        if hit > best.get((r, item), (0,)):
-                            best[r, item] = hit
+        told_at, told_item = self.overlaps(row, pos, term, answer)
+        told_at = np.searchsorted(starts, told_at, "right") - 1
+        for size in np.unique(passages):
+            some = np.flatnonzero(passages == size)
+            window = windows(near, number, at_row, int(size))
+            middle = at_row * far + pos[starts] // STEP * STEP + size * STEP // 2
+            mine = passages[told_item] == size
+            exact = np.unique(told_at[mine].astype(np.int64) * lengths.size + told_item[mine])
+            for lo in range(0, len(window), 8192):
+                like = window[lo:lo + 8192] @ self.vectors[some].T
+                w, i = np.nonzero(like >= cosine)
+                cut = slice(*np.searchsorted(exact, [lo * lengths.size, (lo + 8192) * lengths.size]))
+                pair = np.union1d((w + lo) * lengths.size + some[i], exact[cut])
+                w, i = pair // lengths.size, pair % lengths.size
+                seen[0] += w.size
+                score = like[w - lo, np.searchsorted(some, i)]
+                # The item may begin before and end after the window, by its own length.
+                reach = lengths[i] + size * STEP // 2
+                first = np.searchsorted(place, np.maximum(middle[w] - reach, at_row[w] * far))
+                last = np.searchsorted(place, middle[w] + reach)
+                # No common subsequence is longer than the number of the item's terms in the place.
+                for at in range(0, w.size, 16_384):
+                    cut = slice(at, at + 16_384)
+                    n = last[cut] - first[cut]
+                    where = np.repeat(first[cut] - np.cumsum(n) + n, n) + np.arange(n.sum())
+                    own = self.holds(np.repeat(i[cut], n), term[where])
+                    total = np.add.reduceat(own, np.cumsum(n) - n, dtype=np.int64)
+                    for k in np.flatnonzero(total >= common * sizes[i[cut]]) + at:
+                        r, item = int(at_row[w[k]]), int(i[k])
+                        span = slice(first[k], last[k])
+                        shares = self.compare(item, pos[span], term[span], common, answer)
+                        if shares:
+                            hit = (*shares, float(score[k]))
+                            if hit > best.get((r, item), (0,)):
+                                best[r, item] = hit
         return [(r, self.items.ids[i], h[2], h[0], h[1]) for (r, i), h in sorted(best.items())]
 
 
-def build(places: DataFrame, items: Items, rank: int = RANK, answer_terms: int = 5) -> Index:
+def build(places: DataFrame, items: Items, rank: int = RANK, answer_terms: int = ANSWER_TERMS) -> Index:
     n = len(items.numbers)
     df, passages = document_frequencies(places, n)
     idf = np.log((1 + passages) / (1 + df)) + 0.1
-    v = latent_terms(places, idf, min(rank, n)) * idf[:, None].astype(np.float32)
-    vectors = np.stack([v[ts].sum(axis=0) for ts in items.terms])
+    v = np.zeros((n, 1), dtype=np.float32)
+    if items.content:
+        own = idf[:items.content]
+        latent = latent_terms(places, own, min(rank, items.content)) * own[:, None].astype(np.float32)
+        v = np.concatenate([latent, np.zeros((n - items.content, latent.shape[1]), np.float32)])
+    vectors = np.stack([v[ts].sum(axis=0) * (not p) for ts, p in zip(items.terms, items.plain)])
     vectors /= np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-9)
     answers = [set(sorted(set(ts), key=lambda t: (-idf[t], t))[:answer_terms]) for ts in items.terms]
     pairs = np.unique([i * n + t for i, ts in enumerate(items.terms) for t in ts])
-    return Index(items, idf, v, vectors, answers, pairs)
+    told = np.array(sorted((t, i) for i, a in enumerate(answers) for t in a))
+    return Index(items, idf, v, vectors, answers, pairs, told)
 
 
 MATCH = "doc_id bigint, item_id bigint, cosine double, common double, answer double"
 
 
 def matches(
-    docs: DataFrame, benchmark: DataFrame, cosine: float = 0.5, common: float = 0.6,
+    docs: DataFrame, benchmark: DataFrame, cosine: float = 0.4, common: float = 0.6,
     answer: float = 0.6, rank: int = RANK,
 ) -> DataFrame:
     """(doc_id, item_id, cosine, common, answer): documents that hold an item or a paraphrase of it.
 
     ``common`` is the least share of the item's content terms in the longest common subsequence,
     ``answer`` the least share of its five rarest terms that the place must hold. All items are
-    looked for in all windows of all documents. NULL and empty texts, an empty benchmark or an empty
+    looked for in all windows of all documents; ``cosine`` opens a window, and so do answer terms that
+    stand together, so a reported cosine may be lower. Items told by all their words have cosine 0 and
+    must be found within their own length. NULL and empty texts, an empty benchmark or an empty
     table give no rows; repeated documents and ids give theirs again; several items with one id and
     different texts are several questions, each with a row of its own.
     """

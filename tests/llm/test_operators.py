@@ -413,6 +413,21 @@ def test_decontamination_finds_verbatim_and_paraphrased_items(spark):
     assert decontaminate.matches(docs, bench.limit(0)).count() == 0
 
 
+def test_decontamination_finds_long_and_common_items_at_its_own_thresholds(spark):
+    rng = np.random.default_rng(18)
+    words, shared = ["t%d" % i for i in range(3000)], ["c%d" % i for i in range(40)]
+    items = [" ".join([*rng.choice(words, (12, 30, 150)[i % 3]), *rng.choice(shared, 6)]) for i in range(60)]
+    items += [" ".join(rng.choice(shared, 14, replace=False)) for _ in range(6)]  # words of many items
+    fill = lambda n: " ".join(rng.choice(words, n))
+    rows = [(i, f"{fill(100)} {t}. {fill(150)}", "a", "s") for i, t in enumerate(items)]
+    rows += [(100 + i, " ".join(w if k % 6 else f"{w} well" for k, w in enumerate(t.split())), "a", "s")
+             for i, t in enumerate(items)]
+    rows += [(200 + i, " ".join([fill(200), *rng.choice(shared, 8), fill(50)]), "a", "s") for i in range(60)]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id bigint, text string")
+    found = {(r["doc_id"], r["item_id"]) for r in decontaminate.matches(make(spark, rows), bench).collect()}
+    assert found == {(d + i, i) for i in range(66) for d in (0, 100)}
+
+
 @pytest.mark.parametrize("apply", [
     lambda d: vptree.near_duplicates(d), lambda d: vptree.keep_first(d),
     lambda d: tokens.read_index(d.sparkSession, tokens.write_tokens(d, vocabulary())),
