@@ -4,7 +4,7 @@ A text becomes a vector of character 1- to 3-gram counts, hashed to a fixed numb
 dimensions, damped by a logarithm, weighted by inverse document frequency and normalised. Documents of
 known language are clustered within their language by spherical k-means; a text gets the language of the
 centroid with the largest cosine, and is rejected if it lies further from it than documents of that
-cluster do.
+cluster do that have about as many distinct n-grams: cosines grow with that number, in any script.
 """
 
 from __future__ import annotations
@@ -23,6 +23,8 @@ from clinflow.llm.common import pick, slices, unit_hash
 DIMENSIONS = 2048
 #: Code points of a text are looked at in parts of this size, which bounds memory for long texts.
 PART = 1 << 16
+#: Limits are kept by the number of distinct n-grams, in steps of half an octave.
+SIZES = 24
 LETTER = re.compile(r"[^\W\d_]").search
 
 
@@ -53,6 +55,11 @@ def vectors(raw: np.ndarray, idf: np.ndarray) -> np.ndarray:
     return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-9)
 
 
+def size_steps(raw: np.ndarray) -> np.ndarray:
+    distinct = np.maximum((raw > 0).sum(axis=1), 1)
+    return np.minimum((2 * np.log2(distinct)).astype(np.int64), SIZES - 1)
+
+
 def cluster(points: np.ndarray, k: int, rng: np.random.Generator, rounds: int = 12) -> np.ndarray:
     centres = points[rng.permutation(len(points))[:k]]
     for _ in range(rounds):
@@ -69,29 +76,59 @@ class Model:
     idf: np.ndarray
     centres: np.ndarray
     languages: list[str]  # of each centre
-    limits: np.ndarray  # least cosine that each centre accepts
+    limits: np.ndarray  # least cosine that each centre accepts, by size step
 
     def predict(self, texts: list[str]) -> list[tuple[str, float, bool]]:
         """(language, score, accepted); ``und`` for a text without letters or an empty model."""
         if not self.languages:
             return [("und", 0.0, False)] * len(texts)
-        near = vectors(counts(texts, self.idf.size), self.idf) @ self.centres.T
+        raw = counts(texts, self.idf.size)
+        near = vectors(raw, self.idf) @ self.centres.T
         best = near.argmax(axis=1)
         return [
-            (self.languages[b], float(np.clip(row[b], 0, 1)), bool(row[b] >= self.limits[b]))
+            (self.languages[b], float(np.clip(row[b], 0, 1)), bool(row[b] >= self.limits[b, s]))
             if LETTER(t) else ("und", 0.0, False)
-            for t, b, row in zip(texts, best, near)]
+            for t, b, s, row in zip(texts, best, size_steps(raw), near)]
+
+
+def reach(near: np.ndarray, spreads: float) -> float:
+    """The least cosine accepted among documents with these: the spread is that of the lower half,
+    without what a few odd documents add to it."""
+    middle, low = np.percentile(near, [50, 16])
+    return float(middle - spreads * max(middle - low, 0.01))
+
+
+def limits_by_size(
+    found: list[tuple[int, int, float]], languages: list[str], spreads: float, least: int = 30,
+) -> np.ndarray:
+    """Limits per centre and size step from (centre, step, cosine) of its documents and of their
+    beginnings. A centre with fewer than ``least`` of a step takes them from its language; a step
+    without any takes the limit of the next smaller one, else of the next larger."""
+    centre, step, near = (np.array(x) for x in zip(*found))
+    names = np.array(languages)
+    out = np.full((len(languages), SIZES), np.nan)
+    for c in range(len(languages)):
+        for s in np.unique(step):
+            own = near[(centre == c) & (step == s)]
+            if own.size < least:
+                own = near[(names[centre] == names[c]) & (step == s)]
+            if own.size:
+                out[c, s] = reach(own, spreads)
+        known = np.flatnonzero(~np.isnan(out[c]))
+        out[c] = out[c, known[np.maximum(np.searchsorted(known, np.arange(SIZES), "right") - 1, 0)]]
+    return np.maximum(out, 1e-3)
 
 
 def train(
-    labelled: DataFrame, clusters: int = 4, sample_rows: int = 4000, slack: float = 0.25,
+    labelled: DataFrame, clusters: int = 4, sample_rows: int = 4000, spreads: float = 4.0,
     dimensions: int = DIMENSIONS,
 ) -> Model:
     """Fit on rows with ``text`` and ``lang``.
 
     Document frequencies count all rows. Centroids are fitted on a sample of about ``sample_rows``
     documents, shared equally by the languages and taken by a hash of the text. A centroid
-    accepts cosines down to ``slack`` times the lowest percentile of its own documents. Rows without text
+    accepts cosines down to ``spreads`` times the lower spread below the median of its own documents, and
+    of their beginnings, of the same size step. Rows without text
     or language are not used; without any the model answers ``und``.
     """
     rows = pick(labelled, text="text:string", lang="lang:string").where(
@@ -110,7 +147,7 @@ def train(
     found = rows.select("text").mapInArrow(frequencies, "d bigint, n bigint").groupBy("d").agg(
         F.sum("n")).collect()
     if not found:
-        return Model(np.ones(dimensions), np.zeros((0, dimensions)), [], np.zeros(0))
+        return Model(np.ones(dimensions), np.zeros((0, dimensions)), [], np.zeros((0, SIZES)))
     df = np.zeros(dimensions + 1)
     for d, n in found:
         df[d] = n
@@ -132,22 +169,41 @@ def train(
     sample = taken.select("text", "lang").mapInArrow(vectorise, "lang string, v binary").sort(
         "lang", "v").collect()
     rng = np.random.default_rng(3)
-    centres, languages, limits = [], [], []
+    centres, languages = [], []
     for lang in sorted(sizes):
         own = [np.frombuffer(r[1], np.float16) for r in sample if r[0] == lang]
         if not own:
             continue
         points = np.stack(own).astype(np.float32)
         found = cluster(points, min(clusters, len(points)), rng)
-        near = points @ found.T
-        best = near.argmax(axis=1)
-        for j, centre in enumerate(found):
-            members = near[best == j, j]
-            if members.size:
-                centres.append(centre)
-                languages.append(lang)
-                limits.append(slack * float(np.percentile(members, 1)))
-    return Model(idf.astype(np.float32), np.stack(centres), languages, np.array(limits))
+        best = (points @ found.T).argmax(axis=1)
+        for j in np.unique(best):
+            centres.append(found[j])
+            languages.append(lang)
+    if not centres:
+        return Model(np.ones(dimensions), np.zeros((0, dimensions)), [], np.zeros((0, SIZES)))
+    every, names = np.stack(centres), np.array(languages)
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, 0):
+                out = []
+                for text, lang in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                    # Beginnings of every half octave of length, and the whole text.
+                    cuts = [int(16 * 2 ** (k / 2)) for k in range(40)]
+                    raw = counts([*(text[:n] for n in cuts if n < len(text)), text], dimensions)
+                    near = vectors(raw, idf) @ every.T
+                    near[:, names != lang] = -2
+                    best = near.argmax(axis=1)
+                    out += zip(best.tolist(), size_steps(raw).tolist(), near.max(axis=1).tolist())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([o[k] for o in out], kind) for k, kind in enumerate(
+                        (pa.int64(), pa.int64(), pa.float64()))], ["centre", "step", "near"])
+
+    spread = taken.where(F.col("lang").isin(languages)).select("text", "lang").mapInArrow(
+        measure, "centre bigint, step bigint, near double").collect()
+    limits = limits_by_size([tuple(r) for r in spread], languages, spreads)
+    return Model(idf.astype(np.float32), every, languages, limits)
 
 
 def classify(docs: DataFrame, model: Model) -> DataFrame:

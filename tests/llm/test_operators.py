@@ -381,6 +381,27 @@ def test_languages_are_told_apart_and_strangers_rejected(spark):
     assert got[901]["lang_pred"] == got[902]["lang_pred"] == "und"
 
 
+def test_long_texts_of_no_known_language_are_rejected(spark):
+    rng = np.random.default_rng(13)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyz"))
+
+    def strange(n, alphabet):
+        return " ".join("".join(rng.choice(alphabet, rng.integers(2, 9))) for _ in range(n))
+
+    vocabularies = {lang: [strange(1, letters[own]) for _ in range(400)] for lang, own in {
+        "en": slice(0, 18), "de": slice(8, 26)}.items()}
+    rows = [(i, " ".join(rng.choice(vocabularies[lang], rng.integers(20, 600))), lang, "s")
+            for i in range(200) for lang in [("en", "de")[i % 2]]]
+    cyrillic, cjk = [chr(c) for c in range(0x430, 0x450)], [chr(c) for c in range(0x4E00, 0x6E00)]
+    signs = [*letters, *map(str.upper, letters), *"0123456789"]
+    odd = [(900 + k, strange(n, a), None, "s") for k, (n, a) in enumerate(
+        (n, a) for n in (50, 200, 1000) for a in (letters, cyrillic, cjk, signs))]
+    model = language.train(make(spark, rows[:160]))
+    got = {r["doc_id"]: r for r in language.classify(make(spark, rows[160:] + odd), model).collect()}
+    assert all(got[r[0]]["lang_pred"] == r[2] and got[r[0]]["accepted"] for r in rows[160:])
+    assert not [r[0] for r in odd if got[r[0]]["accepted"]]
+
+
 def test_licence_notices(spark):
     texts = ["Released under the MIT License.", "das Haus mit dem Garten\nLicensed under CC BY-NC 4.0.",
              "She lost her driving license.", None, "", "All rights reserved. " + "word " * 500]
