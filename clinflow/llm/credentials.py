@@ -1,8 +1,8 @@
 """Secret scan with corpus-wide ownership of the values found.
 
 Candidates come from fixed patterns. The hash of each value is counted over distinct owners
-and distinct repositories: a value that many owners carry is an example that was copied around; a
-value that stays with one or two owners and looks random is a live credential.
+and distinct repositories: a value that many owners or many repositories carry is an example that was
+copied around; a value that stays with few of both and looks random is a live credential.
 """
 
 from __future__ import annotations
@@ -44,7 +44,8 @@ def candidates(docs: DataFrame, owner: str, repository: str) -> DataFrame:
         "row", F.monotonically_increasing_id())
 
 
-def ownership(found: DataFrame, example_owners: int, least_distinct: int) -> DataFrame:
+def ownership(found: DataFrame, example_owners: int, example_repositories: int,
+              least_distinct: int) -> DataFrame:
     """(h, verdict) for each value's hash.
 
     Counts run in two steps, (value, owner, repository) to (value, owner) to value, so each is combined
@@ -61,26 +62,27 @@ def ownership(found: DataFrame, example_owners: int, least_distinct: int) -> Dat
     by_value = by_owner.groupBy("h").agg(
         F.count("*").alias("owners"), F.sum("repositories").alias("repositories"),
         F.max("distinct").alias("distinct"))
-    verdict = F.when(F.col("owners") >= example_owners, EXAMPLE).when(
-        F.col("distinct") >= least_distinct, LIVE)
+    copied = (F.col("owners") >= example_owners) | (F.col("repositories") >= example_repositories)
+    verdict = F.when(copied, EXAMPLE).when(F.col("distinct") >= least_distinct, LIVE)
     return by_value.select("h", "owners", "repositories", verdict.alias("verdict"))
 
 
 def scan(
     docs: DataFrame, owner: str = "source", repository: str = "doc_id", example_owners: int = 3,
-    least_distinct: int = 6,
+    example_repositories: int = 10, least_distinct: int = 6,
 ) -> DataFrame:
     """(doc_id, base, spans) for every row: arrays of (start, stop, rank, kind, value).
 
     ``base`` has the pattern matches. ``spans`` adds one span for each value with a verdict, at the
-    value's place: ``example`` from ``example_owners`` distinct owners on, else ``live`` if the value has
+    value's place: ``example`` from ``example_owners`` distinct owners or ``example_repositories`` distinct
+    repositories on, else ``live`` if the value has
     ``least_distinct`` different characters. NULL and empty texts have no spans; repeated rows come
     back as often as they came; without an owner column all rows have one owner. An empty table
     gives no rows.
     """
     found = materialize(candidates(docs, owner, repository), "candidates")
     verdicts = materialize(
-        ownership(found, example_owners, least_distinct).where("verdict is not null"), "verdicts")
+        ownership(found, example_owners, example_repositories, least_distinct).where("verdict is not null"), "verdicts")
     some = found.where(F.size("spans") > 0)
     marked = some.select("row", F.explode("spans").alias("s")).withColumn(
         "h", F.sha2("s.value", 256)).join(verdicts, "h")

@@ -328,6 +328,18 @@ def test_copied_values_are_examples(spark):
     assert "example:6:19" in spans[0] and spans[9] == "assign:0:23,live:9:23"
 
 
+def test_values_in_many_repositories_of_one_owner_are_examples(spark):
+    rows = [(i, "token=exampleKEY123", "a", "s") for i in range(12)]
+    rows += [(50 + i, "token=q9Xw83kfLm2Pz7", "a", "s") for i in (0, 0, 1)]
+    rows += [(60, "token=r8Yv72jgKn3Qx6", "a", "s")] * 20  # copies within one repository
+    docs = make(spark, rows)
+    for table in (docs, docs.drop("source")):
+        found = credentials.digest(credentials.scan(table)).collect()
+        assert Counter((r["doc_id"] // 10 if r["doc_id"] >= 50 else 0, r["spans"]) for r in found) == {
+            (0, "assign:0:19,example:6:19"): 12, (5, "assign:0:20,live:6:20"): 3,
+            (6, "assign:0:20,live:6:20"): 20}
+
+
 def test_failing_match_is_consumed(spark):
     found = credentials.digest(credentials.scan(make(spark, [(1, "password: token = abcdefghijkl", "a", "s")])))
     assert found.first()["n_assign"] == 0
