@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clinflow.llm import (
-    credentials, decontaminate, language, licences,
-    minhash, mixture, privacy, shards, tokens, vptree)
+    bpe, credentials, decontaminate, language, licences,
+    minhash, mixture, privacy, shards, spelling, tokens, vptree, whitening)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -73,6 +73,18 @@ def simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+def bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digest(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
+
+
 QUERIES = {
     "op1_token_files": token_files,
     "op2_sharding": sharding,
@@ -84,5 +96,8 @@ QUERIES = {
     "op8_language_id": language_id,
     "op9_licence_scan": licence_scan,
     "op10_simhash_near_dedup": simhash_near_dedup,
+    "op11_embedding_whitening": embedding_whitening,
+    "op12_spelling_variants": spelling_variants,
+    "op13_bpe_round_trip": bpe_round_trip,
 }
 ORACLES: dict[str, str] = {}

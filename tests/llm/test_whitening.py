@@ -1,0 +1,107 @@
+"""Whitening against numpy's full decomposition."""
+
+import math
+
+import numpy as np
+import pytest
+
+from clinflow.llm import whitening
+
+SCHEMA = "vec_id bigint, embedding array<float>, n string, whitened string"
+
+
+def make(spark, vectors, ids=None):
+    ids = range(len(vectors)) if ids is None else ids
+    return spark.createDataFrame(
+        [(i, None if v is None else [None if c is None else float(c) for c in v], "x", "y")
+         for i, v in zip(ids, vectors)], SCHEMA).repartition(4)
+
+
+def plain(vectors, components=8):
+    x = np.floor(1024 * np.array(vectors, dtype=np.float32).astype(float)).astype(np.int64) + 100000
+    n, s = len(x), x.sum(axis=0)
+    c = x - s / n
+    values, turn = np.linalg.eigh(c.T @ c / n)
+    values, turn = values[::-1][:components], turn[:, ::-1][:, :components]
+    deviation = [sum((n * int(v) - int(t)) ** 2 for v, t in zip(row, s)) for row in x]
+    return deviation, values / np.trace(c.T @ c / n), c @ turn / np.sqrt(values)
+
+
+def check(spark, vectors, found, components=8):
+    deviation, explained, white = plain(vectors, components)
+    rows = {(r["vec_id"], r["component"]): r for r in found.collect()}
+    assert len(rows) == white.size
+    sign = [np.sign(white[0, j] * rows[0, j + 1]["whitened"]) for j in range(white.shape[1])]
+    for i in range(len(vectors)):
+        for j in range(white.shape[1]):
+            r = rows[i, j + 1]
+            assert r["n"] == len(vectors) and r["deviation"] == deviation[i]
+            assert r["whitened"] == pytest.approx(sign[j] * white[i, j], abs=1e-8)
+            assert r["explained"] == pytest.approx(explained[j], rel=1e-9)
+            assert r["identity_error"] < 1e-9
+
+
+def test_flat_spectrum(spark):
+    rng = np.random.default_rng(0)
+    vectors = rng.standard_normal((300, 48)) * np.linspace(0.1, 0.13, 48)
+    check(spark, vectors, whitening.whiten(make(spark, vectors)))
+
+
+def test_steep_spectrum_and_fewer_dimensions_than_components(spark):
+    rng = np.random.default_rng(1)
+    steep = rng.standard_normal((200, 40)) * 2.0 ** -np.arange(40)
+    check(spark, steep, whitening.whiten(make(spark, steep)))
+    small = rng.standard_normal((50, 3))
+    check(spark, small, whitening.whiten(make(spark, small)), 3)
+
+
+def test_passes_are_few_and_certified(spark):
+    rng = np.random.default_rng(2)
+    rows = whitening.scaled(make(spark, rng.standard_normal((400, 64)) * np.linspace(1, 1.4, 64)))
+    model = whitening.fit(rows)
+    assert model.residual < 1e-11 and model.passes < 80
+    assert np.allclose(model.vectors.T @ model.vectors, np.eye(8), atol=1e-13)
+
+
+def test_unusable_rows_go(spark):
+    rng = np.random.default_rng(3)
+    good = (rng.standard_normal((40, 12)) * 3).tolist()
+    bad = [None, [], [None] * 12, [math.nan] + [0.0] * 11, [math.inf] + [0.0] * 11, [0.0] * 11 + [1e13],
+           [1.0] * 11]
+    table = make(spark, good + bad)
+    check(spark, good, whitening.whiten(table))
+
+
+def test_repeated_and_missing_ids_are_rows_of_their_own(spark):
+    rng = np.random.default_rng(4)
+    vectors = rng.standard_normal((30, 10))
+    found = whitening.whiten(make(spark, vectors, [None, None, 1, 1, *range(2, 28)]), components=2)
+    assert found.count() == 60 and found.where("vec_id is null").count() == 4
+    assert found.first()["n"] == 30
+
+
+def test_directions_without_variance_have_no_component(spark):
+    rng = np.random.default_rng(5)
+    plane = rng.standard_normal((60, 2)) @ rng.integers(-3, 4, (2, 9)).astype(float)
+    flat = make(spark, np.floor(plane * 4) / 4 * 0 + np.round(plane))
+    assert whitening.whiten(flat).agg({"component": "max"}).first()[0] <= 9
+    line = make(spark, [[float(i)] * 5 for i in range(7)])
+    found = whitening.whiten(line).collect()
+    assert {r["component"] for r in found} == {1} and found[0]["explained"] == pytest.approx(1)
+    assert whitening.whiten(make(spark, [[0.3, 0.7]] * 5)).count() == 0
+    assert whitening.whiten(make(spark, [[0.3, 0.7]])).count() == 0
+    assert whitening.whiten(make(spark, [])).count() == 0
+    assert whitening.whiten(make(spark, [None, []])).count() == 0
+
+
+def test_equal_eigenvalues(spark):
+    corners = [[s * (i == j) for j in range(6)] for i in range(6) for s in (1.0, -1.0)]
+    found = whitening.whiten(make(spark, corners)).collect()
+    assert len(found) == 12 * 6 and max(r["identity_error"] for r in found) < 1e-9
+
+
+def test_deviations_beyond_a_long_are_null():
+    x = np.array([[1 << 45, 0], [0, 1 << 45], [5, 5]])
+    sums = tuple(int(v) for v in x.sum(axis=0))
+    exact = [sum((3 * int(v) - s) ** 2 for v, s in zip(row, sums)) for row in x]
+    assert whitening.deviations(x, 3, sums) == [None if v >= 1 << 63 else v for v in exact]
