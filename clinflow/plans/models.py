@@ -15,6 +15,7 @@ from clinflow.operators.quantiles import (
     percentile_at, value_counts, weighted_mean, weighted_stddev, with_ranks,
 )
 from clinflow.operators.sequence import add_history
+from clinflow.plans.labcube import LAB_KEYS
 from clinflow.schemas import STAGED_COLUMNS
 
 # Longest stay kept (hours), and the rank above which a stay is a long one.
@@ -203,9 +204,6 @@ def throughput(episodes: DataFrame, stg: DataFrame) -> DataFrame:
     )
 
 
-LAB_KEYS = ["loinc_code", "observation_name", "obs_category", "result_unit"]
-
-
 def lab_kpis(
     obs: DataFrame,
     ranges: DataFrame | None = None,

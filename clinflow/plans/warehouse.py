@@ -9,12 +9,8 @@ from clinflow.functions import (
     episode_hours, out_of_range, round_bin, wall_clock, weekday_name,
 )
 from clinflow.operators.combine import merge_groups
-from clinflow.operators.quantiles import percentile_at, value_counts, with_ranks
+from clinflow.plans import labcube
 from clinflow.schemas import TABLES
-
-RANGE_LABELS = ("observation_name", "obs_category", "result_unit")
-
-
 def build_patients(flat: DataFrame) -> DataFrame:
     return flat.select(*TABLES["dim_patients"].fieldNames())
 
@@ -29,26 +25,6 @@ def build_episodes(flat: DataFrame) -> DataFrame:
     return flat.withColumn("episode_los_hours", hours).select(*TABLES["dim_episodes"].fieldNames())
 
 
-def most_frequent(df: DataFrame, by: Sequence[str], attributes: Sequence[str]) -> DataFrame:
-    """Most frequent non-NULL value of each attribute per group, the smallest one on ties.
-
-    Combinations are counted once; the votes per attribute are then taken from the counts, so
-    the rows are read and shuffled (already combined) a single time.
-    """
-    counted = df.groupBy(*by, *attributes).agg(F.count(F.lit(1)).alias("_c"))
-    votes = (
-        counted.select(*by, "_c", F.posexplode(F.array(*attributes)).alias("_attr", "_value"))
-        .filter(F.col("_value").isNotNull())
-        .groupBy(*by, "_attr", "_value")
-        .agg(F.sum("_c").alias("_c"))
-    )
-    best = F.struct(-F.col("_c"), F.col("_value").alias("_value"))
-    return votes.groupBy(*by).agg(*[
-        F.min(F.when(F.col("_attr") == i, best)).getField("_value").alias(a)
-        for i, a in enumerate(attributes)
-    ])
-
-
 def reference_ranges(
     obs: DataFrame,
     low: float = 0.025,
@@ -56,26 +32,23 @@ def reference_ranges(
     by: Sequence[str] = ("loinc_code",),
     approx: bool = False,
 ) -> DataFrame:
-    """Cohort ranges per code: exact interpolated percentiles of the results.
+    """Cohort ranges per code: exact interpolated percentiles of the results, from a stored cube of value
+    counts (see ``labcube``), so that the results are read once.
 
     ``by=("loinc_code", "result_unit")`` keeps units apart. ``approx`` takes the percentiles from
     a mergeable sketch in one pass.
     """
     by = list(by)
+    if not approx:
+        return labcube.cohort_ranges(labcube.value_cube(obs, patients=False), low, high, by)
     valid = obs.filter(F.col("loinc_code").isNotNull() & F.col("result_value").isNotNull())
-    labels = most_frequent(valid, by, [a for a in RANGE_LABELS if a not in by])
-    if approx:
-        pair = F.percentile_approx("result_value", [low, high], 10_000)
-        bounds = valid.groupBy(*by).agg(pair.alias("_p")).select(
-            *by, F.get("_p", F.lit(0)).alias("normal_low"), F.get("_p", F.lit(1)).alias("normal_high"))
-    else:
-        counts = value_counts(valid, by, "result_value")
-        bounds = with_ranks(counts, by, "result_value").groupBy(*by).agg(
-            percentile_at("result_value", low).alias("normal_low"),
-            percentile_at("result_value", high).alias("normal_high"),
-        )
-    merged = merge_groups(by, labels, bounds)
-    return merged.select(*TABLES["dim_loinc_reference"].fieldNames())
+    attributes = [a for a in labcube.RANGE_LABELS if a not in by]
+    labels = labcube.most_frequent(
+        valid.groupBy(*by, *attributes).agg(F.count(F.lit(1)).alias("n")), by, attributes)
+    pair = F.percentile_approx("result_value", [low, high], 10_000)
+    bounds = valid.groupBy(*by).agg(pair.alias("_p")).select(
+        *by, F.get("_p", F.lit(0)).alias("normal_low"), F.get("_p", F.lit(1)).alias("normal_high"))
+    return merge_groups(by, labels, bounds).select(*TABLES["dim_loinc_reference"].fieldNames())
 
 
 def flag_abnormal(

@@ -13,7 +13,7 @@ from clinflow.operators import (
     value_counts, with_ranks,
 )
 from clinflow.operators.skew import same_keys
-from clinflow.plans import flatten, measures, models, quality, reports, warehouse
+from clinflow.plans import flatten, labcube, measures, models, quality, reports, warehouse
 from clinflow.schemas import TABLES
 from clinflow.sinks import writers
 from clinflow.sources import corrupt_lines, read_ndjson, read_parquet_tables
@@ -83,14 +83,18 @@ def _results(spark, d):
     return materialize(obs.select(*models.LAB_KEYS, "patient_id", "result_value"), "results")
 
 
-def _ranges(results):
+def _cube(spark, d, patients=True):
+    return labcube.value_cube(roles.observations_from_lineitems(spark, d), patients)
+
+
+def _ranges(cube):
     """Stored as well, so the planner of the join to it knows its size."""
-    return materialize(warehouse.reference_ranges(results), "dim_loinc_reference")
+    return materialize(labcube.cohort_ranges(cube), "dim_loinc_reference")
 
 
 def _flagged_results(spark, d):
     results = _results(spark, d)
-    return warehouse.flag_abnormal(results, _ranges(results))
+    return warehouse.flag_abnormal(results, _ranges(labcube.value_cube(results, patients=False)))
 
 
 def _throughput(spark, d):
@@ -154,7 +158,7 @@ def episode_los(spark, d):
 
 @query
 def reference_ranges(spark, d):
-    return warehouse.reference_ranges(_results(spark, d))
+    return labcube.cohort_ranges(_cube(spark, d, patients=False))
 
 
 @query
@@ -165,7 +169,7 @@ def reference_ranges_by_unit(spark, d):
 
 @query
 def flag_abnormal(spark, d):
-    ranges = _ranges(_results(spark, d))
+    ranges = _ranges(_cube(spark, d, patients=False))
     return warehouse.flag_abnormal(roles.observations_from_lineitems(spark, d), ranges)
 
 
@@ -241,7 +245,7 @@ def episode_throughput(spark, d):
 
 @query
 def lab_kpis(spark, d):
-    return models.lab_kpis(_flagged_results(spark, d))
+    return labcube.lab_kpis(_cube(spark, d))
 
 
 @query
@@ -261,9 +265,7 @@ def lab_kpis_approx(spark, d):
 
 @query
 def lab_kpis_with_ranges(spark, d):
-    results = _results(spark, d)
-    ranges = _ranges(results)
-    return models.lab_kpis(warehouse.flag_abnormal(results, ranges), ranges).select(
+    return labcube.lab_kpis(_cube(spark, d), with_ranges=True).select(
         *models.LAB_KEYS, "total_observations", "abnormal_count", "normal_low", "normal_high")
 
 
@@ -424,7 +426,7 @@ def weekend_night_share(spark, d):
 @query
 def abnormal_rate(spark, d):
     return _rounded(
-        measures.abnormal_rate(_flagged_results(spark, d), ["obs_category"]), "abnormal_rate_pct")
+        labcube.abnormal_rate(_cube(spark, d, patients=False), ["obs_category"]), "abnormal_rate_pct")
 
 
 @query
@@ -491,12 +493,12 @@ def gantt_feed(spark, d):
 
 @query
 def top_codes(spark, d):
-    return reports.top_codes(models.lab_kpis(_flagged_results(spark, d)), 15)
+    return reports.top_codes(labcube.lab_kpis(_cube(spark, d)), 15)
 
 
 @query
 def lab_page_tables(spark, d):
-    kpis = materialize(models.lab_kpis(_flagged_results(spark, d)), "analytics_lab_kpis")
+    kpis = materialize(labcube.lab_kpis(_cube(spark, d)), "analytics_lab_kpis")
     return reports.lab_stats(kpis).join(
         reports.mean_vs_p97_5(kpis).groupBy("loinc_code").agg(F.max("p97_5").alias("code_p97_5")),
         "loinc_code")
@@ -514,7 +516,7 @@ def page_cards(spark, d):
         [], reports.los_cards(fact), reports.readmission_cards(models.readmissions(stg)),
         reports.throughput_cards(fact),
         reports.provider_cards(fact).withColumnRenamed("encounters", "provider_encounters"),
-        reports.lab_cards(_flagged_results(spark, d), "Brand#7"))
+        labcube.lab_cards(_cube(spark, d, patients=False), "Brand#7"))
     doubles = [f.name for f in cards.schema.fields if f.dataType.typeName() == "double"]
     return _rounded(cards, *doubles)
 
