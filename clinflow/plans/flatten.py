@@ -1,17 +1,19 @@
-"""Nested resources -> flat tables. Each function takes the raw rows and returns the flat rows."""
+"""Nested resources -> flat tables. Each function takes the raw rows and returns the flat rows; lines that
+did not parse give none (``split_ndjson`` keeps them)."""
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clinflow.functions import dig, los_hours, parse_date, parse_instant, strip_prefix
 from clinflow.operators.dedup import dedup_first, explode_entries
+from clinflow.sources.ndjson import parsed
 
 # Fixed value: marks the coding system whose observations are kept.
 LOINC_SYSTEM = "loinc.org"
 
 
 def flatten_patients(raw: DataFrame) -> DataFrame:
-    return raw.select(
+    return parsed(raw).select(
         F.col("id").alias("patient_id"),
         "gender",
         F.col("birthDate").alias("birth_date"),
@@ -28,7 +30,7 @@ def flatten_encounters(raw: DataFrame) -> DataFrame:
     """One row per encounter. Of several types the first one counts, so the array is indexed
     rather than exploded: the shuffle of the de-duplication carries one row per input line."""
     start, end = parse_instant(dig("period.start")), parse_instant(dig("period.end"))
-    flat = raw.select(
+    flat = parsed(raw).select(
         F.col("id").alias("encounter_id"),
         strip_prefix(dig("subject.reference"), "Patient").alias("patient_id"),
         "status",
@@ -49,7 +51,7 @@ def flatten_encounters(raw: DataFrame) -> DataFrame:
 def flatten_conditions(raw: DataFrame) -> DataFrame:
     """One row per condition and coding system."""
     coding = F.col("_coding")
-    flat = explode_entries(raw, dig("code.coding"), "_coding").select(
+    flat = explode_entries(parsed(raw), dig("code.coding"), "_coding").select(
         F.col("id").alias("condition_id"),
         strip_prefix(dig("subject.reference"), "Patient").alias("patient_id"),
         strip_prefix(dig("encounter.reference"), "Encounter").alias("encounter_id"),
@@ -73,7 +75,7 @@ def flatten_observations(raw: DataFrame) -> DataFrame:
     it is expanded."""
     loinc = F.filter(dig("code.coding"), lambda c: c["system"].contains(LOINC_SYSTEM))
     coding = F.col("_coding")
-    flat = raw.select("*", F.posexplode(loinc).alias("_pos", "_coding")).select(
+    flat = parsed(raw).select("*", F.posexplode(loinc).alias("_pos", "_coding")).select(
         F.col("id").alias("observation_id"),
         strip_prefix(dig("subject.reference"), "Patient").alias("patient_id"),
         strip_prefix(dig("encounter.reference"), "Encounter").alias("encounter_id"),
@@ -91,7 +93,7 @@ def flatten_observations(raw: DataFrame) -> DataFrame:
 
 
 def flatten_episodes(raw: DataFrame) -> DataFrame:
-    return raw.select(
+    return parsed(raw).select(
         F.col("id").alias("episode_id"),
         strip_prefix(dig("patient.reference"), "Patient").alias("patient_id"),
         F.col("status").alias("episode_status"),

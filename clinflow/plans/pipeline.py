@@ -3,14 +3,14 @@
 import logging
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
+from clinflow.operators.storage import scratch_path
 from clinflow.plans import models, quality, warehouse
 from clinflow.plans.flatten import FLATTENERS
-from clinflow.schemas import CORRUPT, EXPORTS, FLAT, KEYS, LINKS, TABLES
+from clinflow.schemas import EXPORTS, FLAT, KEYS, LINKS, TABLES
 from clinflow.sinks.writers import write_csv, write_parquet
-from clinflow.sources.ndjson import read_ndjson
+from clinflow.sources.ndjson import split_ndjson
 from clinflow.sources.tables import read_parquet_tables
 
 log = logging.getLogger(__name__)
@@ -19,16 +19,17 @@ log = logging.getLogger(__name__)
 def ingest(spark: SparkSession, src: str, out: str) -> dict[str, int]:
     """NDJSON folder -> five flat tables under ``out``; returns row counts.
 
-    Lines that did not parse are counted during the same scan and logged.
+    Every line is parsed once (see ``split_ndjson``). Lines that did not parse are in no table: they are
+    written to ``bad_lines/<resource>`` with their file, counted and logged.
     """
     counts = {}
     for table, (resource, flatten) in FLATTENERS.items():
-        seen = Observation()
-        raw = read_ndjson(spark, src, resource).observe(seen, F.count(CORRUPT).alias("corrupt"))
+        raw, bad = split_ndjson(spark, src, resource, scratch_path(spark, resource))
         counts[table] = write_parquet(flatten(raw), f"{out}/{table}")
         log.info("%s: %d rows", table, counts[table])
-        if seen.get["corrupt"]:
-            log.warning("%s: %d lines did not parse", resource, seen.get["corrupt"])
+        lost = write_parquet(bad, f"{out}/bad_lines/{resource}")
+        if lost:
+            log.warning("%s: %d lines did not parse", resource, lost)
     return counts
 
 
@@ -84,7 +85,7 @@ def run_models(spark: SparkSession, root: str) -> dict[str, int]:
         "mart_los_kpis": models.los_kpis(stg),
         "analytics_readmissions": models.readmissions(stg),
         "analytics_throughput": models.throughput(t["dim_episodes"], stg),
-        "analytics_lab_kpis": models.by_volume(models.lab_kpis(t["dim_clinical_observations"])),
+        "analytics_lab_kpis": models.lab_kpis(t["dim_clinical_observations"]),
     }
     return {name: write_parquet(df, f"{root}/{name}") for name, df in results.items()}
 

@@ -16,7 +16,7 @@ from clinflow.operators.skew import same_keys
 from clinflow.plans import flatten, labcube, measures, models, quality, reports, warehouse
 from clinflow.schemas import TABLES
 from clinflow.sinks import writers
-from clinflow.sources import corrupt_lines, read_ndjson, read_parquet_tables
+from clinflow.sources import corrupt_lines, read_ndjson, read_parquet_tables, row_count, split_ndjson
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -138,6 +138,16 @@ def ndjson_line_counts(spark, d):
     return corrupt_lines(read_ndjson(spark, roles.encounter_lines(spark, d), "Encounter"))
 
 
+@query
+def bad_lines(spark, d):
+    """Lines that did not parse, per file: kept aside by the pass that stores the others."""
+    bad = split_ndjson(
+        spark, roles.encounter_lines(spark, d), "Encounter", scratch_path(spark, "Encounter"))[1]
+    folder = F.regexp_extract("file", r"([^/]+)/[^/]+$", 1)
+    return bad.groupBy(folder.alias("file")).agg(
+        F.count(F.lit(1)).alias("lines"), F.max(F.char_length("line")).alias("longest"))
+
+
 @query
 def dedup_first_query(spark, d):
     return dedup_first(

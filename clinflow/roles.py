@@ -228,7 +228,7 @@ def patient_lines(spark: SparkSession, sf_dir: str) -> str:
 
 def encounter_lines(spark: SparkSession, sf_dir: str) -> str:
     """Encounters: types absent, empty, without coding or double; starts with two offsets; ends
-    missing, malformed or before the start; a second version of every seventh encounter."""
+    missing, malformed or before the start; a second version of every seventh encounter; lines cut off."""
     key, start = F.col("event_id"), F.col("ts").cast("timestamp")
     seconds = F.floor(F.col("value") * 3600.0)
     end = _iso(_plus_seconds(start, F.when(key % 50 == 2, -seconds).otherwise(seconds)))
@@ -267,6 +267,10 @@ def encounter_lines(spark: SparkSession, sf_dir: str) -> str:
     write_ndjson(nested.drop("event_id"), folder, "Encounter")
     second = nested.filter(key % 7 == 0).drop("event_id").withColumn("status", F.lit("amended"))
     write_ndjson(second, folder, "Encounter", 1)
+    # Lines that do not parse: every 97th encounter once more, cut off in the middle.
+    whole = nested.filter(key % 97 == 0).drop("event_id")
+    whole.select(F.to_json(F.struct(*whole.columns)).alias("value")).select(
+        F.expr("left(value, 40)").alias("value")).write.text(f"{folder}/Encounter_002.ndjson")
     return folder
 
 

@@ -2,14 +2,16 @@ import csv
 
 import pytest
 from helpers import by, rows, write_lines
+from pyspark.sql import functions as F
 
 from clinflow.operators import materialize, scratch_path
 from clinflow.operators import storage
 from clinflow.plans import pipeline
 from clinflow.schemas import EXPORTS, FLAT, KEYS, TABLES
 from clinflow.sinks import create_tables, publish, save_table, write_csv, write_parquet
-from clinflow.sinks.writers import read_csv
-from clinflow.sources import read_parquet_tables, row_count
+from clinflow.plans.flatten import FLATTENERS
+from clinflow.sinks.writers import drop_versions, location, read_csv
+from clinflow.sources import read_ndjson, read_parquet_tables, row_count, split_ndjson
 
 LOINC = "http://loinc.org"
 
@@ -204,3 +206,63 @@ def test_scratch_folder(spark, monkeypatch):
     with pytest.raises(RuntimeError, match="checkpoint"):
         storage.scratch_root(Session("yarn"))
     assert storage.scratch_root(Session("local[2]")) == storage.scratch_root(Session("local[4]"))
+
+
+def test_bad_lines_are_kept_aside(spark, tmp_path):
+    write_lines(tmp_path / "raw", "Patient", [
+        "{broken", {"id": "p1"}, {"id": "p2", "name": "not an array"}, '{"id": "p3", "gender": "male"}'])
+    good, bad = split_ndjson(spark, str(tmp_path / "raw"), "Patient", str(tmp_path / "stage"))
+    assert sorted(r["id"] for r in good.collect()) == ["p1", "p3"]
+    kept = {r["line"]: r["file"] for r in bad.collect()}
+    assert set(kept) == {"{broken", '{"id": "p2", "name": "not an array"}'}
+    assert all(f.endswith("Patient_000.ndjson") for f in kept.values())
+    assert FLATTENERS["dim_patients"][1](good).count() == 2
+    raw = read_ndjson(spark, str(tmp_path / "raw"), "Patient")
+    assert FLATTENERS["dim_patients"][1](raw).where("patient_id IS NULL").count() == 0
+    _source(tmp_path / "all")
+    write_lines(tmp_path / "all", "EpisodeOfCare", ["{cut"], shard=7)
+    pipeline.ingest(spark, str(tmp_path / "all"), str(tmp_path / "out"))
+    assert spark.read.parquet(str(tmp_path / "out/dim_episodes")).count() == 1
+    assert spark.read.parquet(str(tmp_path / "out/bad_lines/EpisodeOfCare")).first()["line"] == "{cut"
+
+
+def _failing(spark):
+    return spark.range(100).selectExpr("id", "assert_true(id < 90) IS NULL AS ok")
+
+
+def test_a_refresh_that_fails_leaves_the_old_rows(spark, tmp_path):
+    path = str(tmp_path / "t")
+    write_parquet(spark.range(5).selectExpr("id", "true AS ok"), path)
+    with pytest.raises(Exception, match="assert|USER_RAISED"):
+        write_parquet(_failing(spark), path)
+    assert spark.read.parquet(path).count() == 5
+    # A plan may read what it refreshes.
+    assert write_parquet(spark.read.parquet(path).where("id > 1"), path) == 3
+    assert spark.read.parquet(path).count() == 3
+    # A run that ended between the two renames.
+    (tmp_path / "t").rename(tmp_path / "t.previous")
+    assert write_parquet(spark.range(2).toDF("id"), path) == 2
+    assert spark.read.parquet(path).count() == 2 and not (tmp_path / "t.previous").exists()
+
+
+def test_tables_in_versions(spark, tmp_path):
+    name, root = "kept_outside", str(tmp_path / "outside")
+    good = spark.range(5).selectExpr("id", "true AS ok")
+    assert save_table(good, name, root) == 5
+    before = spark.table(name)
+    with pytest.raises(Exception, match="assert|USER_RAISED"):
+        save_table(_failing(spark), name)
+    assert spark.table(name).count() == 5
+    assert save_table(good.where("id < 2"), name) == 2
+    assert spark.table(name).count() == 2 and before.count() in (2, 5)
+    assert location(spark, name).split(":", 1)[-1].startswith(root)  # an external table stays where it was
+    assert save_table(good.withColumn("more", F.lit("x")), name) == 5
+    assert spark.table(name).columns == ["id", "ok", "more"]
+    assert drop_versions(spark, name) >= 2 and spark.table(name).count() == 5
+    assert drop_versions(spark, name) == 0
+    for n in (40, 20):
+        parts = spark.range(n).selectExpr("id", "id % 4 AS part")
+        assert save_table(parts, "in_parts", str(tmp_path / "parts"), ["part"]) == n
+        assert spark.table("in_parts").where("part = 1").count() == n // 4
+    spark.sql(f"DROP TABLE {name}")
+    spark.sql("DROP TABLE in_parts")
