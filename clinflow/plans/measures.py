@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from clinflow.functions import is_weekend, percent
+from clinflow.functions import gap_seconds, is_weekend, percent, within_days
 from clinflow.operators.combine import merge_groups
 from clinflow.operators.quantiles import percentile_at, value_counts, with_ranks
 from clinflow.operators.ranking import top_k
@@ -157,6 +157,37 @@ def avg_days_to_readmission(readm: DataFrame, by: By = ()) -> DataFrame:
     return _one(readm, by, avg_days_to_readmission=F.avg(days))
 
 
+#: Windows (days, label): any table of them can be applied to one history.
+WINDOWS = ((7, "7 days"), (30, "30 days"), (60, "60 days"), (90, "90 days"))
+
+
+def readmission_windows(
+    readm: DataFrame, windows: Sequence[tuple[int, str]] = WINDOWS, by: By = (),
+    index_classes: Sequence[str] | None = None,
+) -> DataFrame:
+    """All readmission measures for each window, from one pass over one history: a row per group and
+    window with the number of readmissions, their rate in percent, the mean days to them, and the discharges
+    that were followed by one.
+
+    The windows are data: the flags come from the exact gaps, not from a stored flag of one length. Gaps
+    from 0 to the window's days count, both included.
+    """
+    since = gap_seconds(F.col("admit_timestamp"), F.col("prev_discharge_timestamp"))
+    until = gap_seconds(F.col("next_admit_timestamp"), F.col("discharge_timestamp"))
+    days = F.col("days_since_prev_discharge")
+    cells = []
+    for length, label in windows:
+        again, followed = within_days(since, length), within_days(until, length)
+        cells.append(F.struct(
+            F.lit(length).alias("window_days"), F.lit(label).alias("window"),
+            F.count_if(again).alias("readmissions"),
+            percent(F.count_if(again), _rows()).alias("readmission_rate_pct"),
+            F.avg(F.when(again, days)).alias("avg_days_to_readmission"),
+            F.count_if(followed).alias("index_discharges")))
+    grouped = _of_classes(readm, index_classes).groupBy(*by).agg(F.array(*cells).alias("_windows"))
+    return grouped.select(*by, F.inline("_windows"))
+
+
 def admissions_by_hour(fact: DataFrame, by: By = ()) -> DataFrame:
     return _one(fact, [*by, "admit_hour"], admissions=_rows())
 

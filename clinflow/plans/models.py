@@ -10,6 +10,7 @@ from clinflow.functions import (
     remove_text, round_bin, within_days,
 )
 from clinflow.functions.clinical import DAY, LAST_TIER, LOS_TIERS, READMISSION_CLASSES
+from clinflow.operators import sketches
 from clinflow.operators.combine import merge_groups
 from clinflow.operators.quantiles import (
     percentile_at, value_counts, weighted_mean, weighted_stddev, with_ranks,
@@ -98,13 +99,15 @@ def los_kpis(stg: DataFrame, approx: bool = False) -> DataFrame:
     )
 
 
-def _los_kpis_approx(stg: DataFrame, accuracy: int = 10_000) -> DataFrame:
+def _los_kpis_approx(stg: DataFrame) -> DataFrame:
+    """One pass: percentiles and the number of stays above P90 come from one mergeable sketch per class, so
+    no counts of exact values are built."""
     keys = ["encounter_class", "encounter_class_label"]
     x, weekend = F.col("los_hours"), F.col("is_weekend_admission")
     stats = stg.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("encounter_count"),
         round_bin(F.avg(x), 2).alias("avg_los_hours"),
-        F.percentile_approx(x, [0.5, 0.25, 0.75, 0.9], accuracy).alias("_p"),
+        F.kll_sketch_agg_double(x, sketches.KLL_K).alias("_sketch"),
         round_bin(F.min(x), 2).alias("min_los_hours"),
         round_bin(F.max(x), 2).alias("max_los_hours"),
         round_bin(F.stddev_samp(x), 2).alias("stddev_los_hours"),
@@ -112,27 +115,37 @@ def _los_kpis_approx(stg: DataFrame, accuracy: int = 10_000) -> DataFrame:
         round_bin(F.avg(F.when(~weekend, x)), 2).alias("avg_los_weekday"),
         *[F.count_if(F.col("los_tier") == tier).alias(col) for col, tier in TIER_COLUMNS.items()],
     )
-    # Long stays: strictly above the sketched P90, counted on the distinct values.
-    bound = stats.select(*[F.col(k).alias(f"_b_{k}") for k in keys],
-                         F.get("_p", F.lit(3)).alias("_p90"))
-    counts = value_counts(stg, keys, "los_hours")
-    match = counts[keys[0]].eqNullSafe(bound[f"_b_{keys[0]}"]) & (
-        counts[keys[1]] == bound[f"_b_{keys[1]}"])
-    longest = counts.join(bound, match).groupBy(*keys).agg(
-        F.sum(F.when(F.col("los_hours") > F.col("_p90"), F.col("n")).otherwise(0))
-        .alias("long_stay_outlier_count"))
-    at = lambda i: round_bin(F.get("_p", F.lit(i)), 2)
-    scalars = stats.withColumns({
-        "median_los_hours": at(0), "p25_los_hours": at(1), "p75_los_hours": at(2),
-        "p90_los_hours": at(3),
-    }).drop("_p")
-    return merge_groups(keys, scalars, longest).select(
+    at = lambda p: round_bin(sketches.quantile(p, "_sketch"), 2)
+    return stats.withColumns({
+        "median_los_hours": at(0.5), "p25_los_hours": at(0.25), "p75_los_hours": at(0.75),
+        "p90_los_hours": at(0.9),
+        "long_stay_outlier_count": sketches.above(sketches.quantile(0.9, "_sketch"), "_sketch"),
+    }).select(
         *keys, "encounter_count", "avg_los_hours", "median_los_hours", "min_los_hours",
         "max_los_hours", "stddev_los_hours", "p25_los_hours", "p75_los_hours", "p90_los_hours",
         "long_stay_outlier_count", "avg_los_weekend", "avg_los_weekday", *TIER_COLUMNS,
     )
 
 
+def los_sketches(stg: DataFrame, parts: tuple[str, ...] = ("admit_year",)) -> DataFrame:
+    """Stored once per part, merged at read: stays per class and part, with sketches of the hours and of
+    the patients."""
+    return sketches.sketch(
+        stg, ["encounter_class", "encounter_class_label", *parts], "los_hours", "patient_id")
+
+
+def los_from_sketches(stored: DataFrame, by: tuple[str, ...] = ("encounter_class", "encounter_class_label")) -> DataFrame:
+    """Length of stay for any coarser context, from the sketch rows alone."""
+    merged = sketches.merge(stored, by)
+    p90 = sketches.quantile(0.9)
+    return merged.select(
+        *by, F.col("n").alias("encounter_count"), sketches.distinct_count().alias("patient_count"),
+        round_bin(F.col("mean"), 2).alias("avg_los_hours"),
+        round_bin(sketches.stddev(), 2).alias("stddev_los_hours"),
+        round_bin(sketches.quantile(0.5), 2).alias("median_los_hours"),
+        round_bin(p90, 2).alias("p90_los_hours"), sketches.above(p90).alias("long_stays"))
+
+
 def readmissions(
     stg: DataFrame,
     classes: Sequence[str] = READMISSION_CLASSES,

@@ -12,6 +12,7 @@ from clinflow.operators import (
     add_history, dedup_first, materialize, merge_groups, percentile_at, scratch_path, star_join,
     value_counts, with_ranks,
 )
+from clinflow.operators import sketches
 from clinflow.operators.skew import same_keys
 from clinflow.plans import flatten, labcube, measures, models, quality, reports, warehouse
 from clinflow.schemas import TABLES
@@ -203,16 +204,20 @@ def los_kpis(spark, d):
     return models.los_kpis(_stg_events(spark, d))
 
 
-def _percentiles_in_bound(found, rows, keys, value, at, digits):
-    """Replace sketched percentiles by flags: is the rank of the value within a ten-thousandth of the
-    rows (and one row) of the wanted rank? Half a unit of the last digit allows for its rounding."""
+#: Twice the bound that a sketch keeps with 99 % probability.
+_RANK_ERROR = 2 * sketches.rank_error()
+
+
+def _percentiles_in_bound(found, rows, keys, value, at, digits, error=1e-4):
+    """Replace sketched percentiles by flags: is the rank of the value within the sketch's error, a part of
+    the rows (and one row), of the wanted rank? Half a unit of the last digit allows for its rounding."""
     half, x = F.lit(0.51 * 10 ** -digits), F.col(value)
     sketched = found.select(*[F.col(k).alias(f"_of_{k}") for k in keys], *at)
     met = rows.where(x.isNotNull()).join(sketched, same_keys(rows, sketched, keys, "_of_"))
     n = F.count(F.lit(1))
     flags = met.groupBy(*keys).agg(*[
-        ((F.count_if(x < F.col(c) - half) <= n * F.lit(p) + n / 10_000 + 1)
-         & (F.count_if(x <= F.col(c) + half) >= n * F.lit(p) - n / 10_000 - 1)).alias(f"{c}_in_bound")
+        ((F.count_if(x < F.col(c) - half) <= n * F.lit(p) + n * F.lit(error) + 1)
+         & (F.count_if(x <= F.col(c) + half) >= n * F.lit(p) - n * F.lit(error) - 1)).alias(f"{c}_in_bound")
         for c, p in at.items()])
     return merge_groups(keys, found.drop(*at), flags)
 
@@ -223,11 +228,31 @@ def los_kpis_approx(spark, d):
     n = F.col("encounter_count")
     found = models.los_kpis(stg, approx=True).withColumn(
         "long_stay_outlier_count_in_bound",
-        F.col("long_stay_outlier_count") <= n * F.lit(0.1) + n / 10_000 + 1)
+        F.col("long_stay_outlier_count") <= n * F.lit(0.1) + n * F.lit(2 * _RANK_ERROR) + 1)
     return _percentiles_in_bound(
         found.drop("long_stay_outlier_count"), stg, ["encounter_class", "encounter_class_label"],
         "los_hours", {"median_los_hours": 0.5, "p25_los_hours": 0.25, "p75_los_hours": 0.75,
-                      "p90_los_hours": 0.9}, 2)
+                      "p90_los_hours": 0.9}, 2, _RANK_ERROR)
+
+
+@query
+def los_from_yearly_sketches(spark, d):
+    """Sketches stored per year, merged at read; each sketched value is checked against its bound."""
+    stg = materialize(_stg_events(spark, d), "stg_encounters")
+    stored = materialize(models.los_sketches(stg), "los_sketches")
+    keys = ["encounter_class", "encounter_class_label"]
+    found = models.los_from_sketches(stored)
+    patients = stg.select(*keys, "patient_id").distinct().groupBy(*keys).agg(
+        F.count("patient_id").alias("_patients"))
+    close = F.abs(F.col("patient_count") - F.col("_patients")) <= (
+        F.col("_patients") * F.lit(4 * sketches.distinct_error()) + 1)
+    n = F.col("encounter_count")
+    found = merge_groups(keys, found, patients).withColumns({
+        "patient_count_in_bound": close,
+        "long_stays_in_bound": F.abs(F.col("long_stays") - n * F.lit(0.1))
+        <= n * F.lit(2 * _RANK_ERROR) + 1}).drop("patient_count", "_patients", "long_stays")
+    return _percentiles_in_bound(
+        found, stg, keys, "los_hours", {"median_los_hours": 0.5, "p90_los_hours": 0.9}, 2, _RANK_ERROR)
 
 
 @query
@@ -414,6 +439,14 @@ def readmission_rate(spark, d):
         "readmission_rate_30d_pct")
 
 
+@query
+def readmission_windows(spark, d):
+    """Four windows from one history."""
+    return _rounded(
+        measures.readmission_windows(_readmissions(spark, d), by=["encounter_class"]),
+        "readmission_rate_pct", "avg_days_to_readmission")
+
+
 @query
 def peak_hours(spark, d):
     return measures.peak_hours(_fact_events(spark, d))
@@ -506,6 +539,13 @@ def top_codes(spark, d):
     return reports.top_codes(labcube.lab_kpis(_cube(spark, d)), 15)
 
 
+@query
+def lab_kpis_by_volume(spark, d):
+    """The stored table has no order; readers ask for it."""
+    kpis = materialize(labcube.lab_kpis(_cube(spark, d)), "analytics_lab_kpis")
+    return models.by_volume(kpis).select(*models.LAB_KEYS, "total_observations")
+
+
 @query
 def lab_page_tables(spark, d):
     kpis = materialize(labcube.lab_kpis(_cube(spark, d)), "analytics_lab_kpis")
@@ -533,6 +573,18 @@ def page_cards(spark, d):
 
 # Sinks
 
+@query
+def written_counts(spark, d):
+    """Rows counted during the write beside those the stored files' footers tell."""
+    root = scratch_path(spark, "star").rsplit("/", 1)[0]
+    tables = {"dim_patients": roles.patients_from_customers(spark, d),
+              "dim_episodes": warehouse.build_episodes(roles.episodes_from_orders(spark, d)),
+              "fact_patient_encounters": _fact_events(spark, d)}
+    found = [(name, writers.write_parquet(df, f"{root}/{name}"), row_count(spark, f"{root}/{name}"))
+             for name, df in tables.items()]
+    return spark.createDataFrame(found, "`table` string, written bigint, stored bigint")
+
+
 @query
 def parquet_roundtrip(spark, d):
     path = scratch_path(spark, "fact_patient_encounters")
