@@ -228,8 +228,10 @@ def abnormal_rate(obs: DataFrame, by: By = ()) -> DataFrame:
 
 
 def avg_result(obs: DataFrame, code: str = PAIN_SCORE, by: By = (), name: str = "avg_result") -> DataFrame:
-    value = F.when(F.col("loinc_code") == code, F.col("result_value"))
-    return _one(obs, by, **{name: F.avg(value)})
+    """The code is a filter on a stored column: it reaches the scan, whose files skip what their bloom
+    filters rule out. Groups without a result of the code come back too, with NULL."""
+    measured = _one(obs.filter(F.col("loinc_code") == code), by, **{name: F.avg("result_value")})
+    return _all_groups(measured, obs, by)
 
 
 def avg_pain_score(obs: DataFrame, by: By = ()) -> DataFrame:

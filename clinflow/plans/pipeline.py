@@ -15,6 +15,9 @@ from clinflow.sources.tables import read_parquet_tables
 
 log = logging.getLogger(__name__)
 
+#: Columns that measures look single values up in.
+LOOKUPS = {"dim_clinical_observations": ("loinc_code",)}
+
 
 def ingest(spark: SparkSession, src: str, out: str) -> dict[str, int]:
     """NDJSON folder -> five flat tables under ``out``; returns row counts.
@@ -73,7 +76,7 @@ def load(
                 df = quality.enforce_key(df, KEYS[table], table, on_violation)
             by_year = fact_by_year and table == "fact_patient_encounters"
             counts[table] = write_parquet(
-                df, f"{out}/{table}", ["admit_year"] if by_year else [])
+                df, f"{out}/{table}", ["admit_year"] if by_year else [], LOOKUPS.get(table, ()))
     return counts
 
 

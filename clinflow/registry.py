@@ -99,8 +99,9 @@ def _flagged_results(spark, d):
 
 
 def _throughput(spark, d):
+    """Staged rows are stored first, as for the readmissions."""
     episodes = warehouse.build_episodes(roles.episodes_from_orders(spark, d))
-    return models.throughput(episodes, _stg_orders(spark, d))
+    return models.throughput(episodes, materialize(_stg_orders(spark, d), "stg_encounters"))
 
 
 # Scan and flatten
@@ -263,7 +264,8 @@ def readmissions(spark, d):
 @query
 def readmissions_events(spark, d):
     """Long overlapping histories: a few users hold all rows."""
-    return models.readmissions(_stg_events(spark, d))
+    stg = _stg_events(spark, d).select(*models.READMISSION_INPUT)
+    return models.readmissions(materialize(stg, "stg_encounters"))
 
 
 @query
@@ -342,8 +344,10 @@ def orphan_encounters(spark, d):
 
 @query
 def linked_observations(spark, d):
+    """Only the links are read: two scans, and counts per encounter meet in one join."""
     return quality.link_coverage(
-        roles.observations_from_lineitems(spark, d), roles.encounters_from_orders(spark, d))
+        roles.table(spark, d, "lineitem").select(F.col("l_orderkey").alias("encounter_id")),
+        roles.table(spark, d, "orders").select(F.col("o_orderkey").alias("encounter_id")))
 
 
 @query
@@ -561,7 +565,8 @@ def provider_comparison(spark, d):
 
 @query
 def page_cards(spark, d):
-    fact, stg = _fact_events(spark, d), _stg_events(spark, d)
+    fact = materialize(_fact_events(spark, d), "fact_patient_encounters")
+    stg = models.stg_encounters(fact)
     cards = measures.merge_groups(
         [], reports.los_cards(fact), reports.readmission_cards(models.readmissions(stg)),
         reports.throughput_cards(fact),

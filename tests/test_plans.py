@@ -8,6 +8,7 @@ from helpers import plan
 from clinflow.operators import add_history, materialize, value_counts
 from clinflow.plans import measures, models, quality, warehouse
 from clinflow.schemas import TABLES
+from clinflow.sinks import write_parquet
 
 
 @pytest.fixture(scope="module")
@@ -75,6 +76,24 @@ def test_nothing_is_crossed_or_sent_to_python(stored, no_broadcast):
             assert "SinglePartition" not in text, name
 
 
+def test_a_single_code_reaches_the_scan(spark, tmp_path):
+    obs = spark.range(1000).selectExpr(
+        "concat('c', id % 50) AS loinc_code", "double(id) AS result_value", "string(id % 2) AS unit")
+    write_parquet(obs, str(tmp_path / "obs"), bloom=["loinc_code"])
+    stored = spark.read.parquet(str(tmp_path / "obs"))
+    assert "EqualTo(loinc_code,c7)" in plan(measures.avg_result(stored, "c7"))
+    assert measures.avg_result(stored, "c7").first()[0] == 482.0
+    got = {r["unit"]: r["avg_result"] for r in measures.avg_result(stored, "c7", ["unit"]).collect()}
+    assert got == {"1": 482.0, "0": None}
+    assert measures.avg_result(stored, "none").first()[0] is None
+
+
+def test_links_take_two_scans(spark, stored):
+    text = plan(quality.link_coverage(
+        stored["dim_clinical_observations"], stored["fact_patient_encounters"]))
+    assert text.count("FileScan") == 2 and text.count("ReadSchema: struct<encounter_id:string>") == 2
+
+
 def test_one_plan_at_every_size(spark):
     def shape(df):
         text = plan(add_history(materialize(df), ["k"], ["at"], seq="n", total="t"))
