@@ -1,17 +1,19 @@
 """Personal data, and terms that reveal it.
 
-Fixed patterns find the protected entities (e-mail, IP, card, phone). Around each of them stand
-terms. How much a term t tells about an entity e is their pointwise mutual information over the distinct
-texts of the corpus, log2(n(e, t) * N / (n(e) * n(t))); the entity itself carries log2(N / n(e)). A term
-with at least ``threshold`` of that amount reveals the entity as well as its name does and is to be
-removed or generalised wherever it stands beside it.
+Fixed patterns find the protected entities (e-mail, IP, card, phone). How much a term t tells about an
+entity e is their pointwise mutual information over the distinct texts of the corpus, log2(n(e, t) * N /
+(n(e) * n(t))), wherever in the text the two stand; the entity itself carries log2(N / n(e)). A term
+with at least ``threshold`` of that amount reveals the entity as well as its name does. Every occurrence
+of such a term is marked, in every text, beside the entity or without it, and ``sanitised`` removes it.
 """
 
 from __future__ import annotations
 
 import re
 import zlib
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -76,140 +78,204 @@ def find(text: str) -> list[tuple[int, int, int, str, str]]:
             digits = re.sub(r"[^0-9]", "", m.group())
             if 9 <= len(digits) <= 15:
                 out.append((*m.span(), 3, "phone", digits))
-    return sorted(out)
+    return sorted(out, key=lambda s: (s[0], s[2], s[1]))
 
 
-def neighbours(text: str, start: int, stop: int, spans: list, window: int) -> list[tuple]:
-    """(start, stop, term) of up to ``window`` terms on either side, none of them in a base span."""
-    reach = 40 * window
-    left = [m.span() for m in TERMS.finditer(text, max(0, start - reach), start)][-window:]
-    right = [m.span() for m in TERMS.finditer(text, stop, stop + reach)][:window]
-    return [(a, b, text[a:b].lower()) for a, b in left + right
-            if not any(a < s[1] and s[0] < b for s in spans)]
+def _texts(docs: DataFrame) -> DataFrame:
+    rows = pick(docs, doc_id="doc_id:bigint", text="text:string")
+    return rows.select("doc_id", "text", F.xxhash64("text").alias("th"))
 
 
-def mentions(docs: DataFrame, window: int) -> DataFrame:
-    """(row, doc_id, th, spans, around): base spans of every row; ``around`` has a row for each
-    entity with the terms near it; ``th`` is a hash of the text. No text goes on."""
-    rows = pick(docs, doc_id="doc_id:bigint", text="text:string").select(
-        "doc_id", "text", F.xxhash64("text").alias("th"))
-    near = "array<struct<entity:string,terms:array<struct<start:bigint,stop:bigint,term:string>>>>"
-
+def entity_texts(docs: DataFrame) -> DataFrame:
+    """Distinct (th, entity): which text, by its hash, mentions which entity."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        span_type = pa.list_(pa.struct([
-            ("start", pa.int64()), ("stop", pa.int64()), ("rank", pa.int32()),
-            ("kind", pa.string()), ("value", pa.string())]))
-        near_type = pa.list_(pa.struct([("entity", pa.string()), ("terms", pa.list_(pa.struct([
-            ("start", pa.int64()), ("stop", pa.int64()), ("term", pa.string())])))]))
-        names = ("start", "stop", "rank", "kind", "value")
         for batch in batches:
             for part in slices(batch, 1):
-                spans, around = [], []
-                for text in part.column(1):
-                    text = text.as_py() or ""
-                    found = find(text)
-                    spans.append([dict(zip(names, s)) for s in found])
-                    around.append([
-                        {"entity": f"{s[3]}:{s[4]}", "terms": [
-                            dict(zip(("start", "stop", "term"), t))
-                            for t in neighbours(text, s[0], s[1], found, window)]}
-                        for s in found])
+                th, entity = [], []
+                for h, text in zip(part.column(0).to_pylist(), part.column(1)):
+                    own = {f"{s[3]}:{s[4]}" for s in find(text.as_py() or "")}
+                    th += [h] * len(own)
+                    entity += own
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(2), pa.array(spans, span_type),
-                     pa.array(around, near_type)], ["doc_id", "th", "spans", "around"])
+                    [pa.array(th, pa.int64()), pa.array(entity, pa.string())], ["th", "entity"])
 
-    return rows.mapInArrow(
-        run, f"doc_id bigint, th bigint, spans {SPANS}, around {near}").withColumn(
-        "row", F.monotonically_increasing_id())
+    return _texts(docs).select("th", "text").mapInArrow(
+        run, "th bigint, entity string").distinct()
 
 
-def revealing(
-    docs: DataFrame, found: DataFrame, threshold: float, least_texts: int,
-) -> DataFrame:
-    """(entity, term) pairs above the disclosure threshold.
+def terms_of(text: str) -> set[str]:
+    return set(TERMS.findall(text.lower()))
 
-    Counts are over distinct texts, so copies count once. Counting (entity, term, text) before
-    (entity, term) keeps an entity that very many texts mention from being one task's work. Terms that
-    stand next to no entity often enough never leave their task: a bit map of fixed size, made from the
-    hashes of the terms in question, is looked at before the shuffle, the exact join follows.
-    """
-    each = found.where(F.size("around") > 0).select("th", F.explode("around").alias("m")).select(
-        "th", F.col("m.entity").alias("entity"), F.explode("m.terms.term").alias("term")).distinct()
-    pairs = each.groupBy("entity", "term").agg(F.count("*").alias("n_et")).where(
-        F.col("n_et") >= least_texts)
-    pairs = materialize(pairs, "pairs")
-    entities = found.where(F.size("around") > 0).select(
-        "th", F.explode("around.entity").alias("entity")).distinct().groupBy("entity").agg(
-        F.count("*").alias("n_e"))
-    texts = pick(docs, text="text:string").where("text is not null")
-    total = texts.select(F.xxhash64("text").alias("th")).distinct().count()
-    bits = 1 << 20
-    marks = bytearray(bits // 8)
-    for (b,) in pairs.select(
-            F.pmod(F.crc32("term"), F.lit(bits)).alias("b")).distinct().collect():
+
+def _pairs(docs: DataFrame, lists: DataFrame) -> DataFrame:
+    """Distinct (entity, term, th): every term of a text with every entity of ``lists`` that it mentions."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for h, text, entities in zip(*[batch.column(i).to_pylist() for i in range(3)]):
+                terms = list(terms_of(text))
+                for entity in entities:
+                    n = len(terms)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([entity] * n, pa.string()), pa.array(terms, pa.string()),
+                         pa.array([h] * n, pa.int64())], ["entity", "term", "th"])
+
+    return _texts(docs).select("th", "text").join(lists, "th").select("th", "text", "entities").mapInArrow(
+        run, "entity string, term string, th bigint").distinct()
+
+
+BITS = 1 << 20
+
+
+def bit_map(terms: DataFrame) -> bytes:
+    """A map of fixed size of the terms' hashes: it lets through every term of the table and few others."""
+    marks = bytearray(BITS // 8)
+    for (b,) in terms.select(F.pmod(F.crc32("term"), F.lit(BITS)).alias("b")).distinct().collect():
         marks[b >> 3] |= 1 << (b & 7)
-    marks = bytes(marks)
+    return bytes(marks)
+
+
+def _passes(marks: bytes, term: str) -> int:
+    b = zlib.crc32(term.encode()) % BITS
+    return marks[b >> 3] >> (b & 7) & 1
 
-    def terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def text_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
+    """(term, n_t): the number of distinct texts with each of the given terms.
+
+    A text sends one row: the terms that pass the bit map, packed. One row per hash of the text is
+    left, and these are counted; the exact terms are looked up after the count.
+    """
+    marks = bit_map(terms)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, 1):
-                th, term = [], []
-                for h, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                    own = [t for t in set(TERMS.findall(text.lower()))
-                           if marks[(b := zlib.crc32(t.encode()) % bits) >> 3] >> (b & 7) & 1]
-                    th += [h] * len(own)
-                    term += own
+                packed = ["\n".join(sorted(t for t in terms_of(text) if _passes(marks, t)))
+                          for text in part.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(th, pa.int64()), pa.array(term, pa.string())], ["th", "term"])
+                    [part.column(0), pa.array(packed, pa.string())], ["th", "packed"])
 
-    counted = texts.select(F.xxhash64("text").alias("th"), "text").mapInArrow(
-        terms, "th bigint, term string").join(
-        pairs.select("term").distinct(), "term", "left_semi").distinct().groupBy("term").agg(
+    packed = _texts(docs).where("text is not null").select("th", "text").mapInArrow(
+        run, "th bigint, packed string").where("packed != ''").dropDuplicates(["th"])
+    counted = packed.select(F.explode(F.split("packed", "\n")).alias("term")).groupBy("term").agg(
         F.count("*").alias("n_t"))
+    return counted.join(terms, "term", "left_semi")
+
+
+def revealing(docs: DataFrame, threshold: float, least_texts: int) -> DataFrame:
+    """(entity, term) pairs above the disclosure threshold.
+
+    Counts are over distinct texts, so copies count once. Only entities of at least ``least_texts`` texts can
+    have a pair of that many, so only their texts send terms. Counting (entity, term, text) before
+    (entity, term) keeps an entity that very many texts mention from being one task's work.
+    """
+    each = materialize(entity_texts(docs), "entity_texts")
+    often = materialize(each.groupBy("entity").agg(F.count("*").alias("n_e")).where(
+        F.col("n_e") >= least_texts), "entities")
+    lists = materialize(each.join(often.select("entity"), "entity", "left_semi").groupBy("th").agg(
+        F.collect_list("entity").alias("entities")), "entity_lists")
+    pairs = materialize(_pairs(docs, lists).groupBy("entity", "term").agg(
+        F.count("*").alias("n_et")).where(F.col("n_et") >= least_texts), "pairs")
+    total = _texts(docs).where("text is not null").select("th").distinct().count()
+    counted = materialize(text_counts(docs, pairs.select("term").distinct()), "terms")
     told = F.log2(F.col("n_et") * F.lit(float(max(total, 1))) / (F.col("n_e") * F.col("n_t")))
     whole = F.log2(F.lit(float(max(total, 1))) / F.col("n_e"))
-    return pairs.join(materialize(counted, "terms"), "term").join(
-        materialize(entities, "entities"), "entity").where(told >= threshold * whole).select(
+    return pairs.join(counted, "term").join(often, "entity").where(told >= threshold * whole).select(
         "entity", "term")
 
 
+def _marked(docs: DataFrame, terms: DataFrame, with_text: bool) -> DataFrame:
+    """(doc_id, text, spans, terms): base spans, and the occurrences of words that pass the terms' bit map
+    and lie in no base span. ``text`` is NULL unless asked for."""
+    marks = bit_map(terms)
+    span_type = pa.list_(pa.struct([
+        ("start", pa.int64()), ("stop", pa.int64()), ("rank", pa.int32()),
+        ("kind", pa.string()), ("value", pa.string())]))
+    names = ("start", "stop", "rank", "kind", "value")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, 1):
+                spans, near = [], []
+                texts = part.column(1).to_pylist()
+                for text in texts:
+                    found = find(text or "")
+                    spans.append([dict(zip(names, s)) for s in found])
+                    wanted = {t for t in terms_of(text or "") if _passes(marks, t)}
+                    starts = [s[0] for s in found]
+                    reach = list(accumulate((s[1] for s in found), max))
+                    near.append([
+                        dict(zip(names, (*m.span(), len(KINDS), TERM, word)))
+                        for m in (TERMS.finditer(text) if wanted else ())
+                        if (word := m.group().lower()) in wanted and not (
+                            (i := bisect_left(starts, m.end())) and reach[i - 1] > m.start())])
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array(texts if with_text else [None] * len(texts), pa.string()),
+                     pa.array(spans, span_type), pa.array(near, span_type)],
+                    ["doc_id", "text", "spans", "terms"])
+
+    return _texts(docs).select("doc_id", "text").mapInArrow(
+        run, f"doc_id bigint, text string, spans {SPANS}, terms {SPANS}")
+
+
 def scan(
-    docs: DataFrame, window: int = 5, threshold: float = 0.8, least_texts: int = 3,
+    docs: DataFrame, threshold: float = 0.8, least_texts: int = 3, with_text: bool = False,
 ) -> DataFrame:
-    """(doc_id, base, spans) for every row: arrays of (start, stop, rank, kind, value).
-
-    ``base`` has the pattern matches, ``spans`` adds a ``term`` span for each term near an entity that it
-    reveals; a term needs ``least_texts`` distinct texts with the entity. NULL and empty texts have no
-    spans; repeated rows come back as often as they came. An empty table gives no rows.
+    """(doc_id, base, spans) for every row: arrays of (start, stop, rank, kind, value); and its text if
+    wanted.
+
+    ``base`` has the pattern matches, ``spans`` adds a ``term`` span for each occurrence of a term that
+    reveals some entity, whether the text mentions the entity or not; a term needs ``least_texts`` distinct
+    texts with the entity. NULL and empty texts have no spans; repeated rows come back as often as they came,
+    rows without an id too. Ties of places are ordered by kind. An empty table gives no rows; other columns
+    are not read.
     """
-    found = materialize(mentions(docs, window), "mentions")
-    pairs = materialize(revealing(docs, found, threshold, least_texts), "revealing")
-    near = found.where(F.size("around") > 0).select("row", F.explode("around").alias("m")).select(
-        "row", F.col("m.entity").alias("entity"), F.explode("m.terms").alias("t")).select(
-        "row", "entity", F.col("t.term").alias("term"), "t.start", "t.stop")
-    added = near.join(pairs, ["entity", "term"]).groupBy("row").agg(F.collect_set(F.struct(
-        "start", "stop", F.lit(len(KINDS)).alias("rank"), F.lit(TERM).alias("kind"),
-        F.col("term").alias("value"))).alias("added"))
-    with_added = found.where(F.size("spans") > 0).join(added, "row", "left").select(
-        "doc_id", F.col("spans").alias("base"),
-        F.when(F.col("added").isNull(), F.col("spans")).otherwise(F.concat("spans", "added"))
-        .alias("spans"))
-    return found.where(F.size("spans") == 0).select(
-        "doc_id", F.col("spans").alias("base"), "spans").union(with_added)
+    pairs = materialize(revealing(docs, threshold, least_texts), "revealing")
+    terms = materialize(pairs.select("term").distinct(), "revealing_terms")
+    found = materialize(_marked(docs, terms, with_text).withColumn(
+        "row", F.monotonically_increasing_id()), "marked")
+    some = found.where(F.size("terms") > 0)
+    each = some.select("row", F.explode("terms").alias("t")).withColumn("term", F.col("t.value"))
+    added = each.join(terms, "term", "left_semi").groupBy("row").agg(F.collect_list("t").alias("added"))
+    with_added = some.join(added, "row", "left").withColumn(
+        "all", F.when(F.col("added").isNull(), F.col("spans")).otherwise(F.concat("spans", "added")))
+    out = found.where(F.size("terms") == 0).withColumn("all", F.col("spans")).select(
+        "doc_id", "text", "spans", "all").union(with_added.select("doc_id", "text", "spans", "all"))
+    return out.select(
+        "doc_id", *(["text"] if with_text else []), F.col("spans").alias("base"),
+        F.col("all").alias("spans"))
 
 
 def sanitise(text: str | None, spans: list) -> str | None:
-    """The text with entities generalised to their kind and revealing terms removed."""
+    """The text with entities generalised to their kind and revealing terms removed. Of spans that overlap
+    the first names the whole."""
     if text is None:
         return None
     out, at = [], 0
     for s in sorted(spans, key=lambda s: (s[0], s[2])):
         if s[0] >= at:
             out += [text[at:s[0]], f"[{s[3]}]" if s[3] != TERM else "[...]"]
-            at = s[1]
+        at = max(at, s[1])
     return "".join(out) + text[at:]
 
 
+def sanitised(docs: DataFrame, threshold: float = 0.8, least_texts: int = 3) -> DataFrame:
+    """(doc_id, text) of every row, with entities generalised and revealing terms removed; a NULL text
+    stays NULL."""
+    names = ("start", "stop", "rank", "kind")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [
+                sanitise(text, [tuple(s[n] for n in names) for s in spans])
+                for text, spans in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(texts, pa.string())], ["doc_id", "text"])
+
+    found = scan(docs, threshold, least_texts, with_text=True).select("doc_id", "text", "spans")
+    return found.mapInArrow(run, "doc_id bigint, text string")
+
+
 def digest(found: DataFrame) -> DataFrame:
     """The columns of the contract from ``scan``'s spans."""
     return found.select(

@@ -35,8 +35,11 @@ def find(text: Column, pattern: str, kind: str, rank: int, group: int = 0) -> Co
 
 def written(spans: Column) -> Column:
     """kind:start:end by start, then kind as listed, comma-joined."""
+    ordered = F.array_sort(F.transform(spans, lambda s: F.struct(
+        s["start"].alias("start"), s["rank"].alias("rank"), s["stop"].alias("stop"),
+        s["kind"].alias("kind"))))
     return F.array_join(F.transform(
-        F.array_sort(spans),
+        ordered,
         lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["stop"].cast("string"))),
         ",")
 
