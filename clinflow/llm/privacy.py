@@ -174,14 +174,20 @@ def revealing(docs: DataFrame, threshold: float, least_texts: int) -> DataFrame:
         F.col("n_e") >= least_texts), "entities")
     lists = materialize(each.join(often.select("entity"), "entity", "left_semi").groupBy("th").agg(
         F.collect_list("entity").alias("entities")), "entity_lists")
-    pairs = materialize(_pairs(docs, lists).groupBy("entity", "term").agg(
-        F.count("*").alias("n_et")).where(F.col("n_et") >= least_texts), "pairs")
-    total = _texts(docs).where("text is not null").select("th").distinct().count()
+    total = float(max(1, _texts(docs).where("text is not null").select("th").distinct().count()))
+    rows = materialize(_pairs(docs, lists), "pair_texts")
+    pairs = rows.groupBy("entity", "term").agg(F.count("*").alias("n_et")).where(
+        F.col("n_et") >= least_texts)
+    # A pair is over the threshold up to this number of texts with the term. Terms that stand in more of the
+    # texts at hand, the common words, cannot come to less over all texts and are not counted there.
+    most = F.col("n_et") * F.pow(F.lit(total) / F.col("n_e"), F.lit(1.0 - threshold)) * 1.000001
+    seen = rows.select("term", "th").distinct().groupBy("term").agg(F.count("*").alias("n_seen"))
+    pairs = materialize(
+        pairs.join(often, "entity").join(seen, "term").where(F.col("n_seen") <= most), "pairs")
     counted = materialize(text_counts(docs, pairs.select("term").distinct()), "terms")
-    told = F.log2(F.col("n_et") * F.lit(float(max(total, 1))) / (F.col("n_e") * F.col("n_t")))
-    whole = F.log2(F.lit(float(max(total, 1))) / F.col("n_e"))
-    return pairs.join(counted, "term").join(often, "entity").where(told >= threshold * whole).select(
-        "entity", "term")
+    told = F.log2(F.col("n_et") * F.lit(total) / (F.col("n_e") * F.col("n_t")))
+    whole = F.log2(F.lit(total) / F.col("n_e"))
+    return pairs.join(counted, "term").where(told >= threshold * whole).select("entity", "term")
 
 
 def _marked(docs: DataFrame, terms: DataFrame, with_text: bool) -> DataFrame:
