@@ -12,6 +12,7 @@ from __future__ import annotations
 import re
 import zlib
 from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
 from itertools import accumulate
 
@@ -126,14 +127,19 @@ def _pairs(docs: DataFrame, lists: DataFrame) -> DataFrame:
 BITS = 1 << 20
 
 
-def bit_map(terms: DataFrame) -> bytes:
-    """A map of fixed size of the terms' hashes: it lets through every term of the table and few others."""
+def _marks(places: DataFrame) -> bytes:
+    """A map of fixed size from a column of places below ``BITS``."""
     marks = bytearray(BITS // 8)
-    for (b,) in terms.select(F.pmod(F.crc32("term"), F.lit(BITS)).alias("b")).distinct().collect():
+    for (b,) in places.distinct().collect():
         marks[b >> 3] |= 1 << (b & 7)
     return bytes(marks)
 
 
+def bit_map(terms: DataFrame) -> bytes:
+    """Lets through every term of the table and few others."""
+    return _marks(terms.select(F.pmod(F.crc32("term"), F.lit(BITS))))
+
+
 def _passes(marks: bytes, term: str) -> int:
     b = zlib.crc32(term.encode()) % BITS
     return marks[b >> 3] >> (b & 7) & 1
@@ -142,24 +148,48 @@ def _passes(marks: bytes, term: str) -> int:
 def text_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
     """(term, n_t): the number of distinct texts with each of the given terms.
 
-    A text sends one row: the terms that pass the bit map, packed. One row per hash of the text is
-    left, and these are counted; the exact terms are looked up after the count.
+    Texts that occur once are counted in their task, which sends a number per term. Texts whose hash
+    occurs more often, or passes the bit map of those that do, send one row each with their terms packed;
+    one row per hash is left, and these are counted and added. The exact terms are looked up after the count.
     """
     marks = bit_map(terms)
+    texts = _texts(docs).where("text is not null").select("th", "text")
+    copied = texts.groupBy("th").count().where("count > 1")
+    copies = _marks(copied.select(F.pmod("th", F.lit(BITS))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        once: Counter[str] = Counter()
         for batch in batches:
             for part in slices(batch, 1):
-                packed = ["\n".join(sorted(t for t in terms_of(text) if _passes(marks, t)))
-                          for text in part.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(packed, pa.string())], ["th", "packed"])
-
-    packed = _texts(docs).where("text is not null").select("th", "text").mapInArrow(
-        run, "th bigint, packed string").where("packed != ''").dropDuplicates(["th"])
-    counted = packed.select(F.explode(F.split("packed", "\n")).alias("term")).groupBy("term").agg(
-        F.count("*").alias("n_t"))
-    return counted.join(terms, "term", "left_semi")
+                th, packed = [], []
+                for h, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                    own = [t for t in terms_of(text) if _passes(marks, t)]
+                    b = h % BITS
+                    if not copies[b >> 3] >> (b & 7) & 1:
+                        once.update(own)
+                    elif own:
+                        th.append(h)
+                        packed.append("\n".join(sorted(own)))
+                yield _rows(th, packed, [None] * len(th), [None] * len(th))
+            if len(once) > 200_000:
+                yield _rows([None] * len(once), [None] * len(once), list(once), list(once.values()))
+                once.clear()
+        if once:
+            yield _rows([None] * len(once), [None] * len(once), list(once), list(once.values()))
+
+    sent = texts.mapInArrow(run, "th bigint, packed string, term string, n bigint")
+    # Both kinds in one pass: a row with a term passes by itself, packed ones once per hash.
+    keyed = sent.groupBy("th", "packed", "term").agg(F.sum("n").alias("n"))
+    counted = keyed.select(
+        F.explode(F.when(F.col("packed").isNull(), F.array("term")).otherwise(
+            F.split("packed", "\n"))).alias("term"), F.coalesce("n", F.lit(1)).alias("n"))
+    return counted.groupBy("term").agg(F.sum("n").alias("n_t")).join(terms, "term", "left_semi")
+
+
+def _rows(th: list, packed: list, term: list, n: list) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array(th, pa.int64()), pa.array(packed, pa.string()), pa.array(term, pa.string()),
+         pa.array(n, pa.int64())], ["th", "packed", "term", "n"])
 
 
 def revealing(docs: DataFrame, threshold: float, least_texts: int) -> DataFrame:
