@@ -271,10 +271,13 @@ def scan(
     found = materialize(_marked(docs, terms, with_text).withColumn(
         "row", F.monotonically_increasing_id()), "marked")
     some = found.where(F.size("terms") > 0)
-    each = some.select("row", F.explode("terms").alias("t")).withColumn("term", F.col("t.value"))
-    added = each.join(terms, "term", "left_semi").groupBy("row").agg(F.collect_list("t").alias("added"))
-    with_added = some.join(added, "row", "left").withColumn(
-        "all", F.when(F.col("added").isNull(), F.col("spans")).otherwise(F.concat("spans", "added")))
+    # Words that only passed the bit map are looked up, not those that are wanted: few rows are joined.
+    each = some.select("row", F.explode("terms.value").alias("term"))
+    other = materialize(each.select("term").distinct().join(terms, "term", "left_anti"), "other_words")
+    wrong = each.join(other, "term").groupBy("row").agg(F.collect_set("term").alias("wrong"))
+    with_added = some.join(wrong, "row", "left").withColumn("all", F.concat(
+        "spans", F.filter("terms", lambda t: ~F.coalesce(
+            F.array_contains("wrong", t["value"]), F.lit(False)))))
     out = found.where(F.size("terms") == 0).withColumn("all", F.col("spans")).select(
         "doc_id", "text", "spans", "all").union(with_added.select("doc_id", "text", "spans", "all"))
     return out.select(
