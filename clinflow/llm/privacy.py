@@ -141,7 +141,7 @@ def bit_map(terms: DataFrame) -> bytes:
 
 
 def _passes(marks: bytes, term: str) -> int:
-    b = zlib.crc32(term.encode()) % BITS
+    b = zlib.crc32(term.encode()) % (len(marks) * 8)
     return marks[b >> 3] >> (b & 7) & 1
 
 
@@ -164,7 +164,7 @@ def text_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
                 th, packed = [], []
                 for h, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
                     own = [t for t in terms_of(text) if _passes(marks, t)]
-                    b = h % BITS
+                    b = h % (len(copies) * 8)
                     if not copies[b >> 3] >> (b & 7) & 1:
                         once.update(own)
                     elif own:

@@ -111,6 +111,13 @@ def test_scan_equals_brute_force(spark):
     assert found(spark, rows) == plain(rows)
 
 
+def test_words_that_only_pass_the_bit_map(spark, monkeypatch):
+    monkeypatch.setattr(privacy, "BITS", 16)  # nearly every word and text passes
+    rows = rows_with_a_secret()
+    rows += rows[:3] + [(None, rows[8][1])]
+    assert found(spark, rows) == plain(rows)
+
+
 def test_sanitised_texts(spark):
     rows = rows_with_a_secret() + [(None, None), (7, "card 4111111111111111@x.com end")]
     got = {r["doc_id"]: r["text"] for r in privacy.sanitised(make(spark, rows)).collect()}
