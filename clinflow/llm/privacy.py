@@ -183,7 +183,8 @@ def text_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
     counted = keyed.select(
         F.explode(F.when(F.col("packed").isNull(), F.array("term")).otherwise(
             F.split("packed", "\n"))).alias("term"), F.coalesce("n", F.lit(1)).alias("n"))
-    return counted.groupBy("term").agg(F.sum("n").alias("n_t")).join(terms, "term", "left_semi")
+    # An inner join: the planner would move a semi-join below the count, where there are far more rows.
+    return counted.groupBy("term").agg(F.sum("n").alias("n_t")).join(terms.distinct(), "term")
 
 
 def _rows(th: list, packed: list, term: list, n: list) -> pa.RecordBatch:
