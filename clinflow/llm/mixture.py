@@ -1,16 +1,19 @@
 """Mixing sources to target weights from packed blocks.
 
-The words of a source form one stream, cut into blocks of ``block_words``. The mix is a list of
-slots, cut into output shards. A pseudorandom permutation of all slots gives each shard its counts per
-source: multinomial draws without replacement, whose totals over all shards are exact. The draws of
-a source go through its own permutation of block numbers, pass after pass, so a block comes a second
-time only when all have come once. Blocks and documents then meet by (source, block number).
+The words of a source form one stream, packed into blocks of ``block_words``; a block lists the parts of
+documents it holds. The mix is a list of slots, cut into output shards. Every slot of a shard draws its
+source by the targets, so a shard's counts per source are one multinomial draw. The draws of a source are
+numbered through all shards; those beyond the number its target allows, about the square root of it, go
+to sources that were drawn too seldom, so totals are exact. A draw's number goes through the source's
+own permutations of block numbers, pass after pass, so a block comes a second time only when all have come
+once. Slots and packed blocks then meet by (source, block number).
 """
 
 from __future__ import annotations
 
 import json
 import random
+from collections import Counter
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -22,6 +25,9 @@ from clinflow.operators.storage import materialize
 #: Mixing weights are given per source by a person; more sources than this are refused.
 MAX_SOURCES = 10_000
 PRIMES = (2_147_483_647, 2_147_483_629, 2_147_483_587)
+#: Products modulo a number of slots stay within a long below this number (9e15 words at 128 a block).
+MAX_SLOTS = 1 << 46
+STEPS = "array<struct<f:bigint,s:bigint>>"
 
 
 @dataclass
@@ -64,15 +70,26 @@ def rounds(n: int, seed: int) -> list[dict[str, int]]:
     return out
 
 
+def affine(v: Column, f: Column, s: Column, n: Column) -> Column:
+    """``(v * f + s) % n`` for ``f`` below 2**31 and ``n`` below 2**46, in two parts that fit a long."""
+    high = F.shiftright(f, 16)
+    low = f.bitwiseAND(F.lit(0xFFFF).cast("bigint"))
+    return ((v * high) % n * 65_536 + v * low + s) % n
+
+
 def permuted(x: Column, n: Column, steps: Column) -> Column:
     """``x`` under the bijection of [0, n) that ``rounds`` gives: in each step an affine map modulo
     n, then a xor of the high into the low bits on the largest power-of-two prefix of [0, n)."""
-    bits = F.floor(F.log2(n.cast("double")) + 1e-12).cast("int")
-    top = F.call_function("shiftleft", F.lit(1).cast("bigint"), bits)
+    def power(bits: Column) -> Column:
+        return F.call_function("shiftleft", F.lit(1).cast("bigint"), bits)
+
+    near = F.floor(F.log2(n.cast("double"))).cast("int")  # may be off by one next to powers of two
+    bits = near - F.when(power(near) > n, 1).otherwise(0) + F.when(power(near + 1) <= n, 1).otherwise(0)
+    top = power(bits)
     half = F.greatest(F.lit(1), F.floor((bits + 1) / 2).cast("int"))
 
     def step(v: Column, s: Column) -> Column:
-        v = (v * s["f"] + s["s"]) % n
+        v = affine(v, s["f"], s["s"], n)
         high = F.call_function("shiftright", v, half)
         return v.bitwiseXOR(F.when(v < top, high).otherwise(F.lit(0).cast("bigint")))
 
@@ -115,7 +132,8 @@ def stream_places(sizes: DataFrame, buckets: int) -> DataFrame:
     Sources are cut into hashed buckets, so a source with most rows is no single task: totals per
     bucket are few and summed first, then each bucket runs on its own.
     """
-    rows = sizes.withColumn("bucket", F.floor(unit_hash("doc_id", seed=3) * buckets).cast("int"))
+    rows = sizes.withColumn(
+        "bucket", F.floor(unit_hash("doc_id", "tie", seed=3) * buckets).cast("int"))
     inside = Window.partitionBy("source", "bucket").orderBy("doc_id", "tie", "size").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     over = Window.partitionBy("source").orderBy("bucket").rowsBetween(
@@ -127,62 +145,137 @@ def stream_places(sizes: DataFrame, buckets: int) -> DataFrame:
     run = rows.withColumn("run", F.sum("size").over(inside) - F.col("size"))
     return run.join(
         firsts, run["source"].eqNullSafe(firsts["s"]) & (run["bucket"] == firsts["k"])).select(
-        "doc_id", "source", "size", (F.col("before") + F.col("run")).alias("begin"))
+        "doc_id", "source", "size", "tie", (F.col("before") + F.col("run")).alias("begin"))
+
+
+def alias_table(weights: list[int]) -> list[dict[str, float]]:
+    """For a draw by weight in constant time: column i stands for itself up to ``keep``, else for ``other``."""
+    total, k = sum(weights), len(weights)
+    keep, other = [w * k / total for w in weights], list(range(k))
+    low = [i for i in range(k) if keep[i] < 1]
+    high = [i for i in range(k) if keep[i] >= 1]
+    while low and high:
+        i, j = low.pop(), high[-1]
+        other[i] = j
+        keep[j] -= 1 - keep[i]
+        if keep[j] < 1:
+            low.append(high.pop())
+    return [{"keep": keep[i] if other[i] != i else 1.0, "other": other[i]} for i in range(k)]
+
+
+def literal(rows: list[dict], kind: str) -> Column:
+    return F.from_json(F.lit(json.dumps(rows)), f"array<struct<{kind}>>")
+
+
+def shard_draws(spark, sources: list[Source], shard_slots: int, parts: int) -> DataFrame:
+    """(shard, number, n): how many slots of each shard draw each source; one multinomial draw a shard."""
+    drawn = [i for i, s in enumerate(sources) if s.draws]
+    table = alias_table([sources[i].draws for i in drawn])
+    table = literal([{"own": drawn[i], "keep": t["keep"], "other": drawn[t["other"]]}
+                     for i, t in enumerate(table)], "own:int,keep:double,other:int")
+    total = sum(s.draws for s in sources)
+    u = unit_hash("id", seed=41) * len(drawn)
+    column = F.element_at(table, (F.floor(u) + 1).cast("int"))
+    return spark.range(0, total, 1, parts).select(
+        F.floor(F.col("id") / shard_slots).alias("shard"), u.alias("u"), column.alias("column")).select(
+        "shard", F.when(F.col("u") - F.floor("u") < F.col("column.keep"), F.col("column.own"))
+        .otherwise(F.col("column.other")).alias("number")).groupBy("shard", "number").agg(
+        F.count(F.lit(1)).alias("n"))
 
 
 def slots(sizes: DataFrame, sources: list[Source], shard_slots: int, block_words: int) -> DataFrame:
     """(shard, slot, number, block, words): the mix itself, one row per block taken; ``number`` is
-    the source's place in the list of sources."""
-    spark = sizes.sparkSession
-    total = sum(s.draws for s in sources)
-    chunk, start, passes = 4096, 0, []
+    the source's place in the list of sources. Slots of a shard count from 0 without gaps."""
+    spark, total = sizes.sparkSession, sum(s.draws for s in sources)
+    if total >= MAX_SLOTS:
+        raise ValueError(f"{total} slots of {block_words} words: take longer blocks")
+    if not total:
+        return spark.range(0).selectExpr(
+            "id AS shard", "id AS slot", "int(id) AS number", "id AS block", "int(id) AS words")
+    counts = materialize(shard_draws(
+        spark, sources, shard_slots, max(parallel(sizes), total >> 22)), "shard_draws")
+    found = Counter(dict(tuple(r) for r in counts.groupBy("number").agg(F.sum("n")).collect()))
+    per_source, passes, surplus, short, gap = [], [], 0, [], 0
     for i, s in enumerate(sources):
-        for at in range(0, s.draws, max(1, s.blocks)):
-            count = min(s.blocks, s.draws - at)
-            # Each pass has a permutation of its own, so the last, partial one is a fresh draw.
-            passes.append({
-                "number": i, "start": start, "count": count, "blocks": s.blocks,
-                "last": s.last_words if at + count == s.draws else block_words,
-                "steps": rounds(s.blocks, start)})
-            start += count
-    step = "array<struct<f:bigint,s:bigint>>"
-    schema = ("array<struct<number:int,start:bigint,count:bigint,blocks:bigint,last:bigint,"
-              f"steps:{step}>>")
-    table = spark.range(1).select(F.inline(F.from_json(F.lit(json.dumps(passes)), schema)))
-    draws = table.select(
-        "*", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("count") - 1) / chunk)))
-        .alias("c")).repartition(parallel(sizes))
-    draws = draws.select(
-        "*", F.explode(F.sequence(
-            F.col("c") * chunk, F.least(F.col("count") - 1, F.col("c") * chunk + (chunk - 1))))
-        .alias("j"))
-    mixed = F.from_json(F.lit(json.dumps(rounds(total, -1))), step)
-    at = permuted(F.col("start") + F.col("j"), F.lit(max(total, 1)).cast("bigint"), mixed)
-    block = permuted(F.col("j"), F.col("blocks"), F.col("steps"))
-    return draws.select(
-        "number", block.alias("block"), at.alias("at"),
-        F.when(F.col("j") == F.col("count") - 1, F.col("last")).otherwise(F.lit(block_words))
-        .alias("words")).select(
-        F.floor(F.col("at") / shard_slots).alias("shard"), (F.col("at") % shard_slots).alias("slot"),
-        "number", "block", "words")
+        shuffle = rounds(max(1, found[i]), i)[0]
+        per_source.append({
+            "found": max(1, found[i]), "f": shuffle["f"], "s": shuffle["s"], "draws": s.draws,
+            "surplus": surplus, "blocks": max(1, s.blocks), "last": s.last_words, "first": len(passes)})
+        surplus += max(0, found[i] - s.draws)
+        if found[i] < s.draws:
+            short.append({"number": i, "at": gap, "found": found[i]})
+            gap += s.draws - found[i]
+        # Each pass has a permutation of its own, so the last, partial one is a fresh draw.
+        passes += [{"steps": rounds(s.blocks, len(passes) + k)}
+                   for k in range(-(-s.draws // max(1, s.blocks)))]
+    of = literal(per_source, "found:bigint,f:bigint,s:bigint,draws:bigint,surplus:bigint,"
+                             "blocks:bigint,last:int,first:bigint")
+    short = literal(short, "number:int,at:bigint,found:bigint")
 
+    # The draws before a shard's, in two steps, so that neither window holds all shards.
+    groups = materialize(counts.groupBy("number", F.floor(F.col("shard") / 1024).alias("g")).agg(
+        F.sum("n").alias("n")), "draws_by_group")
+    groups = groups.select(F.col("number").alias("k"), F.col("g").alias("h"), (F.sum("n").over(
+        Window.partitionBy("number").orderBy("g")) - F.col("n")).alias("base"))
+    rows = counts.withColumn("g", F.floor(F.col("shard") / 1024)).select(
+        "*",
+        (F.sum("n").over(Window.partitionBy("number", "g").orderBy("shard")) - F.col("n")).alias("run"),
+        (F.sum("n").over(Window.partitionBy("shard").orderBy("number")) - F.col("n")).alias("offset"))
+    rows = rows.join(groups.hint("merge"), (F.col("number") == F.col("k")) & (F.col("g") == F.col("h")))
+    rows = rows.repartition(parallel(sizes), "shard", "number").select(
+        "shard", "number", (F.col("base") + F.col("run")).alias("before"), "offset",
+        F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n") - 1)).alias("i"))
 
-def mix(
-    docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, most: float = 2.0,
-    block_words: int = 128, shard_slots: int = 65_536,
-) -> DataFrame:
-    """(doc_id, size, source_size, target, taken, source) for every row of ``docs``.
+    # The place in the shard.
+    length = F.least(F.lit(shard_slots).cast("bigint"), F.lit(total) - F.col("shard") * shard_slots)
+    factor = F.lit(PRIMES[1]).cast("bigint") % length
+    factor = F.when((length % PRIMES[1] == 0) | (factor == 0), 1).otherwise(factor).cast("bigint")
+    slot = affine(F.col("offset") + F.col("i"), factor, F.pmod(F.xxhash64("shard"), length), length)
 
-    ``size`` counts words (NULL text: 0), ``target`` belongs to the row's source (weights repeat over
-    the sources in code point order, NULL last), ``taken`` is the number of its words in the mix,
-    repeats counted: at most ``most`` (2 or less, whole) times its size. A source takes its target
-    to within one block. Rows with one id and text share their places in turn; reruns agree whatever the
-    file layout. A row without words takes none; an empty table gives no rows.
-    """
+    # The number of the draw: kept when its source may have it, else of a source that came too seldom.
+    own = F.element_at(of, F.col("number") + 1)
+    rows = rows.select("shard", slot.alias("slot"), "number", own.alias("own"), F.col("before"), "i")
+    rows = rows.select("shard", "slot", "number", "own", affine(
+        F.col("before") + F.col("i"), F.col("own.f"), F.col("own.s"), F.col("own.found")).alias("draw"))
+    spare = F.col("own.surplus") + F.col("draw") - F.col("own.draws")
+    taker = F.element_at(short, F.size(F.filter(short, lambda t: t["at"] <= spare)))
+    kept = F.col("draw") < F.col("own.draws")
+    rows = rows.select(
+        "shard", "slot", F.when(~kept, F.struct(
+            taker["number"].alias("number"),
+            (taker["found"] + spare - taker["at"]).alias("draw"))).otherwise(
+            F.struct("number", "draw")).alias("d"))
+    own = F.element_at(of, F.col("d.number") + 1)
+    rows = rows.select("shard", "slot", F.col("d.number").alias("number"), F.col("d.draw").alias("draw"),
+                       own.alias("own"))
+    steps = F.element_at(literal(passes, f"steps:{STEPS}"), (
+        F.col("own.first") + F.floor(F.col("draw") / F.col("own.blocks")) + 1).cast("int"))["steps"]
+    return rows.select(
+        "shard", "slot", "number",
+        permuted(F.col("draw") % F.col("own.blocks"), F.col("own.blocks"), steps).alias("block"),
+        F.when(F.col("draw") == F.col("own.draws") - 1, F.col("own.last"))
+        .otherwise(F.lit(block_words)).alias("words"))
+
+
+def packed(places: DataFrame, block_words: int) -> DataFrame:
+    """(number, block, parts): the documents' words that each block holds, in the order of the stream.
+    A block has at most ``block_words`` parts."""
+    last = F.floor((F.col("begin") + F.col("size") - 1) / block_words)
+    pieces = places.where("size > 0").select(
+        "row", "doc_id", "number", "begin", "size",
+        F.explode(F.sequence(F.floor(F.col("begin") / block_words), last)).alias("block"))
+    start = F.col("block") * block_words
+    at = F.greatest(F.lit(0), F.col("begin") - start)
+    stop = F.least(F.lit(block_words), F.col("begin") + F.col("size") - start)
+    return pieces.groupBy("number", "block").agg(F.array_sort(F.collect_list(F.struct(
+        at.cast("int").alias("at"), stop.cast("int").alias("stop"), "row", "doc_id",
+        (start + at - F.col("begin")).alias("first")))).alias("parts"))
+
+
+def prepared(docs, weights, share, most, block_words) -> tuple[list[Source], DataFrame]:
     sizes = materialize(word_sizes(docs), "sizes")
     sources = plan(sizes, weights, share, most, block_words)
-    buckets = max(64, 4 * parallel(docs))
-    places = stream_places(sizes, buckets)
+    places = stream_places(sizes, max(64, 4 * parallel(docs)))
     number = F.element_at(
         F.create_map(*[x for i, s in enumerate(sources) if s.name is not None
                        for x in (F.lit(s.name), F.lit(i))]), F.col("source")) if any(
@@ -190,41 +283,88 @@ def mix(
     null_at = next((i for i, s in enumerate(sources) if s.name is None), -1)
     number = F.when(F.col("source").isNull(), F.lit(null_at)).otherwise(number)
     places = places.withColumn("number", number).withColumn("row", F.monotonically_increasing_id())
-    places = materialize(places, "places")
-    last = F.floor((F.col("begin") + F.col("size") - 1) / block_words)
-    pieces = places.where("size > 0").select(
-        "row", "number", "begin", "size",
-        F.explode(F.sequence(F.floor(F.col("begin") / block_words), last)).alias("block"))
-    first = F.greatest(F.lit(0), F.col("begin") - F.col("block") * block_words)
-    stop = F.least(F.lit(block_words),
-                   F.col("begin") + F.col("size") - F.col("block") * block_words)
-    pieces = pieces.select("row", "number", "block", first.alias("a"), stop.alias("b"))
-    chosen = slots(sizes, sources, shard_slots, block_words)
-    words = F.greatest(F.lit(0), F.least("b", "words") - F.col("a"))
-    taken = pieces.join(chosen, ["number", "block"]).groupBy("row").agg(
+    return sources, materialize(places, "places")
+
+
+def filled(places, sources, shard_slots, block_words) -> DataFrame:
+    """The slots with the parts of their blocks. Both sides are sorted by block whatever their size: the
+    slots grow with the corpus and are never broadcast."""
+    chosen = materialize(slots(places, sources, shard_slots, block_words), "slots")
+    return packed(places, block_words).join(chosen.hint("merge"), ["number", "block"])
+
+
+def mixed(
+    docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, most: float = 2.0,
+    block_words: int = 128, shard_slots: int = 65_536,
+) -> DataFrame:
+    """The mix: (shard, slot, source, block, words, parts), one row per slot.
+
+    ``parts`` lists (doc_id, first, words): so many words of the document from its word ``first`` on (from
+    0), in order; they make up the ``words`` of the slot, fewer at the end of a source.
+    Rows without words are in no part; an empty table has no slots.
+    """
+    sources, places = prepared(docs, weights, share, most, block_words)
+    parts = F.transform(
+        F.filter("parts", lambda p: p["at"] < F.col("words")),
+        lambda p: F.struct(p["doc_id"].alias("doc_id"), p["first"].alias("first"),
+                           (F.least(p["stop"], F.col("words")) - p["at"]).alias("words")))
+    names = F.array(*[F.lit(s.name).cast("string") for s in sources]) if sources else F.array(
+        F.lit(None).cast("string"))
+    return filled(places, sources, shard_slots, block_words).select(
+        "shard", "slot", F.element_at(names, F.col("number") + 1).alias("source"), "block", "words",
+        parts.alias("parts"))
+
+
+def mix(
+    docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, most: float = 2.0,
+    block_words: int = 128, shard_slots: int = 65_536,
+) -> DataFrame:
+    """(doc_id, size, source_size, target, taken, source, tie) for every row of ``docs``.
+
+    ``size`` counts words (NULL text: 0), ``target`` belongs to the row's source (weights repeat over
+    the sources in code point order, NULL last), ``taken`` is the number of its words in the slots of
+    ``mixed``, repeats counted: at most ``most`` (2 or less, whole) times its size. A source takes its target
+    to within one block. ``tie`` is a hash of the text. Rows with one id and text share their places in turn;
+    reruns agree whatever the file layout. A row without words takes none; an empty table gives no rows.
+    """
+    sources, places = prepared(docs, weights, share, most, block_words)
+    used = F.inline("parts")
+    words = F.greatest(F.lit(0), F.least("stop", "words") - F.col("at"))
+    taken = filled(places, sources, shard_slots, block_words).select("words", used).groupBy("row").agg(
         F.sum(words).alias("taken"))
     sizes_of = F.lit([s.size for s in sources] or [0]).cast("array<bigint>")
     aims = F.lit([s.target for s in sources] or [0.0]).cast("array<double>")
-    return places.join(taken, "row", "left").select(
+    return places.join(taken.hint("merge"), "row", "left").select(
         "doc_id", "size", F.element_at(sizes_of, F.col("number") + 1).alias("source_size"),
         F.element_at(aims, F.col("number") + 1).alias("target"),
-        F.coalesce("taken", F.lit(0)).cast("bigint").alias("taken"), "source")
+        F.coalesce("taken", F.lit(0)).cast("bigint").alias("taken"), "source", "tie")
 
 
 def repeat(docs: DataFrame, **settings) -> DataFrame:
     """``docs`` with each document as often as the mix takes it, with the columns it came with.
 
     Whole documents stand for their words: taken / size times, rounded down, and once more with the
-    probability of the rest (decided by a hash of the id, so reruns agree). Documents that the mix
-    does not take go, and so do those without words, ids included: there is nothing to mix. Rows with one id
-    count as one document and share its number; rows without an id stay as they are.
+    probability of the rest (decided by a hash of the row, so reruns agree). Documents that the mix
+    does not take go, and so do those without words, ids included: there is nothing to mix. A row is known by
+    its id, text and source: rows that share all three, ids missing or not, share one number. Other columns
+    may have any name. An empty table stays empty.
     """
-    taken = mix(docs.where("doc_id is not null"), **settings).where("size > 0").groupBy(
-        "doc_id").agg((F.sum("taken") / F.sum("size")).alias("times"))
+    key = ["id", "tie", "origin"]
+    taken = mix(docs, **settings).where("size > 0").groupBy(
+        F.col("doc_id").alias("id"), "tie", F.col("source").alias("origin")).agg(
+        (F.sum("taken") / F.sum("size")).alias("times"))
     whole = F.floor("times")
-    more = F.when(unit_hash("doc_id", seed=31) < F.col("times") - whole, 1).otherwise(0)
+    more = F.when(unit_hash(*key, seed=31) < F.col("times") - whole, 1).otherwise(0)
     copies = materialize(taken.select(
-        F.col("doc_id").alias("_id"), (whole + more).cast("int").alias("_copies")), "copies")
-    named = docs.join(copies.where("_copies > 0"), F.col("doc_id") == F.col("_id"))
-    named = named.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-    return named.select(*[docs[c] for c in docs.columns]).union(docs.where("doc_id is null"))
+        *key, (whole + more).cast("int").alias("copies")).where("copies > 0"), "copies")
+    def value(name: str, kind: str) -> Column:
+        return (docs[name] if name in docs.columns else F.lit(None)).cast(kind)
+
+    rows = docs.select(
+        value("doc_id", "bigint").alias("id_"), F.xxhash64(value("text", "string")).alias("tie_"),
+        value("source", "string").alias("origin_"), F.struct("*").alias("kept"))
+    same = (F.col("id_").eqNullSafe(F.col("id")) & (F.col("tie_") == F.col("tie"))
+            & F.col("origin_").eqNullSafe(F.col("origin")))
+    # One small row a document is hashed, texts are not sorted.
+    return rows.join(copies.hint("shuffle_hash"), same).select(
+        "kept", F.explode(F.array_repeat(F.lit(True), F.col("copies")))).select("kept.*")

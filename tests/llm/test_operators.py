@@ -1,6 +1,8 @@
 """The text operators against plain versions of themselves, and on edge rows."""
 
 import hashlib
+import math
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -229,6 +231,100 @@ def test_permutation_is_a_bijection(spark, n):
     assert sorted(r[0] for r in out.collect()) == list(range(n))
 
 
+def test_permutation_of_many_slots_does_not_overflow(spark):
+    n = 100_000_000_000
+    steps = F.array(*[F.struct(F.lit(s["f"]).cast("bigint").alias("f"),
+                               F.lit(s["s"]).cast("bigint").alias("s"))
+                      for s in mixture.rounds(n, 5)])
+    at = (F.lit(n - 5_000).cast("bigint") + F.col("id")).cast("bigint")
+    out = [r[0] for r in spark.range(5_000).select(
+        mixture.permuted(at, F.lit(n).cast("bigint"), steps)).collect()]
+    assert len(set(out)) == 5_000 and 0 <= min(out) and max(out) < n
+    assert n * 0.4 < sum(out) / len(out) < n * 0.6
+    big, f, shift = (1 << 46) - 3, mixture.PRIMES[0], 12_345
+    v = [0, 1, big - 1, big // 2, 987_654_321_987]
+    got = spark.createDataFrame([(i, x) for i, x in enumerate(v)], "i int, v bigint").select("i", mixture.affine(
+        F.col("v"), F.lit(f).cast("bigint"), F.lit(shift).cast("bigint"), F.lit(big).cast("bigint"))).collect()
+    assert all(r[1] == (v[r[0]] * f + shift) % big for r in got)
+
+
+@pytest.fixture(scope="module")
+def crowd(spark):
+    """Three sources and rows without one: a hot text, texts without words, repeated and missing ids."""
+    rng = random.Random(4)
+    rows = [(i, " ".join(rng.choice("abcdefgh") for _ in range(rng.randrange(0, 60))), None, s)
+            for i, s in enumerate(rng.choice(["x", "x", "x", "y", "z", None]) for _ in range(600))]
+    rows += [(1000 + i, "one hot text of seven words here", None, "x") for i in range(400)]
+    rows += [(None, "no id here", None, "y")] * 3 + [(5, "second text with id five", None, "z")]
+    rows += [(6, None, None, "y"), (8, "", None, "w")]
+    return rows, make(spark, rows).select("doc_id", "text", "source")
+
+
+def test_slots_draw_each_source_per_shard_and_hold_the_words_of_the_stream(spark, crowd):
+    rows, docs = crowd
+    per = 64
+    found = mixture.mixed(docs, block_words=4, shard_slots=per).collect()
+    by_shard = defaultdict(list)
+    for r in found:
+        by_shard[r["shard"]].append(r)
+    assert sorted(by_shard) == list(range(len(by_shard)))
+    assert all(sorted(r["slot"] for r in v) == list(range(len(v))) for v in by_shard.values())
+    assert all(len(by_shard[k]) == per for k in list(by_shard)[:-1] if k != max(by_shard))
+    # The counts of a source vary between shards as a multinomial draw does.
+    share = Counter(r["source"] for r in found)
+    full = [v for k, v in by_shard.items() if len(v) == per]
+    for name, n in share.items():
+        p = n / len(found)
+        counts = [sum(r["source"] == name for r in v) for v in full]
+        mean = sum(counts) / len(counts)
+        spread = sum((c - mean) ** 2 for c in counts) / max(1, len(counts) - 1)
+        assert abs(mean - per * p) < 4 * math.sqrt(per * p * (1 - p) / len(full)) + 1
+        assert 0.4 < spread / (per * p * (1 - p)) < 2
+    # No block comes a third time before all have come twice, and parts are as long as the slot says.
+    times = Counter((r["source"], r["block"]) for r in found)
+    assert max(times.values()) <= 2
+    words = {i: len(t.split()) for i, t, _, _ in rows if t and i is not None and i not in (5, 6)}
+    for r in found:
+        assert sum(p["words"] for p in r["parts"]) <= r["words"]
+        assert all(p["words"] > 0 and p["first"] >= 0 for p in r["parts"])
+        assert all(p["first"] + p["words"] <= words[p["doc_id"]]
+                   for p in r["parts"] if p["doc_id"] in words)
+    # What the documents are said to give is what the slots hold.
+    held = Counter()
+    for r in found:
+        for p in r["parts"]:
+            held[p["doc_id"]] += p["words"]
+    taken = Counter()
+    for r in mixture.mix(docs, block_words=4, shard_slots=per).collect():
+        taken[r["doc_id"]] += r["taken"]
+        assert 0 <= r["taken"] <= 2 * r["size"]
+    assert +taken == +held
+
+
+def test_growing_tables_of_the_mix_are_not_broadcast(spark, crowd):
+    plan = mixture.mix(crowd[1])._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" not in plan and "NestedLoop" not in plan and "SortMergeJoin" in plan
+
+
+def test_repeated_documents_keep_their_columns_and_follow_the_mix(spark, crowd):
+    rows, docs = crowd
+    names = ["_id", "_copies", "_copy", "id", "tie", "copies", "kept", "row", "number"]
+    wide = docs.select("*", *[F.lit(i).alias(n) for i, n in enumerate(names)])
+    out = mixture.repeat(wide, block_words=4)
+    assert out.columns == wide.columns
+    got = Counter((r["doc_id"], r["text"], r["source"]) for r in out.collect())
+    taken, size, here = Counter(), Counter(), Counter((i, t, s) for i, t, _, s in rows)
+    texts = {(i, s, len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))): t for i, t, _, s in rows}
+    for r in mixture.mix(docs, block_words=4).collect():
+        key = (r["doc_id"], texts[r["doc_id"], r["source"], r["size"]], r["source"])
+        taken[key] += r["taken"]
+        size[key] += r["size"]
+    for key, n in here.items():
+        times = taken[key] / size[key] if size[key] else 0
+        assert got[key] in (n * math.floor(times), n * (math.floor(times) + 1))
+    assert not [k for k in got if not (k[1] or "").strip()] and (None, "no id here", "y") in here
+
+
 # Fingerprints
 
 
