@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from clinflow.operators.skew import BLOCK, border_rows, cut, join_edges
+from clinflow.operators.skew import BLOCK, border_rows, cut, in_order, join_edges
 
 
 def _edges(blocked, keys, order, prev, following):
@@ -36,12 +36,13 @@ def add_history(
     following: dict[str, str] | None = None,
     seq: str | None = None,
     total: str | None = None,
+    ordered_output: bool = False,
 ) -> DataFrame:
     """Add previous-row values, next-row values, sequence number and group size.
 
     ``prev`` / ``following`` map new column -> source column. ``order`` must end in a unique id,
     which makes the result independent of partitioning. All windows of a block share one exchange and
-    one sort (see ``skew``).
+    one sort (see ``skew``). With ``ordered_output`` the rows come back in the order of keys + order.
     """
     prev, following = prev or {}, following or {}
     blocked = cut(df, keys, order)
@@ -61,5 +62,7 @@ def add_history(
         out[seq] = F.col("_seq") + F.coalesce("_offset", F.lit(0))
     if total:
         out[total] = F.coalesce("_total", "_rows")
+    if ordered_output:
+        rows = in_order(rows, [*keys, "_seq"])
     kept = [c for c in df.columns if c not in out]
     return rows.select(*kept, *[c.alias(name) for name, c in out.items()])

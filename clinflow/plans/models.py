@@ -151,11 +151,13 @@ def readmissions(
     classes: Sequence[str] = READMISSION_CLASSES,
     window_days: int = 30,
     buckets: Sequence[int] = (7, 30, 90),
+    ordered_output: bool = False,
 ) -> DataFrame:
     """Every acute encounter with its neighbours in the patient's history and the gaps to them.
 
     The class filter comes before the history: it decides which stay is the previous one. Equal
-    admission times are ordered by encounter id. A patient of any size is handled in blocks.
+    admission times are ordered by encounter id. A patient of any size is handled in blocks. With
+    ``ordered_output`` the rows come by patient and sequence number.
     """
     acute = stg.filter(F.col("encounter_class").isin(list(classes))).select(*READMISSION_INPUT)
     sequenced = add_history(
@@ -173,7 +175,7 @@ def readmissions(
             "next_admit_timestamp": "admit_timestamp",
             "next_service_provider": "service_provider",
         },
-        seq="encounter_seq_num", total="total_patient_encounters",
+        seq="encounter_seq_num", total="total_patient_encounters", ordered_output=ordered_output,
     )
     since = gap_seconds(F.col("admit_timestamp"), F.col("prev_discharge_timestamp"))
     until = gap_seconds(F.col("next_admit_timestamp"), F.col("discharge_timestamp"))

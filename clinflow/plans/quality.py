@@ -48,6 +48,12 @@ def link_coverage(obs: DataFrame, fact: DataFrame) -> DataFrame:
         F.coalesce(F.sum(F.col("_o") * F.col("_f")), F.lit(0)).alias("linked_observations"))
 
 
+def linked_rows(child: DataFrame, parent: DataFrame, key: str = "encounter_id") -> DataFrame:
+    """Child rows with the columns of their parent; rows without one are left out. Tables stored
+    by ``save_bucketed`` on the key meet bucket by bucket, whatever their sizes."""
+    return child.join(parent.hint("merge"), key)
+
+
 def key_check(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
     """One row (table, duplicate_keys, surplus_rows, null_key_rows)."""
     null_part = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])

@@ -75,12 +75,15 @@ def readmission_type_wide(
 
 
 def patient_sequence(
-    readm: DataFrame, classes: Classes = None, years: Years = None
+    readm: DataFrame, classes: Classes = None, years: Years = None, in_order: bool = False
 ) -> DataFrame:
-    return slice_rows(readm, classes, years).select(
+    """By patient and sequence number. ``in_order`` tells that the rows come so already (from
+    ``readmissions(..., ordered_output=True)``) and need no sort of their own."""
+    rows = slice_rows(readm, classes, years).select(
         "patient_id", "admit_timestamp", "encounter_class", "encounter_seq_num",
         "is_30d_readmission",
-    ).orderBy("patient_id", "encounter_seq_num")
+    )
+    return rows if in_order else rows.orderBy("patient_id", "encounter_seq_num")
 
 
 def readmission_cards(

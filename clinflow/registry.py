@@ -350,6 +350,26 @@ def linked_observations(spark, d):
         roles.table(spark, d, "orders").select(F.col("o_orderkey").alias("encounter_id")))
 
 
+@query
+def linked_by_class(spark, d):
+    """Results of each encounter class, from tables stored in buckets of the encounter: the rows meet
+    bucket by bucket, nothing is shuffled for the join."""
+    root = scratch_path(spark, "bucketed")
+    database = "clinflow_" + root.split("/")[-2][:12]
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{root}'")
+    writers.save_bucketed(_fact_orders(spark, d).select(
+        "encounter_id", "encounter_class"), f"{database}.encounters", "encounter_id")
+    writers.save_bucketed(roles.table(spark, d, "lineitem").select(
+        F.col("l_orderkey").cast("string").alias("encounter_id"), F.col("l_quantity").alias("result_value")),
+        f"{database}.results", "encounter_id")
+    found = quality.linked_rows(
+        spark.table(f"{database}.results"), spark.table(f"{database}.encounters"))
+    result = materialize(found.groupBy("encounter_class").agg(
+        F.count(F.lit(1)).alias("results"), F.sum("result_value").alias("total_value")), "linked")
+    spark.sql(f"DROP DATABASE {database} CASCADE")
+    return result
+
+
 @query
 def key_violations(spark, d):
     return quality.key_checks({
@@ -519,7 +539,7 @@ def readmission_type_wide(spark, d):
 
 @query
 def patient_sequence(spark, d):
-    return reports.patient_sequence(_readmissions(spark, d))
+    return reports.patient_sequence(_readmissions(spark, d, ordered_output=True), in_order=True)
 
 
 @query

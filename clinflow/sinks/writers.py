@@ -133,6 +133,31 @@ def save_table(
     return seen.get["rows"]
 
 
+def save_bucketed(
+    df: DataFrame, name: str, key: str, buckets: int = 64, path: str | None = None
+) -> int:
+    """Full refresh of a catalog table stored in buckets of ``key``: joins and aggregations on the key with
+    tables of as many buckets need no shuffle.
+
+    Refreshed by versions as in ``save_table``. The rows are dealt to the buckets once, at the write, where a key
+    with many rows is split over several files of its bucket. A later join reads a bucket in one task,
+    so take as many buckets as the largest table needs: about its size divided by 512 MB.
+    """
+    spark = df.sparkSession
+    known = spark.catalog.tableExists(name)
+    root = (path or _root(spark, name, known)).rstrip("/")
+    version, beside = f"{root}/{VERSION}{uuid.uuid4().hex}", f"{name}_{uuid.uuid4().hex}"
+    counted, seen = _counted(df.hint("rebalance", buckets, key))
+    counted.write.format("parquet").bucketBy(buckets, key).sortBy(key).option("path", version).saveAsTable(beside)
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+    spark.sql(f"DROP TABLE {beside}")  # its files stay, they are at a path
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY (`{key}`) SORTED BY (`{key}`) "
+              f"INTO {buckets} BUCKETS LOCATION '{version}'")
+    spark.catalog.refreshTable(name)
+    return seen.get["rows"]
+
+
 VERSION = "version-"
 
 

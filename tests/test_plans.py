@@ -3,12 +3,12 @@
 import re
 
 import pytest
-from helpers import plan
+from helpers import plan, rows
 
 from clinflow.operators import add_history, materialize, value_counts
-from clinflow.plans import measures, models, quality, warehouse
+from clinflow.plans import measures, models, quality, reports, warehouse
 from clinflow.schemas import TABLES
-from clinflow.sinks import write_parquet
+from clinflow.sinks import save_bucketed, write_parquet
 
 
 @pytest.fixture(scope="module")
@@ -94,6 +94,45 @@ def test_links_take_two_scans(spark, stored):
     assert text.count("FileScan") == 2 and text.count("ReadSchema: struct<encounter_id:string>") == 2
 
 
+def test_a_patient_sequence_is_ordered_by_its_blocks(spark, stored):
+    stg = models.stg_encounters(stored["fact_patient_encounters"])
+    text = plan(reports.patient_sequence(models.readmissions(stg, ordered_output=True), in_order=True))
+    assert "rangepartitioning" not in text and "REPARTITION_BY_NUM" in text
+
+
+def test_ordered_output_is_the_global_order(spark):
+    df = materialize(spark.range(5000).selectExpr(
+        "IF(id % 3 = 0, 'hot', IF(id % 7 = 0, NULL, string(id % 40))) AS k", "id * 7919 % 5000 AS at"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = add_history(df, ["k"], ["at"], prev={"p": "at"}, seq="n", ordered_output=True).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert got == df.selectExpr(
+        "k", "at", "lag(at) OVER (PARTITION BY k ORDER BY at) AS p",
+        "CAST(row_number() OVER (PARTITION BY k ORDER BY at) AS bigint) AS n").orderBy("k", "n").collect()
+
+
+@pytest.mark.parametrize("key", ["encounter_id", "episode_id"])
+def test_bucketed_tables_meet_without_a_shuffle(spark, no_broadcast, tmp_path, key):
+    child = spark.range(3000).selectExpr(
+        f"IF(id % 3 = 0, 'hot', IF(id % 10 = 1, NULL, string(id % 500))) AS {key}", "id AS v")
+    parent = spark.range(400).selectExpr(f"IF(id = 0, 'hot', string(id)) AS {key}", "id % 4 AS class")
+    for _ in range(2):  # the second time is a refresh
+        assert save_bucketed(child, "b_child", key, 8, str(tmp_path / "child")) == 3000
+        assert save_bucketed(parent, "b_parent", key, 8, str(tmp_path / "parent")) == 400
+    try:
+        joined = quality.linked_rows(spark.table("b_child"), spark.table("b_parent"), key)
+        text = plan(joined)
+        assert "Exchange" not in text and "SortMergeJoin" in text
+        assert rows(joined.select(key, "v", "class")) == rows(child.join(parent, key).select(key, "v", "class"))
+        counted = plan(spark.table("b_child").groupBy(key).count())
+        assert "Exchange" not in counted
+    finally:
+        spark.sql("DROP TABLE b_child")
+        spark.sql("DROP TABLE b_parent")
+
+
 def test_one_plan_at_every_size(spark):
     def shape(df):
         text = plan(add_history(materialize(df), ["k"], ["at"], seq="n", total="t"))
