@@ -27,6 +27,16 @@ def pick(df: DataFrame, **columns: str) -> DataFrame:
             k: v.rsplit(":", 1) for k, v in columns.items()}.items()])
 
 
+def value(df: DataFrame, name: str, kind: str) -> Column:
+    """A column of a table, NULL where it has none of that name."""
+    return (df[name] if name in df.columns else F.lit(None)).cast(kind)
+
+
+def row_key(docs: DataFrame) -> Column:
+    """A row is known by its id and text: rows that share an id stay apart, and so do those without one."""
+    return F.xxhash64(value(docs, "doc_id", "bigint"), value(docs, "text", "string"))
+
+
 def unit_hash(*columns: Column, seed: int = 0) -> Column:
     """A reproducible number in [0, 1) for a row's values."""
     h = F.xxhash64(F.lit(seed), *columns)

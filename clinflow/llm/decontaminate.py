@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clinflow.llm.common import pick, slices
+from clinflow.llm.common import pick, row_key, slices, value
 from clinflow.operators.storage import materialize
 
 #: A benchmark is a stated set of questions; its vectors are sent to every task. More are refused.
@@ -391,6 +391,14 @@ def matches(
 
 
 def remove(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` without those that hold a benchmark item. Documents without an id stay."""
-    bad = materialize(matches(docs, benchmark).select("doc_id").distinct(), "contaminated")
-    return docs.join(bad, "doc_id", "left_anti").select(*docs.columns)
+    """``docs`` without those that hold a benchmark item, with the columns they came with.
+
+    Rows are judged by their own text: a clean row that shares its id with another stays, and a row without
+    an id goes like any other. Repeated rows stay or go together. An empty table or benchmark takes nothing away.
+    """
+    key = row_key(docs)
+    keyed = docs.select(key.alias("doc_id"), value(docs, "text", "string").alias("text"))
+    bad = materialize(matches(keyed, benchmark).select(
+        F.col("doc_id").alias("key")).distinct(), "contaminated")
+    return docs.select(F.struct("*").alias("kept"), key.alias("key")).join(
+        bad, "key", "left_anti").select("kept.*")

@@ -19,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clinflow.llm.common import WORD, parallel, pick, unit_hash
+from clinflow.llm.common import WORD, parallel, pick, unit_hash, value
 from clinflow.operators.storage import materialize
 
 #: Mixing weights are given per source by a person; more sources than this are refused.
@@ -357,12 +357,10 @@ def repeat(docs: DataFrame, **settings) -> DataFrame:
     more = F.when(unit_hash(*key, seed=31) < F.col("times") - whole, 1).otherwise(0)
     copies = materialize(taken.select(
         *key, (whole + more).cast("int").alias("copies")).where("copies > 0"), "copies")
-    def value(name: str, kind: str) -> Column:
-        return (docs[name] if name in docs.columns else F.lit(None)).cast(kind)
-
     rows = docs.select(
-        value("doc_id", "bigint").alias("id_"), F.xxhash64(value("text", "string")).alias("tie_"),
-        value("source", "string").alias("origin_"), F.struct("*").alias("kept"))
+        value(docs, "doc_id", "bigint").alias("id_"),
+        F.xxhash64(value(docs, "text", "string")).alias("tie_"),
+        value(docs, "source", "string").alias("origin_"), F.struct("*").alias("kept"))
     same = (F.col("id_").eqNullSafe(F.col("id")) & (F.col("tie_") == F.col("tie"))
             & F.col("origin_").eqNullSafe(F.col("origin")))
     # One small row a document is hashed, texts are not sorted.

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clinflow.llm.common import parallel, pick, runs
+from clinflow.llm.common import parallel, pick, row_key, runs, value
 from clinflow.llm.components import connected_components
 from clinflow.operators.storage import materialize
 
@@ -48,18 +48,19 @@ def simhash(text: str | None, width: int = 3) -> int:
     return int(np.packbits(bits, bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame, width: int = 3) -> DataFrame:
-    """(doc_id, fp): one row per row of the documents; fp is the unsigned value held in a long."""
+def fingerprints(docs: DataFrame, width: int = 3, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """(doc_id, fp), or other long columns to keep before fp: one row per row of the documents; fp is the
+    unsigned value held in a long."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             values = np.array(
-                [simhash(t.as_py(), width) for t in batch.column(1)], dtype=np.uint64)
+                [simhash(t.as_py(), width) for t in batch.column(0)], dtype=np.uint64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(values.view(np.int64))], ["doc_id", "fp"])
+                [*batch.columns[1:], pa.array(values.view(np.int64))], [*keep, "fp"])
 
-    return pick(docs, doc_id="doc_id:bigint", text="text:string").mapInArrow(
-        run, "doc_id bigint, fp bigint")
+    return pick(docs, text="text:string", **{c: f"{c}:bigint" for c in keep}).mapInArrow(
+        run, ", ".join(f"{c} bigint" for c in [*keep, "fp"]))
 
 
 class Tree:
@@ -208,22 +209,34 @@ def near_duplicates(docs: DataFrame, bits: int = 3, width: int = 3, **tuning) ->
     An empty table gives an empty result.
     """
     fps = materialize(fingerprints(docs, width), "fingerprints")
+    labels = materialize(label(fps, bits, **tuning).select("fp", "component_id"), "labels")
+    return fps.join(labels, "fp").select("doc_id", "fp", "component_id")
+
+
+def label(fps: DataFrame, bits: int, **tuning) -> DataFrame:
+    """(fp, component_id, root) for every distinct ``fp``; ``root`` names a component even where no row
+    of it has an id."""
     points = materialize(fps.groupBy("fp").agg(F.min("doc_id").alias("first")), "points")
     nodes = connected_components(link_forest(points.select("fp"), bits, **tuning))
     nodes = materialize(nodes, "components")
     rooted = points.join(nodes.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", "first", F.coalesce("root", "fp").alias("root"))
     least = materialize(rooted.groupBy("root").agg(F.min("first").alias("component_id")), "least")
-    labels = materialize(rooted.join(least, "root").select("fp", "component_id"), "labels")
-    return fps.join(labels, "fp").select("doc_id", "fp", "component_id")
+    return rooted.join(least, "root").select("fp", "component_id", "root")
 
 
 def keep_first(docs: DataFrame, bits: int = 3, width: int = 3) -> DataFrame:
-    """One document of each group of near-duplicates: the one with the smallest doc_id, once.
+    """One document of each group of near-duplicates, once: the one with the smallest doc_id, where it has one,
+    else any that is always the same.
 
-    Rows without doc_id cannot be named by a group and stay.
+    Rows that share an id but not a group are different documents, each judged in its own group. Rows without an
+    id go when a near-duplicate stays. All columns are kept, whatever their names. An empty table stays empty.
     """
-    kept = near_duplicates(docs, bits, width).where("doc_id = component_id").select("doc_id")
-    kept = materialize(kept.distinct(), "kept")
-    named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.union(docs.where("doc_id is null")).select(*docs.columns)
+    keyed = docs.select(row_key(docs).alias("key"), value(docs, "doc_id", "bigint").alias("doc_id"),
+                        value(docs, "text", "string").alias("text"))
+    fps = materialize(fingerprints(keyed, width, ("doc_id", "key")), "fingerprints")
+    labels = materialize(label(fps, bits), "labels")
+    firsts = fps.join(labels, "fp").where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    kept = materialize(firsts.groupBy("root").agg(F.min("key").alias("key")).select("key"), "kept")
+    rows = docs.select(F.struct("*").alias("kept"), row_key(docs).alias("key"))
+    return rows.join(kept, "key", "left_semi").dropDuplicates(["key"]).select("kept.*")

@@ -127,6 +127,42 @@ def test_near_dedup_keeps_one_of_each_group(docs):
     assert ids.count(None) == 1
 
 
+@pytest.fixture(scope="module")
+def shared_ids(spark):
+    """One id for different texts, near copies without an id, clashing columns."""
+    rng = random.Random(8)
+    text = [" ".join("%s%d" % (rng.choice("abcdef"), rng.randrange(500)) for _ in range(120)) for _ in range(6)]
+    rows = [(1, text[0]), (1, text[1]), (2, text[1]), (None, text[2]), (None, text[2]), (None, text[3]),
+            (9, text[3]), (3, text[4]), (3, text[4]), (4, None), (4, ""), (None, None), (5, text[5])]
+    return text, spark.createDataFrame(
+        [(i, t, 1, 2, 3, 4) for i, t in rows],
+        "doc_id bigint, text string, `key` int, fp int, kept int, root int").repartition(3)
+
+
+def test_near_dedup_judges_rows_not_ids(shared_ids):
+    text, docs = shared_ids
+    out = vptree.keep_first(docs)
+    assert out.columns == docs.columns
+    got = sorted(((r["doc_id"], r["text"]) for r in out.collect()), key=repr)
+    empty = [r for r in got if not r[1]]
+    assert len(empty) == 1 and empty[0][0] == 4
+    assert [r for r in got if r[1]] == sorted(
+        [(1, text[0]), (1, text[1]), (None, text[2]), (9, text[3]), (3, text[4]), (5, text[5])], key=repr)
+
+
+def test_decontamination_judges_rows_not_ids(spark, shared_ids):
+    text, docs = shared_ids
+    bench = spark.createDataFrame(
+        [(k, " ".join(text[n].split()[20:50])) for k, n in enumerate([1, 3])], "item_id bigint, text string")
+    out = decontaminate.remove(docs, bench)
+    assert out.columns == docs.columns
+    key = lambda r: (r["doc_id"], r["text"])
+    assert sorted(map(key, out.collect()), key=repr) == sorted(
+        (key(r) for r in docs.collect() if r["text"] not in (text[1], text[3])), key=repr)
+    assert decontaminate.remove(docs.limit(0), bench).count() == 0
+    assert decontaminate.remove(docs, bench.limit(0)).count() == docs.count()
+
+
 # Token files
 
 
