@@ -4,8 +4,8 @@ Documents are seen through the vocabulary of the benchmark: the content terms of
 pass over the texts keeps, for each document, where which of these terms stand; all later steps
 read that table, a small part of the corpus. Passages of ``step`` words are rows of a TF-IDF matrix, whose
 leading right singular vectors come from a distributed randomised SVD. Windows as long as the items and
-the items are compared by cosine in that space; places that hold enough of an item's rarest terms, its
-answer, are candidates too, whatever their cosine. A candidate counts if the longest common subsequence
+the items are compared by cosine in that space, in every document that holds enough of an item's rarest terms, its
+answer, in one place: no other can match. A window above the cosine counts if the longest common subsequence
 of its content terms with the item's is long enough and the answer is there.
 """
 
@@ -15,6 +15,7 @@ import string
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +30,9 @@ MAX_ITEMS = 50_000
 STEP = 16
 RANK = 96
 ANSWER_TERMS = 5
+#: Cosines are taken in tiles of this many windows and items, so their matrix stays below 32 MB.
+WINDOWS_AT_ONCE = 8192
+ITEMS_AT_ONCE = 1024
 
 
 def split_words(text: str) -> list[str]:
@@ -204,9 +208,14 @@ def common_length(masks: dict[int, int], sequence: list[int]) -> int:
 
 def windows(near: np.ndarray, number: np.ndarray, row: np.ndarray, length: int) -> np.ndarray:
     """Unit sums of the passages from each on that are in the ``length`` passages of its window."""
-    ends = np.minimum(np.searchsorted(number, number + length), np.searchsorted(row, row, "right"))
-    cuts = np.column_stack([np.arange(len(near)), ends]).ravel()
-    out = np.add.reduceat(np.concatenate([near, near[:1] * 0]), cuts, axis=0)[::2]
+    last = len(near) - 1
+    out = near.copy()
+    for k in range(1, min(length, last + 1)):
+        at = np.minimum(np.arange(len(near)) + k, last)
+        inside = (number[at] < number + length) & (row[at] == row) & (at >= np.arange(len(near)) + k)
+        if not inside.any():
+            break
+        out[inside] += near[at[inside]]
     return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-9)
 
 
@@ -228,6 +237,16 @@ class Index:
     pairs: np.ndarray  # item * terms + term, sorted
     told: np.ndarray  # (term, item) of the answers, sorted by term
 
+    @cached_property
+    def bare(self) -> np.ndarray:
+        """Items without a vector: latent space cannot hold them."""
+        return ~self.vectors.any(axis=1)
+
+    def needed(self, answer: float) -> np.ndarray:
+        """Answer terms that the share ``answer`` takes, for each item."""
+        sizes = np.array([len(a) for a in self.answers])
+        return np.maximum(1, np.ceil(answer * sizes - 1e-9).astype(np.int64))
+
     def holds(self, item: np.ndarray, term: np.ndarray) -> np.ndarray:
         key = item.astype(np.int64) * self.idf.size + term
         at = np.searchsorted(self.pairs, key)
@@ -243,8 +262,7 @@ class Index:
         item = self.told[np.repeat(first - np.cumsum(n) + n, n) + np.arange(n.sum()), 1]
         order = np.lexsort((at, item, row[at]))
         at, item = at[order], item[order]
-        sizes = np.array([len(a) for a in self.answers])
-        need = np.maximum(1, np.ceil(answer * sizes - 1e-9).astype(np.int64))[item]
+        need = self.needed(answer)[item]
         last = np.arange(at.size) + need - 1
         inside = last < at.size
         other = np.where(inside, last, 0)
@@ -283,53 +301,74 @@ class Index:
     def search(self, part: pa.RecordBatch, cosine: float, common: float, answer: float,
                seen: list[int]) -> list[tuple]:
         """(row of the batch, item_id, cosine, common share, answer share) of the best window for
-        each item and row; counts candidates in ``seen``."""
+        each item and row; counts candidates in ``seen``.
+
+        A match needs the item's answer terms in one place, so rows and items without such a place
+        are out before any cosine is taken; of all other windows the cosine decides. Items without a vector
+        are compared wherever their answer terms stand together.
+        """
         row, passage, pos, term = _passages(part)
-        if not term.size:
+        told_at, told_item = self.overlaps(row, pos, term, answer)
+        if not told_at.size:
             return []
+        keep = np.isin(row, np.unique(row[told_at]))
+        told_at = np.cumsum(keep)[told_at] - 1
+        row, passage, pos, term = row[keep], passage[keep], pos[keep], term[keep]
         starts = np.flatnonzero(np.diff(passage, prepend=-1))
         near = np.add.reduceat(self.terms[term], starts, axis=0)
         number, at_row = passage[starts], row[starts]
         best: dict[tuple[int, int], tuple] = {}
         lengths, sizes = np.array(self.items.lengths), np.array([len(t) for t in self.items.terms])
+        need = self.needed(answer)
         passages = np.array([window_length(n) for n in self.items.lengths])
         far = int(pos.max()) + 2 * int(lengths.max()) + 2 * STEP * (int(passages.max()) + 2)
         place = row.astype(np.int64) * far + pos
-        told_at, told_item = self.overlaps(row, pos, term, answer)
-        told_at = np.searchsorted(starts, told_at, "right") - 1
-        for size in np.unique(passages):
-            some = np.flatnonzero(passages == size)
+        width = (int(row.max()) + 2) * far
+        told = np.sort(told_item * width + place[told_at])
+        window_of = np.searchsorted(starts, told_at, "right") - 1
+        for size in np.unique(passages[told_item]):
             window = windows(near, number, at_row, int(size))
             middle = at_row * far + pos[starts] // STEP * STEP + size * STEP // 2
-            mine = passages[told_item] == size
-            exact = np.unique(told_at[mine].astype(np.int64) * lengths.size + told_item[mine])
-            for lo in range(0, len(window), 8192):
-                like = window[lo:lo + 8192] @ self.vectors[some].T
-                w, i = np.nonzero(like >= cosine)
-                cut = slice(*np.searchsorted(exact, [lo * lengths.size, (lo + 8192) * lengths.size]))
-                pair = np.union1d((w + lo) * lengths.size + some[i], exact[cut])
-                w, i = pair // lengths.size, pair % lengths.size
-                seen[0] += w.size
-                score = like[w - lo, np.searchsorted(some, i)]
-                # The item may begin before and end after the window, by its own length.
-                reach = lengths[i] + size * STEP // 2
-                first = np.searchsorted(place, np.maximum(middle[w] - reach, at_row[w] * far))
-                last = np.searchsorted(place, middle[w] + reach)
-                # No common subsequence is longer than the number of the item's terms in the place.
-                for at in range(0, w.size, 16_384):
-                    cut = slice(at, at + 16_384)
-                    n = last[cut] - first[cut]
-                    where = np.repeat(first[cut] - np.cumsum(n) + n, n) + np.arange(n.sum())
-                    own = self.holds(np.repeat(i[cut], n), term[where])
-                    total = np.add.reduceat(own, np.cumsum(n) - n, dtype=np.int64)
-                    for k in np.flatnonzero(total >= common * sizes[i[cut]]) + at:
-                        r, item = int(at_row[w[k]]), int(i[k])
-                        span = slice(first[k], last[k])
-                        shares = self.compare(item, pos[span], term[span], common, answer)
-                        if shares:
-                            hit = (*shares, float(score[k]))
-                            if hit > best.get((r, item), (0,)):
-                                best[r, item] = hit
+            some = np.unique(told_item[passages[told_item] == size])
+            bare = self.bare[told_item] & (passages[told_item] == size)
+            pairs = [np.unique(window_of[bare] * lengths.size + told_item[bare])]
+            some = some[~self.bare[some]]
+            for left in range(0, some.size, ITEMS_AT_ONCE):
+                items = some[left:left + ITEMS_AT_ONCE]
+                mine = np.isin(told_item, items)
+                open_ = np.zeros((part.num_rows, items.size), dtype=bool)
+                open_[row[told_at[mine]], np.searchsorted(items, told_item[mine])] = True
+                for lo in range(0, len(window), WINDOWS_AT_ONCE):
+                    cut = slice(lo, lo + WINDOWS_AT_ONCE)
+                    like = window[cut] @ self.vectors[items].T
+                    w, i = np.nonzero((like >= cosine) & open_[at_row[cut]])
+                    pairs.append((w + lo) * lengths.size + items[i])
+            pair = np.concatenate(pairs)
+            w, i = pair // lengths.size, pair % lengths.size
+            # The item may begin before and end after the window, by its own length.
+            reach = lengths[i] + size * STEP // 2
+            low = np.maximum(middle[w] - reach, at_row[w] * far)
+            high = middle[w] + reach
+            answers = np.searchsorted(told, i * width + high) - np.searchsorted(told, i * width + low)
+            some = answers >= need[i]
+            w, i, low, high = w[some], i[some], low[some], high[some]
+            seen[0] += w.size
+            first, last = np.searchsorted(place, low), np.searchsorted(place, high)
+            # No common subsequence is longer than the number of the item's terms in the place.
+            for at in range(0, w.size, 16_384):
+                cut = slice(at, at + 16_384)
+                n = last[cut] - first[cut]
+                where = np.repeat(first[cut] - np.cumsum(n) + n, n) + np.arange(n.sum())
+                own = self.holds(np.repeat(i[cut], n), term[where])
+                total = np.add.reduceat(own, np.cumsum(n) - n, dtype=np.int64)
+                for k in np.flatnonzero(total >= common * sizes[i[cut]]) + at:
+                    r, item = int(at_row[w[k]]), int(i[k])
+                    span = slice(first[k], last[k])
+                    shares = self.compare(item, pos[span], term[span], common, answer)
+                    if shares:
+                        hit = (*shares, float(window[w[k]] @ self.vectors[item]))
+                        if hit > best.get((r, item), (0,)):
+                            best[r, item] = hit
         return [(r, self.items.ids[i], h[2], h[0], h[1]) for (r, i), h in sorted(best.items())]
 
 
@@ -354,16 +393,16 @@ MATCH = "doc_id bigint, item_id bigint, cosine double, common double, answer dou
 
 
 def matches(
-    docs: DataFrame, benchmark: DataFrame, cosine: float = 0.4, common: float = 0.6,
+    docs: DataFrame, benchmark: DataFrame, cosine: float = 0.2, common: float = 0.6,
     answer: float = 0.6, rank: int = RANK,
 ) -> DataFrame:
     """(doc_id, item_id, cosine, common, answer): documents that hold an item or a paraphrase of it.
 
     ``common`` is the least share of the item's content terms in the longest common subsequence,
     ``answer`` the least share of its five rarest terms that the place must hold. All items are
-    looked for in all windows of all documents; ``cosine`` opens a window, and so do answer terms that
-    stand together, so a reported cosine may be lower. Items told by all their words have cosine 0 and
-    must be found within their own length. NULL and empty texts, an empty benchmark or an empty
+    looked for in all windows of all documents that hold the answer; ``cosine`` opens a window. Items that
+    latent space cannot hold, told by all their words, have cosine 0, are opened by their answer
+    and must be found within their own length. NULL and empty texts, an empty benchmark or an empty
     table give no rows; repeated documents and ids give theirs again; several items with one id and
     different texts are several questions, each with a row of its own.
     """

@@ -593,12 +593,96 @@ def test_decontamination_finds_long_and_common_items_at_its_own_thresholds(spark
     assert found == {(d + i, i) for i in range(66) for d in (0, 100)}
 
 
+def plain_matches(texts, index, cosine, common, answer):
+    """All windows of all texts against all items, one place at a time; answers and longest common
+    subsequences from their definitions."""
+    def lcs(a, b):
+        row = [0] * (len(b) + 1)
+        for x in a:
+            last = row
+            row = [0]
+            for j, y in enumerate(b):
+                row.append(last[j] + 1 if x == y else max(row[-1], last[j + 1]))
+        return row[-1]
+
+    items, out = index.items, {}
+    for d, text in enumerate(texts):
+        at = [(p, items.numbers[w]) for p, w in enumerate(decontaminate.split_words(text)) if w in items.numbers]
+        for i, own in enumerate(items.terms):
+            words, size = items.lengths[i], decontaminate.window_length(items.lengths[i])
+            for first in sorted({p // 16 for p, _ in at}):
+                vector = sum((index.terms[t] for p, t in at if first <= p // 16 < first + size), 0 * index.terms[0])
+                like = float(vector @ index.vectors[i]) / max(float(np.linalg.norm(vector)), 1e-9)
+                if like < cosine and index.vectors[i].any():
+                    continue
+                middle, reach = first * 16 + size * 8, words + size * 8
+                place = [(p, t) for p, t in at if middle - reach <= p < middle + reach]
+                parts = [place] if not items.plain[i] else [
+                    [x for x in place if p <= x[0] < p + words] for p, t in place if t in own]
+                for part in parts:
+                    found = [t for _, t in part]
+                    told = len(index.answers[i] & set(found)) / len(index.answers[i])
+                    if told < answer or len(set(found) & set(own)) == 0:
+                        continue
+                    share = lcs(own, found) / len(own)
+                    if share >= common:
+                        best = (share, told, like)
+                        out[d, items.ids[i]] = max(out.get((d, items.ids[i]), (0,)), best)
+    return out
+
+
+@pytest.fixture(scope="module")
+def questions(spark):
+    """Texts that hold items whole, thinned, cut in two far parts, in short and long surroundings."""
+    rng = np.random.default_rng(28)
+    words, shared = ["t%d" % i for i in range(900)], ["c%d" % i for i in range(12)]
+    items = [" ".join([*rng.choice(words, (9, 25, 70)[i % 3]), *rng.choice(shared, 4)]) for i in range(18)]
+    items += [" ".join(rng.choice(shared, 9, replace=False)) for _ in range(3)]
+    fill = lambda n: " ".join(rng.choice(words + shared, n))
+    texts = []
+    for k, item in enumerate(items):
+        own = item.split()
+        texts += [item, f"{fill(20 + 9 * k)} {item} {fill(11 * k)}",
+                  " ".join([fill(37), *[w for j, w in enumerate(own) if j % 4], fill(30)]),
+                  " ".join([*own[:len(own) // 2], fill(120), *own[len(own) // 2:]]), fill(90)]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id bigint, text string")
+    return texts, bench, make(spark, [(i, t, "a", "s") for i, t in enumerate(texts)])
+
+
+@pytest.mark.parametrize("cosine, tile", [(0.2, 8192), (0.6, 8192), (0.2, 2)])
+def test_decontamination_equals_all_places_one_by_one(spark, questions, monkeypatch, cosine, tile):
+    texts, bench, docs = questions
+    monkeypatch.setattr(decontaminate, "WINDOWS_AT_ONCE", tile)
+    monkeypatch.setattr(decontaminate, "ITEMS_AT_ONCE", tile)
+    items = decontaminate.read_items(bench)
+    assert items.plain == [i > 17 for i in range(21)]
+    index = decontaminate.build(decontaminate.term_places(docs, items.numbers), items)
+    want = plain_matches(texts, index, cosine, 0.6, 0.6)
+    part = decontaminate.term_places(docs.coalesce(1), items.numbers).toArrow().combine_chunks().to_batches()[0]
+    got = {(part.column(0)[r].as_py(), i): (common, answer, like) for r, i, like, common, answer in index.search(
+        part, cosine, 0.6, 0.6, [0])}
+    assert len(want) > 50 and set(got) == set(want)
+    for key, (common, answer, like) in got.items():
+        assert (common, answer) == pytest.approx(want[key][:2]) and like == pytest.approx(want[key][2], abs=1e-4)
+
+
+def test_cosine_decides_what_is_a_match(questions):
+    texts, bench, docs = questions
+    found = {(r["doc_id"], r["item_id"]) for r in decontaminate.matches(docs, bench).collect()}
+    assert {(5 * i + k, i) for i in range(21) for k in (0, 1)} <= found
+    closed = {(r["doc_id"], r["item_id"]) for r in decontaminate.matches(docs, bench, cosine=2.0).collect()}
+    assert {i for _, i in closed} <= {18, 19, 20}  # those without a vector
+
+
 @pytest.mark.parametrize("apply", [
     lambda d: vptree.near_duplicates(d), lambda d: vptree.keep_first(d),
     lambda d: tokens.read_index(d.sparkSession, tokens.write_tokens(d, vocabulary())),
     lambda d: shards.assign(d), lambda d: mixture.mix(d), lambda d: mixture.repeat(d),
     lambda d: minhash.compare_with_next(d), lambda d: minhash.near_duplicates(d), lambda d: credentials.scan(d),
     lambda d: privacy.scan(d), lambda d: language.classify(d, language.train(d)),
-    lambda d: licences.scan(d)])
+    lambda d: licences.scan(d),
+    lambda d: decontaminate.matches(d, d.selectExpr("doc_id item_id", "text")),
+    lambda d: decontaminate.matches(d, d.sparkSession.createDataFrame([(1, "a b c")], "item_id int, text string")),
+    lambda d: decontaminate.remove(d, d.sparkSession.createDataFrame([(1, "a b c")], "item_id int, text string"))])
 def test_empty_tables(spark, apply):
     assert apply(make(spark, [])).count() == 0
