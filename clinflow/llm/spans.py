@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -12,25 +14,48 @@ def find(text: Column, pattern: str, kind: str, rank: int, group: int = 0) -> Co
     """Array of the leftmost non-overlapping matches with the value of ``group``.
 
     The pieces between the matches give the places: match i starts after pieces 0..i and matches
-    0..i-1. Texts without a match are not cut at all.
+    0..i-1. Their running sums are taken in parts of about the square root of their number, first over the
+    parts and then in each, so that many matches do not cost their square. Texts without a match are
+    not cut at all.
     """
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     values = found if group == 0 else F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
     gaps = F.transform(F.split(text, pattern, -1), F.char_length)
-    parts = F.arrays_zip(
+    pieces = F.arrays_zip(
         F.transform(found, F.char_length).alias("n"), values.alias("value"),
         F.slice(gaps, F.lit(1), F.size(found)).alias("gap"))
     empty = F.expr(f"cast(array() as array<{SPAN}>)")
-    spans = F.aggregate(
-        parts, F.struct(F.lit(0).cast("bigint").alias("at"), empty.alias("out")),
-        lambda s, p: F.struct(
-            (s["at"] + p["gap"] + p["n"]).alias("at"),
-            F.concat(s["out"], F.array(F.struct(
-                (s["at"] + p["gap"]).alias("start"), (s["at"] + p["gap"] + p["n"]).alias("stop"),
-                F.lit(rank).alias("rank"), F.lit(kind).alias("kind"),
-                p["value"].alias("value")))).cast(f"array<{SPAN}>").alias("out"))
-    )["out"]
-    return F.when(text.rlike(pattern), spans).otherwise(empty)
+
+    def within(part: Column, at: Column) -> Column:
+        return F.aggregate(
+            part, F.struct(at.alias("at"), empty.alias("out")),
+            lambda s, p: F.struct(
+                (s["at"] + p["gap"] + p["n"]).alias("at"),
+                F.concat(s["out"], F.array(F.struct(
+                    (s["at"] + p["gap"]).alias("start"), (s["at"] + p["gap"] + p["n"]).alias("stop"),
+                    F.lit(rank).alias("rank"), F.lit(kind).alias("kind"),
+                    p["value"].alias("value")))).cast(f"array<{SPAN}>").alias("out"))
+        )["out"]
+
+    def joined(parts: Column) -> Column:
+        lengths = F.transform(parts, lambda part: F.aggregate(
+            part, F.lit(0).cast("bigint"), lambda a, p: a + p["gap"] + p["n"]))
+        starts = F.aggregate(
+            lengths, F.array(F.lit(0).cast("bigint")),
+            lambda out, n: F.concat(out, F.array(F.element_at(out, -1) + n)))
+        return F.flatten(F.zip_with(parts, F.slice(starts, F.lit(1), F.size(parts)), within))
+
+    def cut(whole: Column) -> Column:
+        step = F.greatest(F.lit(1), F.ceil(F.sqrt(F.size(whole))).cast("int"))
+        firsts = F.sequence(F.lit(1), F.greatest(F.size(whole), F.lit(1)), step)
+        return F.transform(firsts, lambda first: F.slice(whole, first, step))
+
+    return F.when(text.rlike(pattern), _once(_once(pieces, cut), joined)).otherwise(empty)
+
+
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often it is named."""
+    return F.element_at(F.transform(F.array(value), use), 1)
 
 
 def written(spans: Column) -> Column:

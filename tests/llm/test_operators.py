@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -452,6 +453,19 @@ def test_secret_spans(docs, rows):
     assert (row["n_assign"], row["n_access"], row["n_hex"]) == (1, 1, 1)
 
 
+def test_many_matches_in_one_text_cost_no_square(spark):
+    rng = random.Random(6)
+    texts = ["".join(f"{'zé '[:rng.randrange(1, 4)]} {rng.randrange(16 ** 33):034x} 😀" for _ in range(n))
+             for n in (1, 2, 3, 5, 10, 17, 20_000)]
+    docs = make(spark, [(i, t, "a", "s") for i, t in enumerate(texts)])
+    begin = time.perf_counter()
+    got = {r["doc_id"]: [(s["start"], s["stop"], s["value"]) for s in r["base"]]
+           for r in credentials.scan(docs).collect()}
+    assert time.perf_counter() - begin < 20  # 26 s for the longest text alone when spans were copied per match
+    for i, text in enumerate(texts):
+        assert got[i] == [(*m.span(), m.group()) for m in re.finditer("[0-9a-f]{32,}", text)]
+
+
 def test_copied_values_are_examples(spark):
     secret, example = "q9Xw83kfLm2Pz7", "exampleKEY123"
     rows = [(i, f"token={example}", "a", "s%d" % i) for i in range(5)]
