@@ -343,7 +343,7 @@ def compare_with_next(docs: DataFrame, classes: DataFrame | None = None) -> Data
         dealt = dealt.union(classes.where("classed").select(
             number.cast("int"), F.lit(False), "doc_id", "tie", "component_id",
             F.lit(None).cast("binary"), F.lit(None).cast("binary")).distinct())
-    dealt = dealt.repartition(parts, "r").sortWithinPartitions(
+    dealt = dealt.repartitionById(parts, "r").sortWithinPartitions(
         "r", "ghost", F.col("doc_id").desc_nulls_last(), F.col("tie").desc(),
         F.col("body").isNotNull())
 

@@ -184,7 +184,7 @@ def write_tokens(
         if held:
             yield close()
 
-    dealt = texts.select(range_of(splitters).alias("range"), "doc_id", "text").repartition(
+    dealt = texts.select(range_of(splitters).alias("range"), "doc_id", "text").repartitionById(
         parts, "range")
     dealt = dealt.sortWithinPartitions("range", F.col("doc_id").asc_nulls_last(), "text")
     dealt.mapInArrow(run, BLOCKS).write.option("compression", "zstd").parquet(path)
