@@ -1,6 +1,6 @@
 """Language identification by the nearest of several centroids per language.
 
-A text becomes a vector of character 1- to 3-gram counts, hashed to a fixed number of
+A text becomes a vector of character 2- and 3-gram counts, hashed to a fixed number of
 dimensions, damped by a logarithm, weighted by inverse document frequency and normalised. Documents of
 known language are clustered within their language by spherical k-means; a text gets the language of the
 centroid with the largest cosine, and is rejected if it lies further from it than documents of that
