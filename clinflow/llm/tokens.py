@@ -18,12 +18,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer, pre_tokenizers
 
-from clinflow.llm.common import parallel, pick
+from clinflow.llm.common import parallel, pick, slices
 from clinflow.llm.order import id_splitters, range_of
 from clinflow.operators.storage import materialize, scratch_path
 
@@ -60,8 +61,9 @@ class Encoder:
     The tokenizer drops white space and never joins what it separates, so a text's ids are those of
     its words in order. Plain words (printable ASCII and Latin letters) are cut with the tokenizer's own
     pattern and go to its model; any other word goes through the whole tokenizer. Words are remembered up
-    to ``CACHE_WORDS`` and then forgotten together, which bounds memory and changes no result. A tokenizer
-    of another shape encodes every text as a whole.
+    to ``CACHE_WORDS`` and then forgotten together, which bounds memory and changes no result. Texts come
+    in slices, and Arrow numbers the distinct words of a slice: only these are looked up, and the ids of
+    every occurrence are gathered by number. A tokenizer of another shape encodes every text as a whole.
     """
 
     def __init__(self, path: str):
@@ -112,13 +114,30 @@ class Encoder:
         return found
 
     def encode(self, text: str) -> np.ndarray:
+        return self.encode_all(pa.array([text], pa.string()))[0]
+
+    def encode_all(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts (NULL: empty) one after the other, and where each text's ids start and
+        end: one place more than texts."""
+        texts = pc.fill_null(texts, "")
         if not self.by_word:
-            return np.array(
-                self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
+            found = [self.tokenizer.encode(t, add_special_tokens=False).ids for t in texts.to_pylist()]
+            return (np.array([i for ids in found for i in ids], dtype="<u4"),
+                    np.cumsum([0, *map(len, found)], dtype=np.int64))
+        split = pc.split_pattern(texts, " ")
+        words = split.flatten().dictionary_encode()
         get, miss = self.words.get, self._word
-        return np.frombuffer(
-            b"".join([i if (i := get(w)) is not None else miss(w) for w in text.split(" ")]),
-            dtype="<u4")
+        found = [i if (i := get(w)) is not None else miss(w) for w in words.dictionary.to_pylist()]
+        ids = np.frombuffer(b"".join(found), dtype="<u4")
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        first = np.cumsum(sizes) - sizes
+        at = words.indices.to_numpy()
+        size = sizes[at]
+        ends = np.concatenate([[0], np.cumsum(size)])
+        place = np.repeat(first[at] - ends[:-1], size)
+        place += np.arange(place.size)
+        word = split.offsets.to_numpy()
+        return ids[place], ends[word - word[0]]
 
 
 _encoders: dict[str, Encoder] = {}
@@ -140,7 +159,7 @@ def write_tokens(
     ``tokenizer`` is the path of a vocabulary file that every executor has. Documents are dealt to
     ranges of doc_id whose bounds come from a size-weighted sample, so ranges hold about equal
     amounts of text. Repeated ids are ordered by their text. Very long texts give a longer block; a
-    task never holds more than one block and one batch. An empty table gives no rows.
+    task never holds more than one block, one batch and the words of one slice of it. An empty table gives no rows.
     """
     spark = docs.sparkSession
     path = path or scratch_path(spark, "tokens")
@@ -151,7 +170,7 @@ def write_tokens(
     bits = bit_width(max(end_id + 1, encoder(tokenizer).vocabulary))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer).encode
+        encode = encoder(tokenizer).encode_all
         end = np.array([end_id], dtype="<u4")
         held: list[np.ndarray] = []
         ids: list[int | None] = []
@@ -168,19 +187,21 @@ def write_tokens(
                 ["range", "block", "bits", "n_ids", "doc_id", "offset", "payload"])
 
         for batch in batches:
-            for at, doc_id, text in zip(
-                    batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
-                if held and (at != place or offset[-1] >= block_ids):
-                    yield close()
-                    held, ids, offset = [], [], [0]
-                    block = block + 1 if at == place else 0
-                elif at != place:
-                    block = 0
-                place = at
-                own = encode(text.as_py() or "")
-                held += [own, end]
-                ids.append(doc_id)
-                offset.append(offset[-1] + own.size + 1)
+            for part in slices(batch, 2, 8 << 20):
+                found, ends = encode(part.column(2))
+                for at, doc_id, a, b in zip(
+                        part.column(0).to_pylist(), part.column(1).to_pylist(),
+                        ends.tolist(), ends[1:].tolist()):
+                    if held and (at != place or offset[-1] >= block_ids):
+                        yield close()
+                        held, ids, offset = [], [], [0]
+                        block = block + 1 if at == place else 0
+                    elif at != place:
+                        block = 0
+                    place = at
+                    held += [found[a:b], end]
+                    ids.append(doc_id)
+                    offset.append(offset[-1] + b - a + 1)
         if held:
             yield close()
 

@@ -9,6 +9,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -192,6 +193,26 @@ def test_encoder_equals_the_tokenizer_on_odd_texts():
         assert own.encode(text).tolist() == whole.encode(text, add_special_tokens=False).ids, text
 
 
+def test_encoder_looks_up_each_word_of_a_slice_once():
+    class Counted(dict):
+        looked_up = 0
+
+        def get(self, *key):
+            self.looked_up += 1
+            return super().get(*key)
+
+    own, whole = tokens.Encoder(vocabulary()), Tokenizer.from_file(vocabulary())
+    own.words = Counted()
+    texts = ["skipped", "", None, " the  hills\nof 日本 ", *["the old hills é <|endoftext|> of stone"] * 500, ""]
+    ids, ends = own.encode_all(pa.array(texts).slice(1))
+    assert len(ends) == len(texts) and ends[0] == 0
+    for text, a, b in zip(texts[1:], ends, ends[1:]):
+        assert ids[a:b].tolist() == whole.encode(text or "", add_special_tokens=False).ids
+    assert own.words.looked_up == len({w for t in texts[1:] for w in (t or "").split(" ")})
+    none = own.encode_all(pa.array([], pa.string()))
+    assert none[0].size == 0 and none[1].tolist() == [0]
+
+
 @pytest.mark.parametrize("bits", [1, 7, 16, 17, 32])
 def test_bit_packing_round_trip(bits):
     ids = np.random.default_rng(bits).integers(0, 1 << bits, 1001).astype(np.uint32)
