@@ -186,11 +186,20 @@ def episodes_from_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Nested resources as NDJSON, for the scan and the flatteners.
 
-def write_ndjson(rows: DataFrame, folder: str, resource: str, shard: int = 0) -> None:
-    rows.select(F.to_json(F.struct(*rows.columns)).alias("value")).write.text(
+# Lines of one file: it is compressed, so one task reads it whole.
+FILE_LINES = 250_000
+
+
+def write_lines(lines: DataFrame, folder: str, resource: str, shard: int = 0) -> None:
+    """One shard, compressed: lines repeat their field names and take many times the space of their rows."""
+    lines.write.option("compression", "gzip").option("maxRecordsPerFile", FILE_LINES).text(
         f"{folder}/{resource}_{shard:03d}.ndjson")
 
 
+def write_ndjson(rows: DataFrame, folder: str, resource: str, shard: int = 0) -> None:
+    write_lines(rows.select(F.to_json(F.struct(*rows.columns)).alias("value")), folder, resource, shard)
+
+
 def _iso(ts: Column) -> Column:
     return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
 
@@ -269,8 +278,9 @@ def encounter_lines(spark: SparkSession, sf_dir: str) -> str:
     write_ndjson(second, folder, "Encounter", 1)
     # Lines that do not parse: every 97th encounter once more, cut off in the middle.
     whole = nested.filter(key % 97 == 0).drop("event_id")
-    whole.select(F.to_json(F.struct(*whole.columns)).alias("value")).select(
-        F.expr("left(value, 40)").alias("value")).write.text(f"{folder}/Encounter_002.ndjson")
+    cut = whole.select(F.to_json(F.struct(*whole.columns)).alias("value")).select(
+        F.expr("left(value, 40)").alias("value"))
+    write_lines(cut, folder, "Encounter", 2)
     return folder
 
 

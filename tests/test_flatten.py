@@ -1,8 +1,10 @@
+import gzip
 from datetime import date
 
 from helpers import by, read, rows, write_lines
 from pyspark.sql import functions as F
 
+from clinflow import roles
 from clinflow.operators import dedup_first, explode_entries
 from clinflow.plans import flatten
 from clinflow.schemas import FLAT, RESOURCES
@@ -147,6 +149,26 @@ def test_readers_run_no_job_and_take_a_list(spark, tmp_path):
     assert "_corrupt_record" not in [f.name for f in RESOURCES["Patient"].fields]
 
 
+def test_written_lines_take_a_fraction_of_their_text_in_files_of_bounded_length(
+        spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(roles, "FILE_LINES", 700, raising=False)
+    made = spark.range(0, 3000, 1, 2).select(
+        F.col("id").cast("string").alias("id"), F.lit("final").alias("status"),
+        F.struct(F.array(F.struct(
+            F.lit(LOINC).alias("system"), F.concat(F.lit("c"), F.col("id") % 9).alias("code"),
+            F.when(F.col("id") % 2 == 0, "é \n").alias("display"))).alias("coding")).alias("code"))
+    for shard in (0, 1):
+        roles.write_ndjson(made.where(F.col("id") % 2 == shard), str(tmp_path), "Observation", shard)
+    files = sorted(tmp_path.glob("Observation_00[01].ndjson/part-*"))
+    lines = [gzip.decompress(f.read_bytes()).splitlines(True) for f in files]
+    assert len(files) == 8 and all(len(part) <= 700 for part in lines)
+    text = sum(len(line) for part in lines for line in part)
+    assert sum(f.stat().st_size for f in files) < text / 4
+    found = read_ndjson(spark, str(tmp_path), "Observation")
+    assert rows(found.select("id", "status", "code.coding")) == rows(
+        made.select("id", "status", "code.coding"))
+
+
 def test_dedup_does_not_depend_on_partitioning(spark):
     data = [(f"k{i % 5}", i % 3, f"v{i % 7}") for i in range(200)] + [(None, 1, "n"), (None, 0, "m")]
     df = spark.createDataFrame(data, "k string, pos int, v string")
