@@ -30,6 +30,8 @@ from clinflow.operators.storage import materialize, scratch_path
 
 END_ID = 1
 CACHE_WORDS = 800_000
+#: Words that the pattern of the tokenizer cuts after nothing but lower-casing.
+PLAIN = r"\A[!-~\t-\rÀ-ÖØ-öø-ÿ]*\z"
 
 BLOCKS = ("range int, block int, bits int, n_ids bigint, doc_id array<bigint>, "
           "offset array<bigint>, payload binary")
@@ -59,11 +61,12 @@ class Encoder:
     """Whole-text encoding that remembers the ids of words.
 
     The tokenizer drops white space and never joins what it separates, so a text's ids are those of
-    its words in order. Plain words (printable ASCII and Latin letters) are cut with the tokenizer's own
-    pattern and go to its model; any other word goes through the whole tokenizer. Words are remembered up
-    to ``CACHE_WORDS`` and then forgotten together, which bounds memory and changes no result. Texts come
-    in slices, and Arrow numbers the distinct words of a slice: only these are looked up, and the ids of
-    every occurrence are gathered by number. A tokenizer of another shape encodes every text as a whole.
+    its words in order. Texts come in slices, and Arrow numbers the distinct words of a slice: only these
+    are encoded, and the ids of every occurrence are gathered by number. Plain words (printable ASCII and
+    Latin letters) are cut together with the tokenizer's own pattern, and the pieces go to its model; any
+    other word goes through the whole tokenizer. Pieces and other words are remembered up to
+    ``CACHE_WORDS`` each and then forgotten together, which bounds memory and changes no result. A
+    tokenizer of another shape encodes every text as a whole.
     """
 
     def __init__(self, path: str):
@@ -74,12 +77,12 @@ class Encoder:
         self.by_word = self._words_apart(spec)
         if self.by_word:
             split = spec["pre_tokenizer"]["pretokenizers"][0]
-            self.pieces = regex.compile(split["pattern"]["Regex"]).findall
-            self.plain = regex.compile(r"[!-~\t-\rA-Za-zÀ-ÖØ-öø-ÿ]*").fullmatch
-            self.special = [t["content"] for t in spec["added_tokens"]]
+            #: Pieces of words joined by spaces, the spaces among them.
+            self.cut = regex.compile(split["pattern"]["Regex"] + "| ").findall
             self.model = self.tokenizer.model
-            self.spell = pre_tokenizers.ByteLevel(
-                add_prefix_space=False, use_regex=False).pre_tokenize_str
+            spell = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+            #: The byte letters of what plain pieces hold, sign by sign.
+            self.spelled = {i: spell(chr(i))[0][0] for i in [*range(33, 127), *range(0xC0, 0x100)]}
             self.words: dict[str, bytes] = {}
             self.parts: dict[str, bytes] = {}
 
@@ -93,25 +96,44 @@ class Encoder:
                 and all(" " not in t["content"] for t in spec["added_tokens"]))
 
     def _part(self, piece: str) -> bytes:
-        found = self.parts.get(piece)
-        if found is None:
-            spelled = piece if piece.isascii() else self.spell(piece)[0][0]
-            ids = [t.id for t in self.model.tokenize(spelled)]
-            found = self.parts[piece] = struct.pack(f"<{len(ids)}I", *ids)
-        return found
+        """A piece of a plain word, or the space between two."""
+        if piece == " ":
+            return self._keep(self.parts, piece, b"")
+        spelled = piece if piece.isascii() else piece.translate(self.spelled)
+        ids = [t.id for t in self.model.tokenize(spelled)]
+        return self._keep(self.parts, piece, struct.pack(f"<{len(ids)}I", *ids))
 
     def _word(self, word: str) -> bytes:
-        if len(self.words) >= CACHE_WORDS:
-            self.words.clear()
-            self.parts.clear()
-        if self.plain(word) and not ("<|" in word and any(s in word for s in self.special)):
-            found = b"".join(map(self._part, self.pieces(word.lower())))
-        else:
-            ids = self.tokenizer.encode(word, add_special_tokens=False).ids
-            found = np.array(ids, dtype="<u4").tobytes()
-        if len(word) < 100:
-            self.words[word] = found
-        return found
+        """A word that is not plain."""
+        ids = self.tokenizer.encode(word, add_special_tokens=False).ids
+        return self._keep(self.words, word, np.array(ids, dtype="<u4").tobytes())
+
+    @staticmethod
+    def _keep(known: dict[str, bytes], key: str, ids: bytes) -> bytes:
+        if len(known) >= CACHE_WORDS:
+            known.clear()
+        if len(key) < 100:
+            known[key] = ids
+        return ids
+
+    def _distinct(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words one after the other, and where each word's ids start and end."""
+        odd = pc.or_(pc.invert(pc.match_substring_regex(words, PLAIN)), pc.match_substring(words, "<|"))
+        others = iter([
+            i if (i := self.words.get(w)) is not None else self._word(w)
+            for w in words.filter(odd).to_pylist()])
+        # A NUL, which no plain word has, holds the place of any other word.
+        marked = pc.if_else(odd, "\0", words)
+        joined = pc.binary_join(pa.ListArray.from_arrays([0, len(words)], marked), " ")
+        pieces = self.cut(joined[0].as_py().lower())
+        get, miss = self.parts.get, self._part
+        found = [next(others) if p == "\0" else i if (i := get(p)) is not None else miss(p)
+                 for p in pieces]
+        ends = np.cumsum([0, *map(len, found)], dtype=np.int64) // 4
+        gaps = np.flatnonzero(
+            pc.equal(pa.array(pieces, pa.string()), " ").to_numpy(zero_copy_only=False))
+        return (np.frombuffer(b"".join(found), dtype="<u4"),
+                np.concatenate([[0], ends[gaps], ends[-1:]]))
 
     def encode(self, text: str) -> np.ndarray:
         return self.encode_all(pa.array([text], pa.string()))[0]
@@ -126,11 +148,8 @@ class Encoder:
                     np.cumsum([0, *map(len, found)], dtype=np.int64))
         split = pc.split_pattern(texts, " ")
         words = split.flatten().dictionary_encode()
-        get, miss = self.words.get, self._word
-        found = [i if (i := get(w)) is not None else miss(w) for w in words.dictionary.to_pylist()]
-        ids = np.frombuffer(b"".join(found), dtype="<u4")
-        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
-        first = np.cumsum(sizes) - sizes
+        ids, edges = self._distinct(words.dictionary)
+        first, sizes = edges[:-1], np.diff(edges)
         at = words.indices.to_numpy()
         size = sizes[at]
         ends = np.concatenate([[0], np.cumsum(size)])

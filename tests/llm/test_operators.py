@@ -193,22 +193,24 @@ def test_encoder_equals_the_tokenizer_on_odd_texts():
         assert own.encode(text).tolist() == whole.encode(text, add_special_tokens=False).ids, text
 
 
-def test_encoder_looks_up_each_word_of_a_slice_once():
-    class Counted(dict):
-        looked_up = 0
-
-        def get(self, *key):
-            self.looked_up += 1
-            return super().get(*key)
-
-    own, whole = tokens.Encoder(vocabulary()), Tokenizer.from_file(vocabulary())
-    own.words = Counted()
-    texts = ["skipped", "", None, " the  hills\nof 日本 ", *["the old hills é <|endoftext|> of stone"] * 500, ""]
-    ids, ends = own.encode_all(pa.array(texts).slice(1))
-    assert len(ends) == len(texts) and ends[0] == 0
-    for text, a, b in zip(texts[1:], ends, ends[1:]):
-        assert ids[a:b].tolist() == whole.encode(text or "", add_special_tokens=False).ids
-    assert own.words.looked_up == len({w for t in texts[1:] for w in (t or "").split(" ")})
+def test_encoder_cuts_each_word_of_a_slice_once(monkeypatch):
+    own, whole, seen = tokens.Encoder(vocabulary()), Tokenizer.from_file(vocabulary()), []
+    cut = own.cut
+    own.cut = lambda text: seen.append(text) or cut(text)
+    rng = np.random.default_rng(2)
+    signs = list("aAbZ 'sStl09.-!?\n<|>éÉß½İΣς中😀́\x85\0  ") + ["<|endoftext|>", "'re"]
+    texts = ["skipped", "", None, " the  hills\nof 日本 ",
+             *["the old hills é <|endoftext|> of stone \0 a\0b ÀÉ's"] * 500,
+             *["".join(rng.choice(signs, rng.integers(0, 30))) for _ in range(500)], ""]
+    for limit in (tokens.CACHE_WORDS, 5):
+        monkeypatch.setattr(tokens, "CACHE_WORDS", limit)
+        seen.clear()
+        ids, ends = own.encode_all(pa.array(texts).slice(1))
+        assert len(ends) == len(texts) and ends[0] == 0
+        for text, a, b in zip(texts[1:], ends, ends[1:]):
+            assert ids[a:b].tolist() == whole.encode(text or "", add_special_tokens=False).ids
+        distinct = {w for t in texts[1:] for w in (t or "").split(" ")}
+        assert len(seen) == 1 and len(seen[0].split(" ")) == len(distinct)
     none = own.encode_all(pa.array([], pa.string()))
     assert none[0].size == 0 and none[1].tolist() == [0]
 
